@@ -179,14 +179,24 @@ def sql_type_name(data_type: T.DataType) -> str:
     return names.get(type(data_type), data_type.simpleString())
 
 
+def declared_type(field: T.StructField) -> str:
+    """The type name a field was declared with, else the SQL name of its type."""
+    return (field.metadata or {}).get("sql_type") or sql_type_name(field.dataType)
+
+
+def text_width(name: str) -> int | None:
+    """Width of a ``varchar(n)`` type name."""
+    width = re.match(r"^\s*(?:varchar|character varying)\((\d+)\)\s*$", name.lower())
+    return int(width.group(1)) if width else None
+
+
 def spark_type(name: str) -> T.DataType:
-    """Spark type for a SQL type name."""
+    """Spark type for a SQL type name; text has no width in Spark's plans."""
     base = check_type_name(name).lower().strip()
     if base.endswith("[]"):
         return T.ArrayType(spark_type(base[:-2]))
-    width = re.match(r"^(?:varchar|character varying)\((\d+)\)$", base)
-    if width:
-        return T.VarcharType(int(width.group(1)))
+    if text_width(base) is not None:
+        return T.StringType()
     decimal = re.match(r"^(?:numeric|decimal)\((\d+)(?:,\s*(\d+))?\)$", base)
     if decimal:
         return T.DecimalType(int(decimal.group(1)), int(decimal.group(2) or 0))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deq.functions.names import sql_type_name
+from deq.functions.names import declared_type
 
 
 def dataset_record(df: DataFrame, dataset: str, owner: str = "", tags: list[str] = (), props: dict | None = None, count_rows: bool = False) -> DataFrame:
@@ -16,7 +16,7 @@ def dataset_record(df: DataFrame, dataset: str, owner: str = "", tags: list[str]
     With ``count_rows`` the properties also hold the number of rows.
     """
     rows = [
-        (dataset, i, f.name, sql_type_name(f.dataType), f.nullable, owner, list(tags), dict(props or {}))
+        (dataset, i, f.name, declared_type(f), f.nullable, owner, list(tags), dict(props or {}))
         for i, f in enumerate(df.schema.fields)
     ]
     record = df.sparkSession.createDataFrame(

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deq.functions.names import check_ident, normalize_type, sql_type_name
+from deq.functions.names import check_ident, declared_type, normalize_type
 from deq.operators.checks import RESULT_COLUMNS, Check, quality_check
 
 COLUMN_FIELDS = "dataset string, position int, column string, type string, nullable boolean"
@@ -70,7 +70,7 @@ def portable_pattern(pattern: str) -> str:
 
 def live_columns(df: DataFrame, dataset: str) -> DataFrame:
     """Column metadata of a DataFrame: ``dataset, position, column, type, nullable``."""
-    rows = [(dataset, i, f.name, sql_type_name(f.dataType), f.nullable) for i, f in enumerate(df.schema.fields)]
+    rows = [(dataset, i, f.name, declared_type(f), f.nullable) for i, f in enumerate(df.schema.fields)]
     return df.sparkSession.createDataFrame(rows, COLUMN_FIELDS)
 
 

@@ -11,17 +11,20 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
-from deq.functions.names import check_ident, spark_type, sql_type_name
+from deq.functions.names import check_ident, declared_type, spark_type
 from deq.operators.materialize import stored_files
 
 DELETE = "DELETE"
 
 
 def schema_of(fields: list[dict]) -> T.StructType:
-    """Spark schema of ``{name, type, required, doc}`` fields; ids are given by position unless set."""
+    """Spark schema of ``{name, type, required, doc}`` fields; ids are given by position unless set.
+
+    The declared type name is kept as metadata, as Spark drops the width of text.
+    """
     out = T.StructType()
     for i, f in enumerate(fields):
-        meta = {"id": f.get("id", i + 1)}
+        meta = {"id": f.get("id", i + 1), "sql_type": f["type"]}
         if f.get("doc"):
             meta["comment"] = f["doc"]
         out.add(check_ident(f["name"], strict=True), spark_type(f["type"]), not f.get("required", False), meta)
@@ -121,7 +124,7 @@ def compact(spark: SparkSession, source: str, dest: str, target_bytes: int = 536
 def describe(df: DataFrame, log: DataFrame | None = None, location: str = "") -> DataFrame:
     """``position, column, type, required, doc, location, snapshots`` of a table."""
     rows = [
-        (f.metadata.get("id", i + 1), f.name, sql_type_name(f.dataType), not f.nullable, f.metadata.get("comment"), location)
+        (f.metadata.get("id", i + 1), f.name, declared_type(f), not f.nullable, f.metadata.get("comment"), location)
         for i, f in enumerate(df.schema.fields)
     ]
     out = df.sparkSession.createDataFrame(

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deq.functions.names import check_ident, check_type_name, is_narrowing, spark_type
+from deq.functions.names import check_ident, check_type_name, is_narrowing, spark_type, text_width
 from deq.session import scratch_path
 
 DIFF_COLUMNS = ["dataset", "name", "change", "from_type", "to_type", "breaking"]
@@ -164,7 +164,10 @@ def _transform(expression: str):
     text = re.sub(r"\bNEW\.", "", check_transform(expression))
 
     def cast(match: re.Match) -> str:
-        return f"CAST({match.group(1)} AS {spark_type(match.group(2).strip()).simpleString()})"
+        name = match.group(2).strip()
+        value = f"CAST({match.group(1)} AS {spark_type(name).simpleString()})"
+        width = text_width(name)
+        return f"left({value}, {width})" if width is not None else value
 
     operand = r"([\w.]+(?:\([^()]*\))?|\([^()]*\)|'[^']*')"
     text = re.sub(operand + r"::([a-zA-Z][a-zA-Z0-9_]*(?: precision)?(?:\(\d+(?:,\s*\d+)?\))?)", cast, text)

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from deq.session import prepare
 
-GROUPS = ["quality", "timeseries"]
+GROUPS = ["quality", "timeseries", "changes", "schemas", "streams"]
 
 
 def _modules():
