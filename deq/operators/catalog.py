@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deq.functions.names import declared_type
+from deq.session import literal_rows, materialize
 
 
 def dataset_record(df: DataFrame, dataset: str, owner: str = "", tags: list[str] = (), props: dict | None = None, count_rows: bool = False) -> DataFrame:
@@ -16,13 +17,20 @@ def dataset_record(df: DataFrame, dataset: str, owner: str = "", tags: list[str]
     With ``count_rows`` the properties also hold the number of rows.
     """
     rows = [
-        (dataset, i, f.name, declared_type(f), f.nullable, owner, list(tags), dict(props or {}))
+        (dataset, i, f.name, declared_type(f), f.nullable, owner)
         for i, f in enumerate(df.schema.fields)
     ]
-    record = df.sparkSession.createDataFrame(
+    record = literal_rows(
+        df.sparkSession,
         rows,
-        "dataset string, position int, field string, type string, nullable boolean, owner string, "
-        "tags array<string>, props map<string,string>",
+        "dataset string, position int, field string, type string, nullable boolean, owner string",
+    )
+    pairs = [F.lit(x) for pair in (props or {}).items() for x in pair]
+    record = record.withColumns(
+        {
+            "tags": F.array(*[F.lit(t) for t in tags]).cast("array<string>"),
+            "props": F.create_map(*pairs).cast("map<string,string>"),
+        }
     )
     if count_rows:
         n = df.agg(F.count(F.lit(1)).cast("string").alias("n")).scalar()
@@ -63,7 +71,11 @@ def record_lineage(upstream: DataFrame, downstream: DataFrame) -> DataFrame:
 
 
 def _walk(edges: DataFrame, start: DataFrame, depth: int, forward: bool) -> DataFrame:
-    """Datasets reached from ``start``; a step passes one pipeline."""
+    """Datasets reached from ``start``; a step passes one pipeline.
+
+    Each level is fixed before the next one, so the work stays linear in the depth; an empty level
+    ends the walk.
+    """
     near, far = ("src", "dst") if forward else ("dst", "src")
     hops = edges.select(F.col(near).alias("node"), F.col(far).alias("next"))
     frontier, seen = start, start
@@ -73,7 +85,11 @@ def _walk(edges: DataFrame, start: DataFrame, depth: int, forward: bool) -> Data
         frontier = (
             pipelines.join(hops, "node").select(F.col("next").alias("node")).distinct().join(seen, "node", "left_anti")
         )
+        if level < depth:
+            frontier = materialize(frontier)
         reached.append(frontier.withColumn("depth", F.lit(level)))
+        if level < depth and frontier.isEmpty():
+            break
         seen = seen.unionByName(frontier)
     return reduce(DataFrame.unionByName, reached)
 
@@ -83,7 +99,7 @@ def query_lineage(edges: DataFrame, dataset: str, direction: str = "both", depth
     if direction not in ("", "both", "upstream", "downstream"):
         raise ValueError(f"unknown direction {direction!r}")
     depth = depth if depth > 0 else 1
-    start = edges.sparkSession.createDataFrame([(dataset,)], "node string")
+    start = literal_rows(edges.sparkSession, [(dataset,)], "node string")
     walks = []
     for name, forward in (("upstream", False), ("downstream", True)):
         if direction in ("", "both", name):
@@ -94,8 +110,8 @@ def query_lineage(edges: DataFrame, dataset: str, direction: str = "both", depth
 
 def lineage_edges(edges: DataFrame, found: DataFrame, dataset: str) -> DataFrame:
     """The recorded edges that touch the dataset or a dataset found by :func:`query_lineage`."""
-    spark = edges.sparkSession
-    nodes = found.select(F.col("dataset").alias("node")).unionByName(spark.createDataFrame([(dataset,)], "node string")).distinct()
+    start = literal_rows(edges.sparkSession, [(dataset,)], "node string")
+    nodes = found.select(F.col("dataset").alias("node")).unionByName(start).distinct()
     out_of = edges.join(nodes.withColumnRenamed("node", "src"), "src", "left_semi")
     into = edges.join(nodes.withColumnRenamed("node", "dst"), "dst", "left_semi")
     return out_of.unionByName(into).distinct()

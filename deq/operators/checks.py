@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from deq.functions.names import check_ident, parse_duration
@@ -79,12 +79,12 @@ def _row_count_verdict(check: Check, count: Column) -> Column:
 
 def _freshness_verdict(check: Check, newest: Column, as_of: Column) -> Column:
     allowed = parse_duration(check.need("maxAge"))
-    stamp = as_of.cast("timestamp")
-    age = F.unix_seconds(stamp) - F.unix_seconds(newest.cast("timestamp"))
+    micros = F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(newest.cast("timestamp"))
+    age = F.floor(micros / 1_000_000).cast("bigint")
     message = F.when(newest.isNull(), "table is empty (no rows found)").otherwise(
         F.format_string(f"last update was %ds ago (max allowed: {allowed}s)", age)
     )
-    return _result("freshness", check.need("column"), F.coalesce(age <= allowed, F.lit(False)), age, message)
+    return _result("freshness", check.need("column"), F.coalesce(micros <= allowed * 1_000_000, F.lit(False)), age, message)
 
 
 def _rows(one_row: DataFrame, verdicts: list[tuple[int, Column]]) -> DataFrame:
@@ -122,8 +122,6 @@ def value_counts(df: DataFrame, columns: list[str], numeric: bool = False) -> Da
 
 
 def is_numeric(df: DataFrame, column: str) -> bool:
-    from pyspark.sql import types as T
-
     return isinstance(df.schema[column].dataType, T.NumericType)
 
 
@@ -150,6 +148,8 @@ def quality_check(
     lookup = lookup or spark.table
     now = F.lit(as_of) if as_of is not None else F.current_timestamp()
     parsed = [Check.parse(c) for c in checks]
+    if not parsed:
+        raise ValueError("checks is required")
     aggregates: dict[str, Column] = {}
     scanned: list[tuple[int, Column]] = []
     unique: list[tuple[int, list[str]]] = []

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from deq.functions.names import check_ident, declared_type, normalize_type
 from deq.operators.checks import RESULT_COLUMNS, Check, quality_check
+from deq.session import literal_rows
 
 COLUMN_FIELDS = "dataset string, position int, column string, type string, nullable boolean"
 RESULT_FIELDS = "seq int, check string, column string, passed boolean, value bigint, message string"
@@ -50,6 +51,11 @@ class Contract:
         )
 
 
+def read_contract(spark: SparkSession, path: str) -> Contract:
+    """A contract file from any file system Spark reads."""
+    return Contract.parse(spark.read.text(path, wholetext=True).first()["value"])
+
+
 def _load(raw: dict | str) -> dict:
     if isinstance(raw, dict):
         return raw
@@ -71,11 +77,11 @@ def portable_pattern(pattern: str) -> str:
 def live_columns(df: DataFrame, dataset: str) -> DataFrame:
     """Column metadata of a DataFrame: ``dataset, position, column, type, nullable``."""
     rows = [(dataset, i, f.name, declared_type(f), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, COLUMN_FIELDS)
+    return literal_rows(df.sparkSession, rows, COLUMN_FIELDS)
 
 
 def schema_violations(expected: DataFrame, live: DataFrame) -> DataFrame:
-    """``dataset, column, error`` for every expected column that is missing, mistyped or nullable.
+    """``dataset, position, column, error`` for every expected column that is missing, mistyped or nullable.
 
     Works on column metadata of any number of datasets at once. Types match when one normalised
     name contains the other; an empty type is not compared.
@@ -99,7 +105,9 @@ def schema_violations(expected: DataFrame, live: DataFrame) -> DataFrame:
             )
         )
     )
-    return expected.join(have, ["dataset", "column"], "left").select("dataset", "column", F.explode(errors).alias("error"))
+    return expected.join(have, ["dataset", "column"], "left").select(
+        "dataset", "position", "column", F.explode(errors).alias("error")
+    )
 
 
 def pattern_violations(df: DataFrame, patterns: dict[str, str]) -> DataFrame:
@@ -133,10 +141,8 @@ def contract_results(
     parts = []
     if contract.columns:
         rows = [(contract.dataset, i, c.name, c.type, c.nullable) for i, c in enumerate(contract.columns)]
-        expected = spark.createDataFrame(rows, COLUMN_FIELDS)
-        wrong = schema_violations(expected, live_columns(df, contract.dataset)).join(
-            expected.select("column", F.col("position").alias("seq")), "column"
-        )
+        expected = literal_rows(spark, rows, COLUMN_FIELDS)
+        wrong = schema_violations(expected, live_columns(df, contract.dataset)).withColumnRenamed("position", "seq")
         parts.append(
             wrong.select(
                 F.lit("schema").alias("part"),
@@ -155,7 +161,7 @@ def contract_results(
     if patterns:
         parts.append(pattern_violations(df, patterns).select(F.lit("pattern").alias("part"), "seq", *RESULT_COLUMNS))
     if not parts:
-        return spark.createDataFrame([], f"part string, {RESULT_FIELDS}")
+        return literal_rows(spark, [], f"part string, {RESULT_FIELDS}")
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -184,9 +190,9 @@ def contract_assertions(spark: SparkSession, assertions: list[dict], database: b
         except Exception as problem:
             first_line = str(problem).splitlines()[0]
             message = f'quality check "{a["name"]}": {first_line}'
-            out.append(spark.createDataFrame([(i, a["name"], None, False, message)], fields))
+            out.append(literal_rows(spark, [(i, a["name"], None, False, message)], fields))
             continue
         n = F.col("violations")
         error = F.when(n > 0, F.format_string(f'quality check "{a["name"]}": found %d violations', n))
         out.append(found.select(F.lit(i).alias("seq"), F.lit(a["name"]).alias("name"), "violations", (n == 0).alias("passed"), error.alias("error")))
-    return reduce(DataFrame.unionByName, out) if out else spark.createDataFrame([], fields)
+    return reduce(DataFrame.unionByName, out) if out else literal_rows(spark, [], fields)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deq.functions.names import check_ident
+from deq.session import literal_rows
 
 NODE = ["label", "key"]
 EDGE = ["src_label", "src", "dst_label", "dst", "type"]
@@ -104,7 +105,7 @@ def link_labels(nodes: DataFrame, links: list[tuple[str, str, str]]) -> DataFram
     the pairs are not written out.
     """
     sizes = nodes.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    wanted = nodes.sparkSession.createDataFrame(links, "src_label string, dst_label string, type string")
+    wanted = literal_rows(nodes.sparkSession, links, "src_label string, dst_label string, type string")
     a = sizes.select(F.col("label").alias("src_label"), F.col("n").alias("a"))
     b = sizes.select(F.col("label").alias("dst_label"), F.col("n").alias("b"))
     return wanted.join(a, "src_label").join(b, "dst_label").select(

@@ -11,8 +11,9 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
-from deq.functions.names import check_ident, declared_type, spark_type
+from deq.functions.names import check_ident, declared_type, spark_type, text_width
 from deq.operators.materialize import stored_files
+from deq.session import literal_rows
 
 DELETE = "DELETE"
 
@@ -20,11 +21,13 @@ DELETE = "DELETE"
 def schema_of(fields: list[dict]) -> T.StructType:
     """Spark schema of ``{name, type, required, doc}`` fields; ids are given by position unless set.
 
-    The declared type name is kept as metadata, as Spark drops the width of text.
+    The width of text is kept as metadata, as Spark drops it.
     """
     out = T.StructType()
     for i, f in enumerate(fields):
-        meta = {"id": f.get("id", i + 1), "sql_type": f["type"]}
+        meta = {"id": f.get("id", i + 1)}
+        if text_width(f["type"]) is not None:
+            meta["sql_type"] = f["type"]
         if f.get("doc"):
             meta["comment"] = f["doc"]
         out.add(check_ident(f["name"], strict=True), spark_type(f["type"]), not f.get("required", False), meta)
@@ -70,9 +73,9 @@ def latest_per_key(changes: DataFrame, keys: list[str], order: list[str]) -> Dat
 
 def upsert(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str], op: str = "op") -> DataFrame:
     """Target with the last change of each key applied; a last change DELETE removes the key."""
-    last = latest_per_key(changes, keys, order)
-    kept = target.join(last.select(*keys), keys, "left_anti")
-    alive = last.filter(F.col(op) != DELETE)
+    # The keys alone are read for the anti join; a small change set is broadcast, the target stays put.
+    kept = target.join(changes.select(*keys).distinct(), keys, "left_anti")
+    alive = latest_per_key(changes, keys, order).filter(F.col(op) != DELETE)
     return kept.unionByName(alive.select(*[c for c in target.columns if c in alive.columns]), allowMissingColumns=True)
 
 
@@ -127,8 +130,8 @@ def describe(df: DataFrame, log: DataFrame | None = None, location: str = "") ->
         (f.metadata.get("id", i + 1), f.name, declared_type(f), not f.nullable, f.metadata.get("comment"), location)
         for i, f in enumerate(df.schema.fields)
     ]
-    out = df.sparkSession.createDataFrame(
-        rows, "position int, column string, type string, required boolean, doc string, location string"
+    out = literal_rows(
+        df.sparkSession, rows, "position int, column string, type string, required boolean, doc string, location string"
     )
     if log is None:
         return out.withColumn("snapshots", F.lit(0).cast("bigint"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deq.functions.names import check_ident
 from deq.operators.checks import is_numeric, value_counts
-from deq.operators.quantiles import empirical_ranks, values_at_ranks
+from deq.operators.quantiles import empirical_ranks, exact_quantiles, values_at_ranks
 from deq.session import materialize
 
 # The percentiles of a profile.
@@ -67,17 +69,11 @@ def _distinct(counts: DataFrame, columns: list[str]) -> DataFrame:
     return found.agg(*sums).select(F.inline(F.array(*rows)))
 
 
-def _numeric_values(df: DataFrame, columns: list[str]) -> DataFrame:
-    cells = [F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("number")) for c in columns]
-    return df.select(F.inline(F.array(*cells)))
-
-
 def numeric_quantiles(df: DataFrame, columns: list[str], probabilities: dict[str, float]) -> DataFrame:
     """``column`` and one column per probability, exact, for columns of numbers."""
-    from deq.operators.quantiles import exact_quantiles
-
-    found = exact_quantiles(_numeric_values(df, columns).withColumnRenamed("name", "column"), ["column"], "number", probabilities)
-    return _spread(found, probabilities)
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("number")) for c in columns]
+    values = df.select(F.inline(F.array(*cells)))
+    return _spread(exact_quantiles(values, ["column"], "number", probabilities, few_keys=True), probabilities)
 
 
 def _spread(found: DataFrame, probabilities: dict[str, float]) -> DataFrame:
@@ -98,8 +94,8 @@ def profile_percentiles(df: DataFrame, columns: list[str], approximate: bool = F
 def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row per column with all statistics.
 
-    One scan answers counts, extremes and moments; one shuffle of counted values answers distinct
-    counts and percentiles together.
+    One scan answers counts, extremes and moments; the counted values of the numeric columns
+    answer distinct counts and percentiles together, those of the others distinct counts only.
     """
     columns = [check_ident(c) for c in columns]
     stats = {
@@ -109,29 +105,36 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
         "mean": _moment(df, F.avg),
         "stddev": _moment(df, F.stddev_samp),
     }
-    scanned = _per_column(df, columns, stats)
-    counts = materialize(
-        value_counts(df, columns, numeric=True)
-        .repartitionByRange("name", "number", "value")
-        .withColumn("part", F.spark_partition_id())
-    )
-    distinct = _distinct(counts, columns)
-    numbers = counts.select(F.col("name").alias("column"), "number", "n", "part")
-    spread = _spread(values_at_ranks(numbers, ["column"], "number", empirical_ranks(PERCENTILES)), PERCENTILES)
-    rate = F.when(F.col("rows") > 0, F.col("null_count") / F.col("rows")).otherwise(F.lit(0.0))
-    return (
-        scanned.join(distinct, "column", "left")
-        .join(spread, "column", "left")
-        .select(
-            "column",
-            F.col("rows").alias("row_count"),
-            "null_count",
-            rate.alias("null_rate"),
-            F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"),
-            "min",
-            "max",
-            "mean",
-            "stddev",
-            *PERCENTILES,
+    out = _per_column(df, columns, stats)
+    numeric = [c for c in columns if is_numeric(df, c)]
+    others = [c for c in columns if c not in numeric]
+    distinct = []
+    if others:
+        distinct.append(_distinct(value_counts(df, others), others))
+    if numeric:
+        counts = materialize(
+            value_counts(df, numeric, numeric=True)
+            .repartitionByRange("name", "number", "value")
+            .withColumn("part", F.spark_partition_id())
         )
+        distinct.append(_distinct(counts, numeric))
+        numbers = counts.select(F.col("name").alias("column"), "number", "n", "part")
+        found = values_at_ranks(numbers, ["column"], "number", empirical_ranks(PERCENTILES), few_keys=True)
+        out = out.join(F.broadcast(_spread(found, PERCENTILES)), "column", "left")
+    else:
+        out = out.withColumns({p: F.lit(None).cast("double") for p in PERCENTILES})
+    # One row per column on every side.
+    out = out.join(F.broadcast(reduce(DataFrame.unionByName, distinct)), "column", "left")
+    rate = F.when(F.col("rows") > 0, F.col("null_count") / F.col("rows")).otherwise(F.lit(0.0))
+    return out.select(
+        "column",
+        F.col("rows").alias("row_count"),
+        "null_count",
+        rate.alias("null_rate"),
+        F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"),
+        "min",
+        "max",
+        "mean",
+        "stddev",
+        *PERCENTILES,
     )

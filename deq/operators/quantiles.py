@@ -24,11 +24,15 @@ def ranged_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return materialize(ranged.withColumn("part", F.spark_partition_id()))
 
 
-def values_at_ranks(counts: DataFrame, keys: Sequence[str], value: str, ranks: dict[str, Column]) -> DataFrame:
+def values_at_ranks(
+    counts: DataFrame, keys: Sequence[str], value: str, ranks: dict[str, Column], few_keys: bool = False
+) -> DataFrame:
     """Smallest value of each key whose running count reaches the rank.
 
     ``counts`` comes from :func:`ranged_counts`; ``ranks`` names expressions over the column
-    ``total``, the number of values of the key. Result: ``keys, name, value``.
+    ``total``, the number of values of the key. Result: ``keys, name, value``. With ``few_keys``
+    (the keys are column names, so there is one wanted range per column and rank) the wanted
+    ranges are broadcast and the counted values stay where they are.
     """
     keys = list(keys)
     present = counts.filter(F.col(value).isNotNull())
@@ -48,7 +52,7 @@ def values_at_ranks(counts: DataFrame, keys: Sequence[str], value: str, ranks: d
         .filter((F.col("ahead") < F.col("rank")) & (F.col("ahead") + F.col("size") >= F.col("rank")))
         .drop("size")
     )
-    left, right = present.alias("v"), wanted.alias("w")
+    left, right = present.alias("v"), (F.broadcast(wanted) if few_keys else wanted).alias("w")
     same = F.col("v.part") == F.col("w.part")
     for key in keys:
         same = same & F.col(f"v.{key}").eqNullSafe(F.col(f"w.{key}"))
@@ -68,9 +72,11 @@ def empirical_ranks(probabilities: dict[str, float]) -> dict[str, Column]:
     return {name: F.greatest(F.lit(p) * F.col("total"), F.lit(1.0)) for name, p in probabilities.items()}
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: dict[str, float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, probabilities: dict[str, float], few_keys: bool = False
+) -> DataFrame:
     """Empirical quantiles per key, long form: ``keys, name, value``."""
-    return values_at_ranks(ranged_counts(df, keys, value), keys, value, empirical_ranks(probabilities))
+    return values_at_ranks(ranged_counts(df, keys, value), keys, value, empirical_ranks(probabilities), few_keys)
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

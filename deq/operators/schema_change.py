@@ -9,11 +9,11 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deq.functions.names import check_ident, check_type_name, is_narrowing, spark_type, text_width
-from deq.session import scratch_path
+from deq.session import literal_rows, scratch_path
 
 DIFF_COLUMNS = ["dataset", "name", "change", "from_type", "to_type", "breaking"]
 
@@ -22,6 +22,15 @@ TRANSFORM_CHARS = r"""^[a-zA-Z0-9_.(),:'"\s+\-*/|]+$"""
 UNSAFE_KEYWORDS = r"(?i)\b(DELETE|DROP|INSERT|UPDATE|CREATE|ALTER|TRUNCATE|EXECUTE|GRANT|REVOKE)\b"
 
 
+# Literals and calls a column default may be.
+DEFAULT_VALUE = r"^(\d+(\.\d+)?|'[^']*'|[a-zA-Z_][a-zA-Z0-9_]*\(\)|true|false|NULL)$"
+
+COLUMN_FIELDS = (
+    "dataset string, position int, column string, type string, nullable boolean, primary_key boolean, "
+    "unique boolean, default string"
+)
+
+
 class BreakingChange(ValueError):
     """A plan holds a breaking change and the policy is to block."""
 
@@ -38,6 +47,25 @@ def _change(df: DataFrame, change: str, name, breaking: bool, from_type=None, to
     )
 
 
+def declared_schema(spark: SparkSession, definitions: list[dict]) -> tuple[DataFrame, DataFrame]:
+    """Column and index tables out of ``{table, columns, indexes}`` definitions."""
+    columns, indexes = [], []
+    for d in definitions:
+        table = check_ident(d["table"], strict=True)
+        for i, c in enumerate(d.get("columns") or []):
+            default = c.get("default") or ""
+            if default and not re.match(DEFAULT_VALUE, default):
+                raise ValueError(f"column default {default!r} is invalid")
+            name, kind = check_ident(c["name"], strict=True), check_type_name(c["type"])
+            flags = [bool(c.get(k, False)) for k in ("nullable", "primaryKey", "unique")]
+            columns.append((table, i, name, kind, *flags, default))
+        for x in d.get("indexes") or []:
+            names = ",".join(check_ident(c, strict=True) for c in x["columns"])
+            indexes.append((table, x.get("name") or "", names, bool(x.get("unique", False))))
+    index_rows = literal_rows(spark, indexes, "dataset string, name string, columns string, unique boolean")
+    return literal_rows(spark, columns, COLUMN_FIELDS), index_rows.withColumn("columns", F.split("columns", ","))
+
+
 def schema_diff(desired: DataFrame, live: DataFrame, desired_indexes: DataFrame | None = None, live_indexes: DataFrame | None = None) -> DataFrame:
     """``dataset, name, change, from_type, to_type, breaking`` from live to desired.
 

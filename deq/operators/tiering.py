@@ -32,7 +32,7 @@ def archive_rows(df: DataFrame, limit: datetime, time_column: str = "ts", measur
     """
     old = df.filter(F.col(time_column) < F.lit(limit))
     rest = [c for c in df.columns if c not in (time_column, measurement, tags)]
-    tag_text = sorted_json(F.col(tags)) if tags in df.columns else F.lit("null")
+    tag_text = F.coalesce(sorted_json(F.col(tags)), F.lit("null")) if tags in df.columns else F.lit("null")
     return old.select(
         (F.unix_micros(F.col(time_column).cast("timestamp")) * 1000).alias("timestamp"),
         F.coalesce(F.col(measurement), F.lit("")).alias("measurement"),

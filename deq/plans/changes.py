@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from deq.operators import lake, tenancy
@@ -212,9 +211,7 @@ def tenant_resolve(spark, folder):
 QUERIES = {
     "cdc_filter": cdc_filter_rows,
     "cdc_snapshot": cdc_snapshot,
-    "cdc_schema_history": lambda s, f: schema_history(_ddl(s, f), "t7").withColumn(
-        "position", F.row_number().over(Window.partitionBy("tbl").orderBy("version"))
-    ),
+    "cdc_schema_history": lambda s, f: schema_history(_ddl(s, f), "t7"),
     "cdc_table_stats": cdc_table_stats,
     "cdc_lag": _lag,
     "cdc_backpressure": cdc_backpressure,
@@ -275,7 +272,7 @@ ORACLES = {
     "cdc_filter": f"SELECT seq, op, tbl, k FROM {CHANGES} WHERE tbl = 'public.users' AND op IN ('INSERT', 'DELETE')",
     "cdc_snapshot": _sql_snapshot(),
     "cdc_schema_history": """SELECT 't7' AS tbl, event_id AS version, concat('ALTER TABLE t7 ADD COLUMN c', CAST(event_id AS VARCHAR)) AS ddl,
-        ts AS applied_at, CAST(row_number() OVER (ORDER BY event_id) AS INTEGER) AS position
+        ts AS applied_at
         FROM events WHERE event_type = 'signup' AND user_id = 7""",
     "cdc_table_stats": f"""SELECT *, CASE WHEN ddls > 0 THEN
         concat('DDL changes: ', ddls, ' (inserts:', inserts, ' updates:', updates, ' deletes:', deletes, ')') END AS ddl

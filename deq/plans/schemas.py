@@ -17,7 +17,8 @@ from deq.operators.schema_change import (
     schema_diff,
     verify_expand,
 )
-from deq.plans.tables import PAYLOADS, declared_columns, declared_sql, dirty, payloads, DIRTY
+from deq.plans.tables import DIRTY, PAYLOADS, declared_columns, declared_sql, dirty, payloads
+from deq.session import scratch_path
 from deq.sources.tables import scan
 
 
@@ -99,15 +100,21 @@ def _lineage(spark, folder):
     return catalog.record_lineage(reads, writes)
 
 
+def _stored_lineage(spark, folder):
+    path = scratch_path(spark, "lineage")
+    _lineage(spark, folder).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def lineage_query(spark, folder):
-    edges = _lineage(spark, folder)
+    edges = _stored_lineage(spark, folder)
     down = catalog.query_lineage(edges, "region:1", "downstream", 2)
     both = catalog.query_lineage(edges, "nation:5", "both", 1)
     return down.withColumn("asked", F.lit("region:1")).unionByName(both.withColumn("asked", F.lit("nation:5")))
 
 
 def lineage_edges(spark, folder):
-    edges = _lineage(spark, folder)
+    edges = _stored_lineage(spark, folder)
     return catalog.lineage_edges(edges, catalog.query_lineage(edges, "region:2", "downstream", 1), "region:2")
 
 

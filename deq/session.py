@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import functions as F
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -13,6 +14,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # Split a hot key even where the split costs one more shuffle.
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return spark
 
 
@@ -37,7 +40,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df):
+def literal_rows(spark: SparkSession, rows: list[tuple], fields: str) -> DataFrame:
+    """A few rows written into the plan itself; no job has to ship them."""
+    schema = T.StructType.fromDDL(fields)
+    cells = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)]) for row in rows
+    ]
+    if not cells:
+        return spark.createDataFrame([], schema)
+    return spark.range(1).select(F.inline(F.array(*cells)))
+
+
+def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint, so that later steps see one fixed result."""
     scratch_root(df.sparkSession)
     return df.checkpoint(eager=True)

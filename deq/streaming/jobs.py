@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from deq.operators.change_data import cdc_filter, monitor, source_lag
 from deq.operators.lake import as_of, latest_per_key
+from deq.session import literal_rows
 
 
 def read_files(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None, pattern: str = "*.parquet") -> DataFrame:
@@ -81,10 +82,11 @@ def apply_changes(stream: DataFrame, log: str, rejected: str, checkpoint: str, k
         bad = bad | F.col(c).isNull()
 
     def store(batch: DataFrame, number: int) -> None:
-        marked = batch.withColumn("_bad", bad)
+        marked = batch.withColumn("_bad", bad).persist()
         marked.filter("_bad").drop("_bad").write.mode("overwrite").parquet(f"{rejected}/batch={number}")
         good = latest_per_key(marked.filter("NOT _bad").drop("_bad"), keys, order)
         good.write.mode("overwrite").parquet(f"{log}/batch={number}")
+        marked.unpersist()
 
     return (
         stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(**_trigger(every)).start()
@@ -140,4 +142,4 @@ def stream_status(spark: SparkSession, query: StreamingQuery, name: str) -> Data
     newest = [p["eventTime"]["max"] for p in progress if (p["eventTime"] or {}).get("max")]
     state = "running" if query.isActive else "stopped"
     one = [(name, state, len(progress), rows, max(newest) if newest else None)]
-    return spark.createDataFrame(one, "source_id string, state string, batches int, rows bigint, last_event string")
+    return literal_rows(spark, one, "source_id string, state string, batches int, rows bigint, last_event string")
