@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from deq.functions.names import check_ident
 from deq.sources.layouts import write_partitioned
@@ -86,14 +87,18 @@ def promote(df: DataFrame, tenants: DataFrame, column: str, dest: str) -> DataFr
     spark = df.sparkSession
     moving = _only(df, tenants, column, "left_semi")
     write_partitioned(moving.withColumn("tenant", F.col(column).cast("string")), dest, ["tenant"], mode="overwrite")
-    copied = tenant_counts(read_promoted(spark, dest), "tenant")
+    copied = tenant_counts(read_promoted(spark, dest, df.schema), "tenant")
     verify_counts(tenant_counts(moving, column), copied)
     return copied
 
 
-def read_promoted(spark: SparkSession, dest: str) -> DataFrame:
-    """All promoted rows; a filter on ``tenant`` opens that tenant's folder only."""
-    return spark.read.option("partitionColumnTypeInference.enabled", "false").parquet(dest)
+def read_promoted(spark: SparkSession, dest: str, schema: StructType) -> DataFrame:
+    """All promoted rows; a filter on ``tenant`` opens that tenant's folder only.
+
+    ``schema`` is that of the shared table, so that a run that moved nobody reads as no rows.
+    """
+    rest = [f for f in schema.fields if f.name != "tenant"]
+    return spark.read.schema(StructType(rest).add("tenant", "string")).parquet(dest)
 
 
 def verify_counts(source: DataFrame, copy: DataFrame) -> None:

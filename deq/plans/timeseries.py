@@ -96,7 +96,7 @@ def points_by_measurement(spark, folder):
 def ts_chunks(spark, folder):
     path = scratch_path(spark, "chunks")
     chunked_table(events(spark, folder), path, "ts", "1d")
-    kept = read_chunks(spark.read.option("partitionColumnTypeInference.enabled", "false").parquet(path), "ts", datetime(2024, 1, 5), datetime(2024, 1, 12, 12))
+    kept = read_chunks(spark.read.parquet(path), "ts", datetime(2024, 1, 5), datetime(2024, 1, 12, 12))
     return kept.groupBy(F.col("chunk").cast("string").alias("chunk")).agg(
         F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
     )

@@ -216,7 +216,14 @@ def test_promote_then_demote_is_the_identity(spark, rows):
     assert rows(moved) == [("a", 50), ("b", 20)]
     left = tenancy.without_tenants(df, big, "tenant_id")
     assert rows(left) == [("c", 1), (None, 2)]
-    assert rows(tenancy.demote(left, tenancy.read_promoted(spark, path))) == rows(df)
+    assert rows(tenancy.demote(left, tenancy.read_promoted(spark, path, df.schema))) == rows(df)
+
+
+def test_promoting_nobody(spark):
+    df, path = shared(spark), scratch_path(spark, "tenants")
+    nobody = spark.createDataFrame([], "tenant string")
+    assert tenancy.promote(df, nobody, "tenant_id", path).count() == 0
+    assert tenancy.read_promoted(spark, path, df.schema).count() == 0
 
 
 def test_a_short_copy_is_noticed(spark):
