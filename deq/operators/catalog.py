@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deq.functions.names import declared_type
+from deq.operators.skew import join_skewed
 from deq.session import literal_rows, materialize
 
 
@@ -81,10 +82,9 @@ def _walk(edges: DataFrame, start: DataFrame, depth: int, forward: bool) -> Data
     frontier, seen = start, start
     reached = []
     for level in range(1, depth + 1):
-        pipelines = frontier.join(hops, "node").select(F.col("next").alias("node")).distinct()
-        frontier = (
-            pipelines.join(hops, "node").select(F.col("next").alias("node")).distinct().join(seen, "node", "left_anti")
-        )
+        pipelines = join_skewed(hops, frontier, ["node"], "left_semi").select(F.col("next").alias("node")).distinct()
+        reach = join_skewed(hops, pipelines, ["node"], "left_semi").select(F.col("next").alias("node")).distinct()
+        frontier = reach.join(seen, "node", "left_anti")
         if level < depth:
             frontier = materialize(frontier)
         reached.append(frontier.withColumn("depth", F.lit(level)))
@@ -112,6 +112,6 @@ def lineage_edges(edges: DataFrame, found: DataFrame, dataset: str) -> DataFrame
     """The recorded edges that touch the dataset or a dataset found by :func:`query_lineage`."""
     start = literal_rows(edges.sparkSession, [(dataset,)], "node string")
     nodes = found.select(F.col("dataset").alias("node")).unionByName(start).distinct()
-    out_of = edges.join(nodes.withColumnRenamed("node", "src"), "src", "left_semi")
-    into = edges.join(nodes.withColumnRenamed("node", "dst"), "dst", "left_semi")
-    return out_of.unionByName(into).distinct()
+    out_of = join_skewed(edges, nodes.withColumnRenamed("node", "src"), ["src"], "left_semi")
+    into = join_skewed(edges, nodes.withColumnRenamed("node", "dst"), ["dst"], "left_semi")
+    return out_of.select(*edges.columns).unionByName(into.select(*edges.columns)).distinct()

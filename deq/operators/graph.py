@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deq.functions.names import check_ident
+from deq.operators.skew import join_skewed
 from deq.session import literal_rows
 
 NODE = ["label", "key"]
@@ -133,4 +134,4 @@ def match_two_hops(edges: DataFrame, first: tuple[str, str, str], second: tuple[
     on both sides is never multiplied out.
     """
     fan = _of(edges, *second).groupBy(F.col("src").alias("dst")).agg(F.count(F.lit(1)).alias("n"))
-    return _of(edges, *first).join(fan, "dst").groupBy("src").agg(F.sum("n").alias("paths"))
+    return join_skewed(_of(edges, *first), fan, ["dst"]).groupBy("src").agg(F.sum("n").alias("paths"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deq.functions.names import check_ident, check_type_name, is_narrowing, spark_type, text_width
+from deq.operators.skew import join_skewed
 from deq.session import literal_rows, scratch_path
 
 DIFF_COLUMNS = ["dataset", "name", "change", "from_type", "to_type", "breaking"]
@@ -74,8 +75,8 @@ def schema_diff(desired: DataFrame, live: DataFrame, desired_indexes: DataFrame
     wanted, present = desired.select("dataset").distinct(), live.select("dataset").distinct()
     parts = [_change(wanted.join(present, "dataset", "left_anti"), "add_table", F.col("dataset"), False, to_type=None)]
 
-    new = desired.join(present, "dataset", "left_semi").select("dataset", "column", F.col("type").alias("to_type"))
-    old = live.join(wanted, "dataset", "left_semi").select("dataset", "column", F.col("type").alias("from_type"))
+    new = join_skewed(desired.select("dataset", "column", F.col("type").alias("to_type")), present, ["dataset"], "left_semi")
+    old = join_skewed(live.select("dataset", "column", F.col("type").alias("from_type")), wanted, ["dataset"], "left_semi")
     narrow = is_narrowing(F.col("from_type"), F.col("to_type"))
     change = (
         F.when(F.col("from_type").isNull(), "add_column")
@@ -103,7 +104,7 @@ def schema_diff(desired: DataFrame, live: DataFrame, desired_indexes: DataFrame
         )
         key = ["dataset", "columns", "unique"]
         added = desired_indexes.join(live_indexes.select(*key), key, "left_anti")
-        dropped = live_indexes.join(desired_indexes.select(*key), key, "left_anti").join(wanted, "dataset", "left_semi")
+        dropped = join_skewed(live_indexes.join(desired_indexes.select(*key), key, "left_anti"), wanted, ["dataset"], "left_semi")
         parts += [_change(added, "add_index", label, False), _change(dropped, "drop_index", label, True)]
     return reduce(DataFrame.unionByName, parts)
 
@@ -124,8 +125,8 @@ def layer_diff(source: DataFrame, registry: DataFrame) -> DataFrame:
     """
     a, b = source.select("dataset", "column").distinct(), registry.select("dataset", "column").distinct()
     in_a, in_b = a.select("dataset").distinct(), b.select("dataset").distinct()
-    only_a = a.join(in_b, "dataset", "left_semi").join(b, ["dataset", "column"], "left_anti")
-    only_b = b.join(in_a, "dataset", "left_semi").join(a, ["dataset", "column"], "left_anti")
+    only_a = join_skewed(a.join(b, ["dataset", "column"], "left_anti"), in_b, ["dataset"], "left_semi")
+    only_b = join_skewed(b.join(a, ["dataset", "column"], "left_anti"), in_a, ["dataset"], "left_semi")
     return only_a.withColumn("missing_in", F.lit("schema_registry")).unionByName(
         only_b.withColumn("missing_in", F.lit("source_db"))
     )

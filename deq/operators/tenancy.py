@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from deq.functions.names import check_ident
+from deq.operators.skew import join_skewed
 from deq.sources.layouts import write_partitioned
 
 # Isolation tiers, lowest first.
@@ -76,7 +77,7 @@ def tenant_counts(df: DataFrame, column: str) -> DataFrame:
 
 def _only(df: DataFrame, tenants: DataFrame, column: str, how: str) -> DataFrame:
     chosen = tenants.select(F.col("tenant").alias(column)).distinct()
-    return df.join(chosen, column, how)
+    return join_skewed(df, chosen, [column], how)
 
 
 def promote(df: DataFrame, tenants: DataFrame, column: str, dest: str) -> DataFrame:
@@ -88,7 +89,9 @@ def promote(df: DataFrame, tenants: DataFrame, column: str, dest: str) -> DataFr
     moving = _only(df, tenants, column, "left_semi")
     write_partitioned(moving.withColumn("tenant", F.col(column).cast("string")), dest, ["tenant"], mode="overwrite")
     copied = tenant_counts(read_promoted(spark, dest, df.schema), "tenant")
-    verify_counts(tenant_counts(moving, column), copied)
+    # Counted per tenant before the list is applied: one row per tenant meets the list.
+    source = tenant_counts(df, column).join(tenants.select("tenant"), "tenant", "left_semi")
+    verify_counts(source, copied)
     return copied
 
 

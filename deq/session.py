@@ -52,6 +52,12 @@ def literal_rows(spark: SparkSession, rows: list[tuple], fields: str) -> DataFra
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so that later steps see one fixed result."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a result to the shared folder and read it back.
+
+    Cuts the lineage, so that later steps see one fixed result and a lost executor costs no
+    recomputation; as a Parquet table it is compressed, pruned by column and known by size.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -11,12 +11,8 @@ from pyspark.sql import functions as F
 # What counts as an RFC 3339 instant.
 RFC3339 = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
 
-_NUMBERS = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
-
-
 def _is_number(value: Column) -> Column:
-    kind = F.schema_of_variant(value)
-    return kind.isin(*_NUMBERS) | kind.startswith("DECIMAL")
+    return F.schema_of_variant(value).rlike("^(BIGINT|DOUBLE|DECIMAL)")
 
 
 def _text(value: Column) -> Column:
@@ -49,7 +45,7 @@ def normalize_points(df: DataFrame, payload: str, now=None, need_fields: bool =
         F.try_variant_get("_b", "$.tags", "map<string,variant>").alias("_t"),
         F.try_variant_get("_b", "$.fields", "map<string,variant>").alias("_f"),
         F.try_variant_get("_b", "$.timestamp", "variant").alias("_s"),
-        F.col("_b").isNotNull().alias("_ok"),
+        (F.col("_b").isNotNull() & F.ltrim(payload).startswith("{")).alias("_ok"),
     )
     none = F.create_map().cast("map<string,variant>")
     name = F.when(F.schema_of_variant("_m") == "STRING", _text(F.col("_m")))

@@ -45,6 +45,13 @@ def test_unique_treats_both_zeros_as_one_value(spark):
     assert row["value"] == 1
 
 
+def test_long_text_is_counted_by_its_content(spark):
+    texts = ["x" * 5000, "x" * 5000, "x" * 4999 + "y", "é" * 64, "é" * 64, "a" * 63, "a" * 63, None]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    assert one(quality_check(df, [{"type": "unique", "columns": ["value"]}]))["value"] == 3
+    assert one(profile_distinct(df, ["value"]))["distinct_count"] == 4
+
+
 def test_row_count_bounds_are_inclusive_and_may_be_absent(spark):
     df = spark.range(5).toDF("id")
     checks = [{"type": "row_count", **c} for c in ({"min": 5, "max": 5}, {"min": 6}, {"max": 4}, {}, {"min": -1})]
