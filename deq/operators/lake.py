@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from deq.functions.names import check_ident, declared_type, spark_type, text_width
 from deq.operators.materialize import stored_files
-from deq.session import literal_rows
+from deq.session import literal_rows, materialize
+from deq.sources.layouts import write_partitioned
 
 DELETE = "DELETE"
 
@@ -79,6 +80,37 @@ def upsert(target: DataFrame, changes: DataFrame, keys: list[str], order: list[s
     return kept.unionByName(alive.select(*[c for c in target.columns if c in alive.columns]), allowMissingColumns=True)
 
 
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    """The storage bucket of a key."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def write_bucketed(df: DataFrame, path: str, keys: list[str], buckets: int) -> None:
+    """Write a keyed table in one folder per bucket, for :func:`upsert_table`."""
+    write_partitioned(df.withColumn("bucket", bucket_of(keys, buckets)), path, ["bucket"], mode="overwrite")
+
+
+def upsert_table(spark: SparkSession, path: str, changes: DataFrame, keys: list[str], order: list[str], buckets: int, op: str = "op") -> int:
+    """Apply changes to a table that :func:`write_bucketed` made; returns the buckets rewritten.
+
+    Only buckets with a change are read and replaced. The new content is stored beside the table
+    first, so nothing is read from the folders that are being overwritten and a second try gives
+    the same result. A bucket that loses its last row keeps an empty file.
+    """
+    placed = changes.withColumn("bucket", bucket_of(keys, buckets))
+    # At most one row per bucket comes to the driver; the literal list prunes the folders.
+    touched = [r["bucket"] for r in placed.select("bucket").distinct().collect()]
+    if not touched:
+        return 0
+    target = spark.read.parquet(path).filter(F.col("bucket").isin(touched))
+    merged = materialize(upsert(target, placed, keys, order, op).withColumn("bucket", bucket_of(keys, buckets)))
+    emptied = set(touched) - {r["bucket"] for r in merged.select("bucket").distinct().collect()}
+    write_partitioned(merged, path, ["bucket"], mode="overwrite")
+    for bucket in emptied:
+        merged.drop("bucket").limit(0).coalesce(1).write.mode("overwrite").parquet(f"{path}/bucket={bucket}")
+    return len(touched)
+
+
 def snapshots(log: DataFrame, version: str = "version") -> DataFrame:
     """``version, committed_at, inserts, updates, deletes, rows`` per version."""
     return log.groupBy(version).agg(

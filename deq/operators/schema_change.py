@@ -125,8 +125,8 @@ def layer_diff(source: DataFrame, registry: DataFrame) -> DataFrame:
     """
     a, b = source.select("dataset", "column").distinct(), registry.select("dataset", "column").distinct()
     in_a, in_b = a.select("dataset").distinct(), b.select("dataset").distinct()
-    only_a = join_skewed(a.join(b, ["dataset", "column"], "left_anti"), in_b, ["dataset"], "left_semi")
-    only_b = join_skewed(b.join(a, ["dataset", "column"], "left_anti"), in_a, ["dataset"], "left_semi")
+    only_a = join_skewed(a, in_b, ["dataset"], "left_semi").join(b, ["dataset", "column"], "left_anti")
+    only_b = join_skewed(b, in_a, ["dataset"], "left_semi").join(a, ["dataset", "column"], "left_anti")
     return only_a.withColumn("missing_in", F.lit("schema_registry")).unionByName(
         only_b.withColumn("missing_in", F.lit("source_db"))
     )

@@ -11,6 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql import functions as F
 
+# A side of at most this many rows and bytes is broadcast.
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32_000_000
+
 # A key is hot when it holds more than one row in HOT_SHARE, so there are fewer hot keys than that.
 HOT_SHARE = 10_000
 SALTS = 64
@@ -23,6 +27,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counts.filter(F.col("n") * HOT_SHARE > total).select("_hash")
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether a side has been counted and found small enough to broadcast."""
+    size = F.octet_length(F.to_json(F.struct("*")))
+    seen = df.limit(BROADCAST_ROWS + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes")).first()
+    return seen["rows"] <= BROADCAST_ROWS and (seen["bytes"] or 0) <= BROADCAST_BYTES
+
+
 def _hashable(data_type: T.DataType) -> bool:
     if isinstance(data_type, T.StructType):
         return all(_hashable(f.dataType) for f in data_type.fields)
@@ -34,13 +45,18 @@ def _hashable(data_type: T.DataType) -> bool:
 def join_skewed(big: DataFrame, unique: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join ``big``, where a key may be hot, with ``unique``, where every key occurs once.
 
-    The rows of a hot key are spread over SALTS tasks, and its one row on the other side is
-    repeated for each. ``how`` is inner, left, left_semi or left_anti. The salt depends on the
+    ``how`` is inner, left, left_semi or left_anti. A unique side that is counted and found small
+    is broadcast, and ``big`` is not shuffled at all. Else the rows of a hot key are spread over
+    SALTS tasks, and its one row on the other side is repeated for each. The salt depends on the
     row's content alone, so a task that runs again sends every row to the same place.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unknown join type {how!r}")
     keys = list(keys)
+    if how in ("left_semi", "left_anti"):
+        unique = unique.select(*keys)
+    if is_small(unique):
+        return big.join(F.broadcast(unique), keys, how)
     hot = F.broadcast(hot_keys(big, keys).withColumn("_hot", F.lit(True)))
     content = [f.name for f in big.schema.fields if _hashable(f.dataType)]
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*content), F.lit(SALTS)).cast("int")).otherwise(0)

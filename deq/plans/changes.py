@@ -82,6 +82,14 @@ def lake_upsert(spark, folder):
     return lake.upsert(_target(spark, folder), recent, KEY, ORDER)
 
 
+def lake_upsert_table(spark, folder):
+    path = scratch_path(spark, "keyed")
+    lake.write_bucketed(_target(spark, folder), path, KEY, 16)
+    recent = changes(spark, folder).filter(F.col("ts") >= F.lit(CUT))
+    lake.upsert_table(spark, path, recent, KEY, ORDER, 16)
+    return spark.read.parquet(path).drop("bucket")
+
+
 def _log(spark, folder):
     return changes(spark, folder).withColumn("version", F.dayofmonth("ts"))
 
@@ -220,6 +228,7 @@ QUERIES = {
     "lake_append": lake_append,
     "lake_overwrite": lake_overwrite,
     "lake_upsert": lake_upsert,
+    "lake_upsert_table": lake_upsert_table,
     "lake_compact": lake_compact,
     "lake_snapshots": lambda s, f: lake.snapshots(_log(s, f)),
     "lake_as_of": lambda s, f: lake.as_of(_log(s, f), KEY, ORDER, version=9),
@@ -268,6 +277,10 @@ _BIG = f"(SELECT tenant FROM {TENANT_ORDERS} GROUP BY tenant HAVING count(*) > 6
 _TIERS = "(['row_level', 'schema_per_tenant', 'db_per_tenant'])"
 _HOURS = "greatest((epoch(max(o_orderdate)) - epoch(min(o_orderdate))) / 3600, 1.0)"
 
+_SQL_UPSERT = f"""WITH old AS (SELECT * EXCLUDE (op) FROM {_latest("ts < TIMESTAMP '2024-01-16'")} WHERE op <> 'DELETE'),
+  new AS (SELECT * FROM {_latest("ts >= TIMESTAMP '2024-01-16'")})
+  SELECT * FROM old WHERE k NOT IN (SELECT k FROM new) UNION ALL SELECT * EXCLUDE (op) FROM new WHERE op <> 'DELETE'"""
+
 ORACLES = {
     "cdc_filter": f"SELECT seq, op, tbl, k FROM {CHANGES} WHERE tbl = 'public.users' AND op IN ('INSERT', 'DELETE')",
     "cdc_snapshot": _sql_snapshot(),
@@ -291,9 +304,8 @@ ORACLES = {
     "lake_append": """SELECT event_id, event_type, CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN value END AS value FROM events""",
     "lake_overwrite": """SELECT CAST(day(ts) AS INTEGER) AS day, count(*) AS n,
         round(sum(CASE WHEN day(ts) > 20 THEN value * 2 ELSE value END), 4) AS total FROM events GROUP BY 1""",
-    "lake_upsert": f"""WITH old AS (SELECT * EXCLUDE (op) FROM {_latest("ts < TIMESTAMP '2024-01-16'")} WHERE op <> 'DELETE'),
-        new AS (SELECT * FROM {_latest("ts >= TIMESTAMP '2024-01-16'")})
-        SELECT * FROM old WHERE k NOT IN (SELECT k FROM new) UNION ALL SELECT * EXCLUDE (op) FROM new WHERE op <> 'DELETE'""",
+    "lake_upsert": _SQL_UPSERT,
+    "lake_upsert_table": _SQL_UPSERT,
     "lake_compact": "SELECT event_id, value, ts, true AS fewer_files FROM events",
     "lake_snapshots": f"""SELECT CAST(day(ts) AS INTEGER) AS version, min(ts) AS committed_at, count(*) FILTER (op = 'INSERT') AS inserts,
         count(*) FILTER (op = 'UPDATE') AS updates, count(*) FILTER (op = 'DELETE') AS deletes, count(*) AS rows FROM {CHANGES} GROUP BY 1""",

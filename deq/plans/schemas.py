@@ -18,7 +18,7 @@ from deq.operators.schema_change import (
     verify_expand,
 )
 from deq.plans.tables import DIRTY, PAYLOADS, declared_columns, declared_sql, dirty, payloads
-from deq.session import scratch_path
+from deq.session import materialize
 from deq.sources.tables import scan
 
 
@@ -38,12 +38,17 @@ def _indexes(spark, folder, status):
     )
 
 
+def _columns(spark, folder, status, shift):
+    """Column metadata as a stored table, as a catalog would hold it."""
+    return materialize(declared_columns(spark, folder, status, shift))
+
+
 def schema_diff_rows(spark, folder):
     return schema_diff(
-        declared_columns(spark, folder, "O", 2),
-        declared_columns(spark, folder, "F", 1),
-        _indexes(spark, folder, "O"),
-        _indexes(spark, folder, "F"),
+        _columns(spark, folder, "O", 2),
+        _columns(spark, folder, "F", 1),
+        materialize(_indexes(spark, folder, "O")),
+        materialize(_indexes(spark, folder, "F")),
     )
 
 
@@ -101,9 +106,7 @@ def _lineage(spark, folder):
 
 
 def _stored_lineage(spark, folder):
-    path = scratch_path(spark, "lineage")
-    _lineage(spark, folder).write.parquet(path)
-    return spark.read.parquet(path)
+    return materialize(_lineage(spark, folder))
 
 
 def lineage_query(spark, folder):
@@ -223,8 +226,8 @@ def entities_by_type(spark, folder):
 QUERIES = {
     "schema_diff": schema_diff_rows,
     "schema_plan_safety": lambda s, f: plan_safety(schema_diff_rows(s, f)),
-    "schema_layer_diff": lambda s, f: layer_diff(declared_columns(s, f, "O", 2), declared_columns(s, f, "F", 1)),
-    "schema_layer_consistent": lambda s, f: layer_consistency(declared_columns(s, f, "F", 1), declared_columns(s, f, "O", 1)),
+    "schema_layer_diff": lambda s, f: layer_diff(_columns(s, f, "O", 2), _columns(s, f, "F", 1)),
+    "schema_layer_consistent": lambda s, f: layer_consistency(_columns(s, f, "F", 1), _columns(s, f, "O", 1)),
     "schema_apply": lambda s, f: apply_plan(scan(s, "orders", f), PLAN, policy="warn", mode="blue_green"),
     "migrate_expand": lambda s, f: expand(dirty(s, f), EXPAND).withColumn("amount", F.col("amount").cast("double")),
     "migrate_verify": lambda s, f: verify_expand(expand(dirty(s, f), EXPAND), EXPAND),

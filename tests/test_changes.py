@@ -141,6 +141,28 @@ def test_upsert_twice_changes_nothing(spark, rows):
     assert rows(lake.upsert(once, new, KEYS, ORDER)) == rows(once)
 
 
+@pytest.mark.parametrize("buckets", [1, 8, 64])
+def test_bucketed_upsert_equals_replay(spark, buckets):
+    data, df = log(spark)
+    path = scratch_path(spark, "keyed")
+    lake.write_bucketed(lake.as_of(df.filter("version < 5"), KEYS, ORDER, version=99), path, KEYS, buckets)
+    for version in range(5, 10):
+        batch = df.filter(F.col("version") == version)
+        assert 0 < lake.upsert_table(spark, path, batch, KEYS, ORDER, buckets) <= buckets
+        found = {r["k"]: tuple(r)[:6] for r in spark.read.parquet(path).select(*df.columns).collect()}
+        assert found == replay([r for r in data if r[5] <= version])
+    assert lake.upsert_table(spark, path, df.limit(0), KEYS, ORDER, buckets) == 0
+
+
+def test_bucketed_upsert_can_empty_a_bucket(spark):
+    path = scratch_path(spark, "keyed")
+    table = spark.createDataFrame([(1, 1.0), (2, 2.0)], "k int, v double")
+    lake.write_bucketed(table, path, KEYS, 16)
+    gone = spark.createDataFrame([(1, "DELETE", None, 1)], "k int, op string, v double, seq int")
+    lake.upsert_table(spark, path, gone, KEYS, ["seq"], 16)
+    assert [r["k"] for r in spark.read.parquet(path).collect()] == [2]
+
+
 def test_as_of_and_expiry(spark):
     data, df = log(spark)
     limit = START + timedelta(hours=60)

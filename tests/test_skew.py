@@ -1,7 +1,15 @@
 import pytest
 from pyspark.sql import functions as F
 
-from deq.operators.skew import HOT_SHARE, hot_keys, join_skewed
+from deq.operators import skew
+from deq.operators.skew import HOT_SHARE, hot_keys, is_small, join_skewed
+
+
+@pytest.fixture(params=["salted", "broadcast"])
+def way(request, monkeypatch):
+    if request.param == "salted":
+        monkeypatch.setattr(skew, "BROADCAST_ROWS", 10)
+    return request.param
 
 
 def sides(spark):
@@ -13,7 +21,7 @@ def sides(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_the_plain_one(spark, rows, how):
+def test_join_equals_the_plain_one(spark, rows, way, how):
     big, unique = sides(spark)
     columns = ["k", "id"] + (["v"] if how in ("inner", "left") else [])
     assert rows(join_skewed(big, unique, ["k"], how).select(*columns)) == rows(big.join(unique, "k", how).select(*columns))
@@ -31,9 +39,17 @@ def test_hot_keys_are_few(spark):
     assert hot_keys(big.limit(0), ["k"]).count() == 0
 
 
-def test_a_hot_key_is_spread_over_tasks(spark):
+def test_small_sides_are_broadcast_and_others_salted(spark, way):
     big, unique = sides(spark)
-    salted = join_skewed(big, unique, ["k"], "inner")
-    assert "_salt" not in salted.columns
-    plan = salted._jdf.queryExecution().optimizedPlan().toString()
-    assert "xxhash64" in plan and "explode" in plan
+    joined = join_skewed(big, unique, ["k"], "inner")
+    assert "_salt" not in joined.columns
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert ("explode" in plan) == (way == "salted")
+    assert ("strategy=broadcast" in plan) or way == "salted"
+
+
+def test_size_counts_rows_and_bytes(spark, monkeypatch):
+    df = spark.range(100).withColumn("text", F.lit("x" * 100))
+    assert is_small(df) and is_small(df.limit(0))
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 10_000)
+    assert not is_small(df) and is_small(df.select("id"))
