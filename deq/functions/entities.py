@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from deq.functions.text import portable_pattern
+
 # What the built-in types look like, in the order they claim text.
 BUILT_IN_TYPES = ["email", "date", "org", "location", "person"]
 EMAIL_LOCAL = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-"
@@ -126,8 +128,8 @@ def _compiled(patterns: list[dict]) -> list[tuple[str, re.Pattern]]:
     for p in patterns:
         if p.get("type") and p.get("pattern"):
             try:
-                out.append((p["type"], re.compile(p["pattern"].replace(r"\s", r"[\t\n\f\r ]") if "[" not in p["pattern"] else p["pattern"], re.ASCII)))
-            except re.error:
+                out.append((p["type"], re.compile(portable_pattern(p["pattern"]), re.ASCII)))
+            except (re.error, ValueError):
                 continue
     return out
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, types as T
 from pyspark.sql import functions as F
 
@@ -47,6 +49,14 @@ def _short(text: Column) -> Column:
     return F.when(F.length(text) >= 64, F.sha2(text, 256)).otherwise(text)
 
 
+def portable_pattern(pattern: str) -> str:
+    """The pattern, if it stays within what every linear-time engine accepts."""
+    re.compile(pattern)
+    if re.search(r"\\[1-9]|\(\?<?[=!]|\\k<|\(\?P=|\(\?>|[*+?}]\+", pattern):
+        raise ValueError(f"pattern {pattern!r} uses look-around, back-references or possessive repeats")
+    return pattern
+
+
 def sorted_entries(column: Column) -> Column:
     """Entries of a map in key order; groups and sorts where a map cannot."""
     return F.array_sort(F.map_entries(column))

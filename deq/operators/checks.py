@@ -16,7 +16,15 @@ from pyspark.sql import functions as F
 from deq.functions.names import check_ident, parse_duration
 from deq.functions.text import group_text
 
-CHECK_TYPES = ("not_null", "unique", "freshness", "row_count", "referential", "custom_sql")
+# Message texts of the checks.
+NULLS_FOUND, NO_NULLS = 'column "{}" has %d null(s)', "all columns have no nulls"
+DUPLICATES_FOUND, ALL_UNIQUE = 'column "{}" has %d duplicate value(s)', "all columns are unique"
+NO_ROWS, LAST_UPDATE = "table is empty (no rows found)", "last update was %ds ago (max allowed: {}s)"
+ROWS_BELOW, ROWS_ABOVE, ROWS = "row count %d is below minimum {}", "row count %d exceeds maximum {}", "row count: %d"
+ORPHANS_FOUND, NO_ORPHANS = "%d orphan row(s) in {}.{} not found in {}.{}", "no orphan rows found"
+QUERY_RESULT = "query returned %d (threshold: {})"
+
+RESULT_COLUMNS = ["check", "column", "passed", "value", "message"]
 
 
 @dataclass
@@ -57,7 +65,7 @@ def _result(name: str, column: str, passed: Column, value: Column, message: Colu
 
 def _per_column_verdict(name: str, counts: dict[str, Column], complaint: str, praise: str) -> Column:
     notes = [
-        F.when(n > 0, F.format_string(f'column "{c}" has %d {complaint}', n)) for c, n in counts.items()
+        F.when(n > 0, F.format_string(complaint.format(c), n)) for c, n in counts.items()
     ]
     total = reduce(lambda a, b: a + b, counts.values())
     message = F.when(total > 0, F.concat_ws("; ", *notes)).otherwise(praise)
@@ -70,10 +78,10 @@ def _row_count_verdict(check: Check, count: Column) -> Column:
     above = (count > highest) if highest >= 0 else F.lit(False)
     complaints = F.concat_ws(
         "; ",
-        F.when(below, F.format_string(f"row count %d is below minimum {lowest}", count)),
-        F.when(above, F.format_string(f"row count %d exceeds maximum {highest}", count)),
+        F.when(below, F.format_string(ROWS_BELOW.format(lowest), count)),
+        F.when(above, F.format_string(ROWS_ABOVE.format(highest), count)),
     )
-    message = F.when(below | above, complaints).otherwise(F.format_string("row count: %d", count))
+    message = F.when(below | above, complaints).otherwise(F.format_string(ROWS, count))
     return _result("row_count", "", ~(below | above), count, message)
 
 
@@ -81,9 +89,7 @@ def _freshness_verdict(check: Check, newest: Column, as_of: Column) -> Column:
     allowed = parse_duration(check.need("maxAge"))
     micros = F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(newest.cast("timestamp"))
     age = F.floor(micros / 1_000_000).cast("bigint")
-    message = F.when(newest.isNull(), "table is empty (no rows found)").otherwise(
-        F.format_string(f"last update was %ds ago (max allowed: {allowed}s)", age)
-    )
+    message = F.when(newest.isNull(), NO_ROWS).otherwise(F.format_string(LAST_UPDATE.format(allowed), age))
     return _result("freshness", check.need("column"), F.coalesce(micros <= allowed * 1_000_000, F.lit(False)), age, message)
 
 
@@ -93,9 +99,6 @@ def _rows(one_row: DataFrame, verdicts: list[tuple[int, Column]]) -> DataFrame:
     return one_row.select(F.inline(F.array(*tagged)))
 
 
-RESULT_COLUMNS = ["check", "column", "passed", "value", "message"]
-
-
 def duplicate_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """``name, duplicates``: distinct values seen more than once, for all columns in one shuffle.
 
@@ -161,7 +164,7 @@ def quality_check(
             for c in names:
                 aggregates[f"nulls_{c}"] = F.count_if(F.col(c).isNull())
             counts = {c: F.col(f"nulls_{c}") for c in names}
-            scanned.append((i, _per_column_verdict("not_null", counts, "null(s)", "all columns have no nulls")))
+            scanned.append((i, _per_column_verdict("not_null", counts, NULLS_FOUND, NO_NULLS)))
         elif check.type == "row_count":
             aggregates["rows"] = F.count(F.lit(1))
             scanned.append((i, _row_count_verdict(check, F.col("rows"))))
@@ -173,8 +176,8 @@ def quality_check(
             unique.append((i, check.columns()))
         elif check.type == "referential":
             c, other, ref = (check_ident(check.need(k)) for k in ("column", "refTable", "refColumn"))
-            lost = F.format_string(f"%d orphan row(s) in {table}.{c} not found in {other}.{ref}", F.col("orphans"))
-            message = F.when(F.col("orphans") == 0, "no orphan rows found").otherwise(lost)
+            lost = F.format_string(ORPHANS_FOUND.format(table, c, other, ref), F.col("orphans"))
+            message = F.when(F.col("orphans") == 0, NO_ORPHANS).otherwise(lost)
             verdict = _result("referential", c, F.col("orphans") == 0, F.col("orphans"), message)
             others.append(_rows(orphan_count(df, c, lookup(other), ref), [(i, verdict)]))
         elif check.type == "custom_sql":
@@ -191,7 +194,7 @@ def quality_check(
             *[F.coalesce(F.sum(F.when(F.col("name") == c, F.col("duplicates"))), F.lit(0)).alias(f"dup_{c}") for c in columns]
         )
         verdicts = [
-            (i, _per_column_verdict("unique", {c: F.col(f"dup_{c}") for c in names}, "duplicate value(s)", "all columns are unique"))
+            (i, _per_column_verdict("unique", {c: F.col(f"dup_{c}") for c in names}, DUPLICATES_FOUND, ALL_UNIQUE))
             for i, names in unique
         ]
         others.append(_rows(dups, verdicts))
@@ -204,7 +207,7 @@ def _custom_sql(spark: SparkSession, check: Check, seq: int):
     value = F.col(query.columns[0]).cast("bigint")
     # Only the first row of the query counts, as with any single-value check.
     one_row = query.limit(1).select(value.alias("found"))
-    message = F.format_string(f"query returned %d (threshold: {threshold})", F.col("found"))
+    message = F.format_string(QUERY_RESULT.format(threshold), F.col("found"))
     return one_row, [(seq, _result("custom_sql", "", F.col("found") <= threshold, F.col("found"), message))]
 
 

@@ -3,18 +3,26 @@
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deq.functions.names import check_ident, declared_type, normalize_type
+from deq.functions.text import portable_pattern
 from deq.operators.checks import RESULT_COLUMNS, Check, quality_check
 from deq.session import literal_rows
 
+# Message texts of a contract.
+COLUMN_MISSING = 'column "%s" not found in %s'
+COLUMN_MISTYPED = 'column "%s": expected type "%s", got "%s"'
+COLUMN_NULLABLE = 'column "%s": contract requires NOT NULL but column allows NULL'
+PATTERN_RESULT = "pattern check on {}: %d violation(s)"
+ASSERTION_RESULT = 'quality check "{}": found %d violations'
+
 COLUMN_FIELDS = "dataset string, position int, column string, type string, nullable boolean"
 RESULT_FIELDS = "seq int, check string, column string, passed boolean, value bigint, message string"
 
@@ -66,14 +74,6 @@ def _load(raw: dict | str) -> dict:
     return yaml.safe_load(raw)
 
 
-def portable_pattern(pattern: str) -> str:
-    """The pattern, if it stays within what every linear-time engine accepts."""
-    re.compile(pattern)
-    if re.search(r"\\[1-9]|\(\?<?[=!]|\\k<|\(\?P=|\(\?>|[*+?}]\+", pattern):
-        raise ValueError(f"pattern {pattern!r} uses look-around, back-references or possessive repeats")
-    return pattern
-
-
 def live_columns(df: DataFrame, dataset: str) -> DataFrame:
     """Column metadata of a DataFrame: ``dataset, position, column, type, nullable``."""
     rows = [(dataset, i, f.name, declared_type(f), f.nullable) for i, f in enumerate(df.schema.fields)]
@@ -93,15 +93,12 @@ def schema_violations(expected: DataFrame, live: DataFrame) -> DataFrame:
     mistyped = (F.col("type") != "") & ~have_type.contains(want_type) & ~want_type.contains(have_type)
     errors = F.when(
         F.col("found").isNull(),
-        F.array(F.format_string('column "%s" not found in %s', "column", "dataset")),
+        F.array(F.format_string(COLUMN_MISSING, "column", "dataset")),
     ).otherwise(
         F.array_compact(
             F.array(
-                F.when(mistyped, F.format_string('column "%s": expected type "%s", got "%s"', "column", "type", "live_type")),
-                F.when(
-                    ~F.col("nullable") & F.col("live_nullable"),
-                    F.format_string('column "%s": contract requires NOT NULL but column allows NULL', "column"),
-                ),
+                F.when(mistyped, F.format_string(COLUMN_MISTYPED, "column", "type", "live_type")),
+                F.when(~F.col("nullable") & F.col("live_nullable"), F.format_string(COLUMN_NULLABLE, "column")),
             )
         )
     )
@@ -124,7 +121,7 @@ def pattern_violations(df: DataFrame, patterns: dict[str, str]) -> DataFrame:
                 F.lit(c).alias("column"),
                 (bad == 0).alias("passed"),
                 bad.alias("value"),
-                F.format_string(f"pattern check on {c}: %d violation(s)", bad).alias("message"),
+                F.format_string(PATTERN_RESULT.format(c), bad).alias("message"),
             )
         )
     return df.agg(*counts).select(F.inline(F.array(*rows)))
@@ -178,21 +175,19 @@ def contract_verdict(results: DataFrame, contract: Contract) -> DataFrame:
 
 
 def contract_assertions(spark: SparkSession, assertions: list[dict], database: bool = True) -> DataFrame:
-    """``name, violations, passed, error``: every query has to return no row.
+    """``seq, name, violations, passed, error``: every query has to return no row.
 
-    A query that cannot be analysed is a violation and does not stop the others.
+    Each query is counted on its own, so one that fails, be it while it is planned or while it
+    runs, is a violation and does not stop the others.
     """
-    fields = "seq int, name string, violations bigint, passed boolean, error string"
     out = []
     for i, a in enumerate(assertions if database else []):
+        name = a["name"]
         try:
-            found = spark.sql(a["query"]).agg(F.count(F.lit(1)).alias("violations"))
-        except Exception as problem:
-            first_line = str(problem).splitlines()[0]
-            message = f'quality check "{a["name"]}": {first_line}'
-            out.append(literal_rows(spark, [(i, a["name"], None, False, message)], fields))
-            continue
-        n = F.col("violations")
-        error = F.when(n > 0, F.format_string(f'quality check "{a["name"]}": found %d violations', n))
-        out.append(found.select(F.lit(i).alias("seq"), F.lit(a["name"]).alias("name"), "violations", (n == 0).alias("passed"), error.alias("error")))
-    return reduce(DataFrame.unionByName, out) if out else literal_rows(spark, [], fields)
+            found = spark.sql(a["query"]).count()
+        except PySparkException as problem:
+            first_line = str(problem).strip().splitlines()[0]
+            out.append((i, name, None, False, f'quality check "{name}": {first_line}'))
+        else:
+            out.append((i, name, found, found == 0, ASSERTION_RESULT.format(name) % found if found else None))
+    return literal_rows(spark, out, "seq int, name string, violations bigint, passed boolean, error string")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
@@ -41,8 +42,8 @@ def create_table(spark: SparkSession, path: str, fields: list[dict], partition_b
     try:
         spark.read.parquet(path)
         return False
-    except Exception as problem:
-        if "PATH_NOT_FOUND" not in str(problem) and "UNABLE_TO_INFER_SCHEMA" not in str(problem):
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
     spark.createDataFrame([], schema).write.partitionBy(*partition_by).parquet(path)
     return True

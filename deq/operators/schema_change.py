@@ -118,6 +118,18 @@ def plan_safety(diff: DataFrame) -> DataFrame:
     )
 
 
+def plan_of(diff: DataFrame, dataset: str) -> list[dict]:
+    """The changes of one table in the order :func:`apply_plan` takes them.
+
+    New and changed columns come first, then dropped ones, then indexes. A table has few columns,
+    so its plan may come to the driver.
+    """
+    steps = ["add_table", "add_column", "widen_type", "narrow_type", "drop_column", "add_index", "drop_index"]
+    rank = F.array_position(F.array(*[F.lit(s) for s in steps]), F.col("change"))
+    rows = diff.filter(F.col("dataset") == dataset).orderBy(rank, "name").collect()
+    return [r.asDict() for r in rows]
+
+
 def layer_diff(source: DataFrame, registry: DataFrame) -> DataFrame:
     """``dataset, column, missing_in`` for fields that only one layer knows.
 

@@ -314,6 +314,7 @@ _SQL_LINEAGE = """SELECT DISTINCT concat('region:', n_regionkey) AS src, concat(
 
 _LIVES = "SELECT 'Customer' AS src_label, CAST(c_custkey AS VARCHAR) AS src, 'Nation' AS dst_label, CAST(c_nationkey AS VARCHAR) AS dst, 'LIVES_IN' AS type, '1990' AS since FROM customer"
 
+# The built-in entity types as one pattern each.
 _PATTERNS = {
     "email": r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}",
     "date": r"(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{2,4}|\d{1,2}\s+(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|Jun(?:e)?|Jul(?:y)?|Aug(?:ust)?|Sep(?:tember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)\s+\d{4})",

@@ -68,7 +68,7 @@ def test_sentences(spark, text, types, kind, value):
 
 def test_custom_patterns_come_last_and_invalid_ones_are_skipped(spark):
     df = spark.createDataFrame([(1, "Order #12345, café #7"), (2, ""), (3, None)], "id int, text string")
-    patterns = [{"type": "order_id", "pattern": r"#\d+"}, {"type": "bad", "pattern": "(["}, {"type": "", "pattern": "x"}]
+    patterns = [{"type": "order_id", "pattern": r"#\d+"}, {"type": "bad", "pattern": "(["}, {"type": "look", "pattern": "(?=O)Order"}, {"type": "", "pattern": "x"}]
     found = extract_entities(df, "text", ["order_id"], patterns).collect()
     assert [(r["id"], r["value"], r["start"], r["end"]) for r in found] == [(1, "#12345", 6, 12), (1, "#7", 20, 22)]
 

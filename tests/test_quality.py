@@ -2,6 +2,7 @@ from datetime import datetime
 
 import pytest
 
+from deq.functions.text import portable_pattern
 from deq.operators.anomaly import anomaly, anomaly_rows
 from deq.operators.checks import passed, quality_check
 from deq.operators.compare import compare, compare_verdict
@@ -11,7 +12,6 @@ from deq.operators.contracts import (
     contract_results,
     contract_verdict,
     pattern_violations,
-    portable_pattern,
 )
 from deq.operators.profile import profile, profile_distinct, profile_percentiles
 
@@ -255,8 +255,15 @@ def test_assertions_go_on_after_a_broken_one(spark):
         [
             {"name": "none", "query": "SELECT * FROM three WHERE id > 5"},
             {"name": "broken", "query": "SELECT * FROM no_such_table"},
+            {"name": "failing", "query": "SELECT * FROM three WHERE 1 / id > 5"},
             {"name": "two", "query": "SELECT * FROM three WHERE id > 0"},
         ],
     ).orderBy("seq").collect()
-    assert [(r["name"], r["violations"], r["passed"]) for r in found] == [("none", 0, True), ("broken", None, False), ("two", 2, False)]
+    assert [(r["name"], r["violations"], r["passed"]) for r in found] == [
+        ("none", 0, True),
+        ("broken", None, False),
+        ("failing", None, False),
+        ("two", 2, False),
+    ]
+    assert found[3]["error"] == 'quality check "two": found 2 violations'
     assert contract_assertions(spark, [{"name": "x", "query": "SELECT 1"}], database=False).count() == 0

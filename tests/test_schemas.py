@@ -11,6 +11,7 @@ from deq.operators.schema_change import (
     expand,
     layer_consistency,
     layer_diff,
+    plan_of,
     plan_safety,
     schema_diff,
     verify_expand,
@@ -109,6 +110,16 @@ def test_plans(spark):
         apply_plan(df, PLAN, "warn", "purple")
 
 
+def test_a_diff_leads_to_its_plan(spark):
+    wanted = table("users", ("id", "bigint"), ("email", "text"))
+    _, found = diff(spark, [wanted], [table("users", ("id", "int"), ("name", "text"))])
+    plan = plan_of(found, "users")
+    assert [(c["change"], c["name"]) for c in plan] == [("add_column", "email"), ("widen_type", "id"), ("drop_column", "name")]
+    df = spark.createDataFrame([(1, "x")], "id int, name string")
+    assert apply_plan(df, plan, "warn").schema.simpleString() == "struct<id:bigint,email:string>"
+    assert plan_of(found, "nobody") == []
+
+
 def test_expand_verify_contract(spark):
     df = spark.createDataFrame([(1, "Ann", "12", "x"), (2, "Bob", None, "y")], "id int, name string, age string, old string")
     changes = [
