@@ -67,29 +67,34 @@ def declared_schema(spark: SparkSession, definitions: list[dict]) -> tuple[DataF
     return literal_rows(spark, columns, COLUMN_FIELDS), index_rows.withColumn("columns", F.split("columns", ","))
 
 
+def _tables(first: DataFrame, second: DataFrame) -> DataFrame:
+    """``dataset, in_first, in_second`` for every table one of the sides knows."""
+    a = first.select("dataset").distinct().withColumn("in_first", F.lit(True))
+    b = second.select("dataset").distinct().withColumn("in_second", F.lit(True))
+    return a.join(b, "dataset", "full_outer").na.fill(False)
+
+
 def schema_diff(desired: DataFrame, live: DataFrame, desired_indexes: DataFrame | None = None, live_indexes: DataFrame | None = None) -> DataFrame:
     """``dataset, name, change, from_type, to_type, breaking`` from live to desired.
 
     Tables that are only live are left alone. A new table is one change; its columns are not listed.
     """
-    wanted, present = desired.select("dataset").distinct(), live.select("dataset").distinct()
-    parts = [_change(wanted.join(present, "dataset", "left_anti"), "add_table", F.col("dataset"), False, to_type=None)]
+    tables = _tables(desired, live)
+    parts = [_change(tables.filter("in_first AND NOT in_second"), "add_table", F.col("dataset"), False)]
 
-    new = join_skewed(desired.select("dataset", "column", F.col("type").alias("to_type")), present, ["dataset"], "left_semi")
-    old = join_skewed(live.select("dataset", "column", F.col("type").alias("from_type")), wanted, ["dataset"], "left_semi")
-    narrow = is_narrowing(F.col("from_type"), F.col("to_type"))
+    new = desired.select("dataset", "column", F.col("type").alias("to_type"))
+    old = live.select("dataset", "column", F.col("type").alias("from_type"))
     change = (
         F.when(F.col("from_type").isNull(), "add_column")
         .when(F.col("to_type").isNull(), "drop_column")
         .when(F.lower("from_type") == F.lower("to_type"), F.lit(None))
-        .when(narrow, "narrow_type")
+        .when(is_narrowing(F.col("from_type"), F.col("to_type")), "narrow_type")
         .otherwise("widen_type")
     )
+    changed = new.join(old, ["dataset", "column"], "full_outer").withColumn("change", change).filter("change IS NOT NULL")
+    # Only the changes meet the list of tables, not every column.
     parts.append(
-        new.join(old, ["dataset", "column"], "full_outer")
-        .withColumn("change", change)
-        .filter(F.col("change").isNotNull())
-        .select(
+        join_skewed(changed, tables.filter("in_first AND in_second"), ["dataset"], "left_semi").select(
             "dataset",
             F.col("column").alias("name"),
             "change",
@@ -104,7 +109,7 @@ def schema_diff(desired: DataFrame, live: DataFrame, desired_indexes: DataFrame
         )
         key = ["dataset", "columns", "unique"]
         added = desired_indexes.join(live_indexes.select(*key), key, "left_anti")
-        dropped = join_skewed(live_indexes.join(desired_indexes.select(*key), key, "left_anti"), wanted, ["dataset"], "left_semi")
+        dropped = join_skewed(live_indexes.join(desired_indexes.select(*key), key, "left_anti"), desired.select("dataset").distinct(), ["dataset"], "left_semi")
         parts += [_change(added, "add_index", label, False), _change(dropped, "drop_index", label, True)]
     return reduce(DataFrame.unionByName, parts)
 
@@ -135,13 +140,12 @@ def layer_diff(source: DataFrame, registry: DataFrame) -> DataFrame:
 
     As in a pairwise comparison, tables that one of the layers does not hold at all give no rows.
     """
-    a, b = source.select("dataset", "column").distinct(), registry.select("dataset", "column").distinct()
-    in_a, in_b = a.select("dataset").distinct(), b.select("dataset").distinct()
-    only_a = join_skewed(a, in_b, ["dataset"], "left_semi").join(b, ["dataset", "column"], "left_anti")
-    only_b = join_skewed(b, in_a, ["dataset"], "left_semi").join(a, ["dataset", "column"], "left_anti")
-    return only_a.withColumn("missing_in", F.lit("schema_registry")).unionByName(
-        only_b.withColumn("missing_in", F.lit("source_db"))
-    )
+    a = source.select("dataset", "column").distinct().withColumn("in_source", F.lit(True))
+    b = registry.select("dataset", "column").distinct().withColumn("in_registry", F.lit(True))
+    missing = F.when(F.col("in_registry").isNull(), "schema_registry").when(F.col("in_source").isNull(), "source_db")
+    lone = a.join(b, ["dataset", "column"], "full_outer").withColumn("missing_in", missing).filter("missing_in IS NOT NULL")
+    both = _tables(source, registry).filter("in_first AND in_second")
+    return join_skewed(lone, both, ["dataset"], "left_semi").select("dataset", "column", "missing_in")
 
 
 def layer_consistency(source: DataFrame, registry: DataFrame) -> DataFrame:
@@ -150,12 +154,9 @@ def layer_consistency(source: DataFrame, registry: DataFrame) -> DataFrame:
     A table the source does not hold is not consistent.
     """
     diffs = layer_diff(source, registry).groupBy("dataset").agg(F.count(F.lit(1)).alias("diffs"))
-    known = source.select("dataset").distinct().withColumn("in_source", F.lit(True))
-    every = known.join(registry.select("dataset").distinct(), "dataset", "full_outer")
-    return every.join(diffs, "dataset", "left").select(
-        "dataset",
-        F.coalesce("diffs", F.lit(0)).alias("diffs"),
-        (F.coalesce("diffs", F.lit(0)) == 0).__and__(F.coalesce("in_source", F.lit(False))).alias("consistent"),
+    found = F.coalesce("diffs", F.lit(0))
+    return _tables(source, registry).join(diffs, "dataset", "left").select(
+        "dataset", found.alias("diffs"), ((found == 0) & F.col("in_first")).alias("consistent")
     )
 
 
