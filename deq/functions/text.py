@@ -59,7 +59,7 @@ def portable_pattern(pattern: str) -> str:
 
 def sorted_entries(column: Column) -> Column:
     """Entries of a map in key order; groups and sorts where a map cannot."""
-    return F.array_sort(F.map_entries(column))
+    return F.sort_array(F.map_entries(column))
 
 
 def sorted_json(column: Column) -> Column:

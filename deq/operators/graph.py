@@ -52,7 +52,7 @@ def _merge(existing: DataFrame, incoming: DataFrame, ids: list[str], order: str
     touched = spread(existing.join(named, ids, "left_semi"), F.lit(-1)).unionByName(spread(incoming, place))
     newest = touched.groupBy(*ids, "prop").agg(F.max_by(F.struct("value"), F.struct("at", "value")).alias("v"))
     pair = F.when(F.col("prop").isNotNull() & F.col("v.value").isNotNull(), F.struct("prop", "v.value"))
-    merged = newest.groupBy(*ids).agg(F.map_from_entries(F.array_sort(F.collect_list(pair))).alias("props"))
+    merged = newest.groupBy(*ids).agg(F.map_from_entries(F.sort_array(F.collect_list(pair))).alias("props"))
     return existing.join(named, ids, "left_anti").select(*ids, "props").unionByName(merged)
 
 

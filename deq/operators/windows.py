@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from deq.functions.names import check_ident, parse_duration
 from deq.functions.text import sorted_entries
 from deq.operators.quantiles import exact_median
+from deq.sources.points import flat_points
 
 GRAINS = ("second", "minute", "hour", "day", "week", "month", "quarter", "year", "all")
 
@@ -28,8 +29,9 @@ def time_range(df: DataFrame, column: str, start=None, stop=None) -> DataFrame:
     return df
 
 
-def _aggregates() -> dict:
-    v, at = F.col("value"), F.struct("ts", "value")
+def _aggregates(value: str = "value", ts: str = "ts") -> dict:
+    v = F.col(value)
+    at = F.when(v.isNotNull(), F.struct(F.col(ts), v))
     return {
         "mean": F.avg(v),
         "sum": F.sum(v),
@@ -67,6 +69,35 @@ def downsample(points: DataFrame, source: str, target: str, interval: str, aggre
     )
 
 
+def downsample_wide(df: DataFrame, source: str, target: str, interval: str, tags: list[str], fields: list[str], aggregation: str = "mean", measurement: str = "measurement", ts: str = "ts") -> DataFrame:
+    """:func:`downsample` for a table with one column per tag and field, in the same long form.
+
+    The fields are aggregated side by side and only the results are turned into rows, so no map
+    is built per point.
+    """
+    aggregation = aggregation or "mean"
+    for c in [*tags, *fields]:
+        check_ident(c)
+    rows = df.filter(F.col(measurement) == source)
+    if aggregation == "median":
+        points = flat_points(rows, list(tags), list(fields), measurement=measurement, ts=ts)
+        return downsample(points, source, target, interval, "median")
+    numbers = rows.select(*tags, F.col(ts).alias("_ts"), *[F.col(f).cast("double").alias(f) for f in fields])
+    if aggregation not in _aggregates():
+        raise ValueError(f"unknown aggregation {aggregation!r}")
+    found = numbers.groupBy(*tags, bucket(F.col("_ts"), interval).alias("_w")).agg(
+        *[F.when(F.count(f) > 0, _aggregates(f, "_ts")[aggregation]).alias(f"_value_{i}") for i, f in enumerate(fields)]
+    )
+    cells = [F.struct(F.lit(f).alias("field"), F.col(f"_value_{i}").alias("value")) for i, f in enumerate(fields)]
+    pairs = [x for t in tags for x in (F.lit(t), F.col(t).cast("string"))]
+    series = F.map_filter(F.create_map(*pairs), lambda k, v: v.isNotNull()) if pairs else F.create_map().cast("map<string,string>")
+    return (
+        found.select(F.lit(target).alias("measurement"), series.alias("tags"), F.col("_w.end").alias("ts"), F.inline(F.array(*cells)))
+        .filter(F.col("value").isNotNull())
+        .select("measurement", "tags", "field", "ts", "value")
+    )
+
+
 def time_bucket(df: DataFrame, column: str, interval: str, keys: list[str], aggregates: list[Column], origin: str = "0s") -> DataFrame:
     """Group by keys and bucket; column ``bucket`` is the bucket's start."""
     start = bucket(F.col(check_ident(column)), interval, origin)

@@ -31,7 +31,7 @@ from deq.operators.tiering import (
     retention,
     write_archive,
 )
-from deq.operators.windows import downsample, granularity_series, group_average, time_bucket, time_range
+from deq.operators.windows import downsample, downsample_wide, granularity_series, group_average, time_bucket, time_range
 from deq.plans.tables import AS_OF, POINTS, TYPE_LADDER, event_points, events
 from deq.session import scratch_path
 from deq.sources.layouts import (
@@ -128,6 +128,14 @@ def _downsampled(aggregation):
     return run
 
 
+def ts_downsample_wide(spark, folder):
+    wide = events(spark, folder).select(
+        "event_type", "user_id", "ts", "value", F.get_json_object("props", "$.k").cast("double").alias("k")
+    )
+    found = downsample_wide(wide, "click", "click_6h", "6h", ["user_id"], ["value", "k"], "mean", measurement="event_type")
+    return found.select("measurement", F.col("tags")["user_id"].alias("user"), "field", "ts", F.round("value", 6).alias("value"))
+
+
 def ts_bucket_avg(spark, folder):
     rows = time_bucket(events(spark, folder), "ts", "1h", ["event_type"], [F.round(F.avg("value"), 6).alias("mean")])
     return rows.select("event_type", "bucket", "mean")
@@ -278,6 +286,7 @@ QUERIES = {
     "ts_query_sql": ts_query_sql,
     "ts_range": lambda s, f: time_range(events(s, f), "ts", datetime(2024, 1, 10), MIDDLE).select("event_id", "ts", "value"),
     **{f"ts_downsample_{a}": _downsampled(a) for a in DOWNSAMPLES},
+    "ts_downsample_wide": ts_downsample_wide,
     "ts_bucket_avg": ts_bucket_avg,
     "ts_hourly_count": ts_hourly_count,
     "ts_cagg_refresh": ts_cagg_refresh,
@@ -347,6 +356,7 @@ ORACLES = {
         WHERE value > 20 AND ts >= TIMESTAMP '2024-01-10' GROUP BY event_type""",
     "ts_range": "SELECT event_id, ts, value FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-16'",
     **{f"ts_downsample_{a}": _sql_downsample(call) for a, call in DOWNSAMPLES.items()},
+    "ts_downsample_wide": _sql_downsample(DOWNSAMPLES["mean"]),
     "ts_bucket_avg": """SELECT event_type, time_bucket(INTERVAL '1 hour', ts) AS bucket, round(avg(value), 6) AS mean
         FROM events GROUP BY event_type, bucket""",
     "ts_hourly_count": "SELECT date_trunc('hour', ts) AS bucket, count(*) AS n FROM events GROUP BY 1",

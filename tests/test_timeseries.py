@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from deq.operators.materialize import read_continuous, refresh_continuous, scheduled_refresh, view_status, materialized_view
 from deq.operators.tiering import archive, archive_rows, cold_status, cutoff, hot_status, read_archive, retention, write_archive
-from deq.operators.windows import downsample, granularity_series, time_bucket, time_range
+from deq.operators.windows import downsample, downsample_wide, granularity_series, time_bucket, time_range
 from deq.session import scratch_path
 from deq.sources.layouts import (
     chunk_label,
@@ -146,6 +146,23 @@ def test_downsample(spark, fn, value):
     assert found[0]["value"] == pytest.approx(value)
 
 
+@pytest.mark.parametrize("fn", ["mean", "", "sum", "min", "max", "count", "first", "last", "median"])
+def test_wide_and_long_downsampling_agree(spark, rows, fn):
+    start = datetime(2024, 1, 1)
+    data = [
+        ("cpu" if i % 5 else "mem", f"h{i % 3}" if i % 7 else None, float(i * 37 % 11) if i % 4 else None, None if i % 6 == 0 else i, start + timedelta(minutes=13 * (i // 2)))
+        for i in range(300)
+    ]
+    wide = spark.createDataFrame(data, "measurement string, host string, v double, w int, ts timestamp_ntz")
+    long = downsample(flat_points(wide, ["host"], ["v", "w"]), "cpu", "x", "2h", fn)
+    flat = downsample_wide(wide, "cpu", "x", "2h", ["host"], ["v", "w"], fn)
+
+    def shown(df):
+        return rows(df.select("measurement", F.col("tags")["host"], "field", "ts", F.round("value", 9)))
+
+    assert shown(long) == shown(flat) and long.count() > 50
+
+
 def test_unknown_aggregates_and_grains(spark):
     df = points(spark)
     with pytest.raises(ValueError):
