@@ -36,8 +36,6 @@ def group_text(column: Column, data_type: T.DataType) -> Column:
     Text of 64 characters and more is told apart by its SHA-256 digest, so that counting long
     documents does not shuffle them. Digests have 64 characters and never meet shorter text.
     """
-    if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        return (column + F.lit(0.0).cast(data_type)).cast("string")
     if isinstance(data_type, T.BinaryType):
         return _short(F.hex(column))
     if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):

@@ -111,17 +111,37 @@ def duplicate_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def value_counts(df: DataFrame, columns: list[str], numeric: bool = False) -> DataFrame:
-    """``name, value[, number], n``: occurrences of each value of each column, NULL included."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    cells = []
-    for c in columns:
-        cell = [F.lit(c).alias("name"), group_text(F.col(c), types[c]).alias("value")]
-        if numeric:
-            cell.append((F.col(c).cast("double") if is_numeric(df, c) else F.lit(None).cast("double")).alias("number"))
-        cells.append(F.struct(*cell))
-    keys = ["name", "value"] + (["number"] if numeric else [])
-    return df.select(F.inline(F.array(*cells))).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+def _slots(column: Column, data_type: T.DataType) -> dict[str, Column]:
+    """The typed cells a value is counted by; numbers stay numbers, all else is text."""
+    if isinstance(data_type, T.IntegralType):
+        return {"whole": column.cast("bigint")}
+    if isinstance(data_type, T.FractionalType) and not isinstance(data_type, T.DecimalType):
+        return {"real": column.cast("double")}
+    if isinstance(data_type, T.DecimalType):
+        return {"real": column.cast("double"), "text": column.cast("string")}
+    return {"text": group_text(column, data_type)}
+
+
+def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``name, present, number, n``: occurrences of each value of each column.
+
+    One row per value, NULL (not ``present``) included; ``number`` is NULL for text. All columns
+    go through one scan and one shuffle.
+    """
+    kinds = {"whole": "bigint", "real": "double", "text": "string"}
+    slots = {c: _slots(F.col(c), df.schema[c].dataType) for c in columns}
+    used = [k for k in kinds if any(k in s for s in slots.values())]
+    cells = [
+        F.struct(F.lit(i).alias("i"), *[slots[c].get(k, F.lit(None).cast(kinds[k])).alias(k) for k in used])
+        for i, c in enumerate(columns)
+    ]
+    counted = df.select(F.inline(F.array(*cells))).groupBy("i", *used).agg(F.count(F.lit(1)).alias("n"))
+    numbers = [F.col(k).cast("double") for k in used if k != "text"] or [F.lit(None).cast("double")]
+    present = reduce(lambda a, b: a | b, [F.col(k).isNotNull() for k in used])
+    names = F.array(*[F.lit(c) for c in columns])
+    return counted.select(
+        F.element_at(names, F.col("i") + 1).alias("name"), present.alias("present"), F.coalesce(*numbers).alias("number"), "n"
+    )
 
 
 def is_numeric(df: DataFrame, column: str) -> bool:

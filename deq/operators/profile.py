@@ -63,7 +63,7 @@ def profile_distinct(df: DataFrame, columns: list[str], approximate: bool = Fals
 
 
 def _distinct(counts: DataFrame, columns: list[str]) -> DataFrame:
-    found = counts.groupBy("name").agg(F.count("value").alias("distinct"))
+    found = counts.groupBy("name").agg(F.count_if("present").alias("distinct"))
     sums = [F.coalesce(F.sum(F.when(F.col("name") == c, F.col("distinct"))), F.lit(0)).alias(f"d_{i}") for i, c in enumerate(columns)]
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"d_{i}").alias("distinct_count")) for i, c in enumerate(columns)]
     return found.agg(*sums).select(F.inline(F.array(*rows)))
@@ -113,8 +113,8 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
         distinct.append(_distinct(value_counts(df, others), others))
     if numeric:
         counts = materialize(
-            value_counts(df, numeric, numeric=True)
-            .repartitionByRange("name", "number", "value")
+            value_counts(df, numeric)
+            .repartitionByRange("name", "number")
             .withColumn("part", F.spark_partition_id())
         )
         distinct.append(_distinct(counts, numeric))

@@ -52,6 +52,25 @@ def test_long_text_is_counted_by_its_content(spark):
     assert one(profile_distinct(df, ["value"]))["distinct_count"] == 4
 
 
+def test_every_kind_of_column_is_told_apart(spark):
+    df = spark.sql(
+        """SELECT * FROM VALUES
+           (9007199254740993L, 1.10BD, 0.1F, 'a', X'00', array(1), true, date'2024-01-01', timestamp_ntz'2024-01-01 00:00:00'),
+           (9007199254740992L, 1.1BD, float('NaN'), 'A', X'01', array(2), true, date'2024-01-02', timestamp_ntz'2024-01-01 00:00:00.000001'),
+           (9007199254740993L, 1.11BD, float('NaN'), 'a', X'00', array(1), NULL, NULL, NULL),
+           (NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL)
+           AS t(i, d, f, s, b, l, t, day, ts)"""
+    )
+    columns = df.columns
+    found = {r["column"]: r["distinct_count"] for r in profile_distinct(df, columns).collect()}
+    assert found == {"i": 2, "d": 2, "f": 2, "s": 2, "b": 2, "l": 2, "t": 1, "day": 2, "ts": 2}
+    dups = one(quality_check(df, [{"type": "unique", "columns": columns}]))
+    # A repeated value in i, d, f, s, b, l and t, and a repeated NULL in t, day and ts.
+    assert dups["value"] == 7 + 3
+    full = {r["column"]: r for r in profile(df, columns).collect()}
+    assert full["i"]["distinct_count"] == 2 and full["d"]["p50"] == 1.1 and full["s"]["p50"] is None
+
+
 def test_row_count_bounds_are_inclusive_and_may_be_absent(spark):
     df = spark.range(5).toDF("id")
     checks = [{"type": "row_count", **c} for c in ({"min": 5, "max": 5}, {"min": 6}, {"max": 4}, {}, {"min": -1})]
