@@ -30,8 +30,6 @@ def scratch_root(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
