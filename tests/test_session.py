@@ -36,7 +36,8 @@ def test_a_stored_step_reads_as_it_was(spark, rows):
         F.expr("timestamp_ntz'2024-01-01 00:00:00.123456'").alias("ts"),
     )
     stored = materialize(df)
-    assert [f.dataType for f in stored.schema.fields] == [f.dataType for f in df.schema.fields]
+    # Files make everything nullable; the types stay.
+    assert stored.schema.simpleString() == df.schema.simpleString()
     assert rows(stored) == rows(df)
     assert materialize(df.limit(0)).count() == 0
 
