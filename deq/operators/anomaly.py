@@ -31,7 +31,12 @@ def _need_numbers(df: DataFrame, columns: list[str]) -> list[str]:
     return list(columns)
 
 
-def outlier_flags(df: DataFrame, columns: list[str], method: str = "zscore", threshold: float | None = None) -> dict[str, Column]:
+def outlier_flags(
+    df: DataFrame,
+    columns: list[str],
+    method: str = "zscore",
+    threshold: float | None = None,
+) -> dict[str, Column]:
     """A condition per column that is true on its outliers and never NULL."""
     method, t = _settle(method, threshold)
     columns = _need_numbers(df, columns)

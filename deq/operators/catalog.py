@@ -12,7 +12,14 @@ from deq.operators.skew import join_skewed
 from deq.session import literal_rows, materialize
 
 
-def dataset_record(df: DataFrame, dataset: str, owner: str = "", tags: list[str] = (), props: dict | None = None, count_rows: bool = False) -> DataFrame:
+def dataset_record(
+    df: DataFrame,
+    dataset: str,
+    owner: str = "",
+    tags: list[str] = (),
+    props: dict | None = None,
+    count_rows: bool = False,
+) -> DataFrame:
     """One row per field: ``dataset, position, field, type, nullable, owner, tags, props``.
 
     With ``count_rows`` the properties also hold the number of rows.

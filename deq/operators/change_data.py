@@ -28,7 +28,13 @@ def normalize_codes(df: DataFrame, column: str = "op") -> DataFrame:
     return df.replace(SHORT_CODES, subset=[column])
 
 
-def cdc_filter(events: DataFrame, tables: list[str] = (), actions: list[str] = (), table: str = "table", op: str = "op") -> DataFrame:
+def cdc_filter(
+    events: DataFrame,
+    tables: list[str] = (),
+    actions: list[str] = (),
+    table: str = "table",
+    op: str = "op",
+) -> DataFrame:
     """Events of the given tables and operations, matched exactly; an empty list lets all pass.
 
     Where the table or operation is empty, ``source`` or ``action`` stands in.
@@ -89,7 +95,13 @@ def source_lag(events: DataFrame, as_of, acknowledged: Column | int = -1, payloa
     )
 
 
-def lag_status(lag_bytes: Column, lag_seconds: Column, max_bytes: int = LAG_BYTES, max_seconds: int = LAG_SECONDS, share: float = WARNING_SHARE) -> Column:
+def lag_status(
+    lag_bytes: Column,
+    lag_seconds: Column,
+    max_bytes: int = LAG_BYTES,
+    max_seconds: int = LAG_SECONDS,
+    share: float = WARNING_SHARE,
+) -> Column:
     """``critical``, ``warning`` or ``healthy``; a threshold of 0 is off."""
     share = share if share > 0 else WARNING_SHARE
 

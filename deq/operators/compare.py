@@ -20,7 +20,12 @@ def _counts(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def compare(baseline: DataFrame, current: DataFrame, columns: list[str] = (), tolerances: dict | None = None) -> DataFrame:
+def compare(
+    baseline: DataFrame,
+    current: DataFrame,
+    columns: list[str] = (),
+    tolerances: dict | None = None,
+) -> DataFrame:
     """``column, metric, baseline, current, within_tolerance``.
 
     The row-count entry is left out when the baseline is empty. Each table is scanned once.

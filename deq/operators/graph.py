@@ -71,14 +71,29 @@ def upsert_edges(edges: DataFrame, incoming: DataFrame, order: str | None = None
     return _merge(edges, good, EDGE, order)
 
 
-def graph_import(nodes: DataFrame, source: DataFrame, label: str, key: str, mapping: dict[str, str] | None = None) -> DataFrame:
+def graph_import(
+    nodes: DataFrame,
+    source: DataFrame,
+    label: str,
+    key: str,
+    mapping: dict[str, str] | None = None,
+) -> DataFrame:
     """Merge table rows into the nodes of one label."""
     if not label:
         raise ValueError("nodeLabel is required")
     return upsert_nodes(nodes, as_nodes(source, label, key, mapping))
 
 
-def link_by_key(nodes: DataFrame, label: str, prop: str, to_label: str, type: str, props: dict | None = None, from_key: str | None = None, to_key: str | None = None) -> DataFrame:
+def link_by_key(
+    nodes: DataFrame,
+    label: str,
+    prop: str,
+    to_label: str,
+    type: str,
+    props: dict | None = None,
+    from_key: str | None = None,
+    to_key: str | None = None,
+) -> DataFrame:
     """Edges from the nodes whose property holds the key of a node of the other label.
 
     A key names one node, so every node gives at most one edge. ``from_key`` and ``to_key``

@@ -91,7 +91,15 @@ def write_bucketed(df: DataFrame, path: str, keys: list[str], buckets: int) -> N
     write_partitioned(df.withColumn("bucket", bucket_of(keys, buckets)), path, ["bucket"], mode="overwrite")
 
 
-def upsert_table(spark: SparkSession, path: str, changes: DataFrame, keys: list[str], order: list[str], buckets: int, op: str = "op") -> int:
+def upsert_table(
+    spark: SparkSession,
+    path: str,
+    changes: DataFrame,
+    keys: list[str],
+    order: list[str],
+    buckets: int,
+    op: str = "op",
+) -> int:
     """Apply changes to a table that :func:`write_bucketed` made; returns the buckets rewritten.
 
     Only buckets with a change are read and replaced. The new content is stored beside the table
@@ -142,7 +150,13 @@ def expire(log: DataFrame, keys: list[str], order: list[str], older_than) -> Dat
     return recent.unionByName(latest_per_key(log.filter(F.col("ts") < F.lit(older_than)), keys, order))
 
 
-def compact(spark: SparkSession, source: str, dest: str, target_bytes: int = 536_870_912, partition_by: list[str] = ()) -> dict:
+def compact(
+    spark: SparkSession,
+    source: str,
+    dest: str,
+    target_bytes: int = 536_870_912,
+    partition_by: list[str] = (),
+) -> dict:
     """Rewrite a folder's small files into files of about ``target_bytes`` in a new folder.
 
     Tasks are merged without a shuffle, so rows move only to the task that writes them.

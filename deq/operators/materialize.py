@@ -39,7 +39,15 @@ def refresh_continuous(
     write_partitioned(fresh.withColumn("bucket_day", F.to_date("bucket")), path, ["bucket_day"], mode="overwrite")
 
 
-def scheduled_refresh(path, source, time_column, query, now: datetime, start_offset: str = "", end_offset: str = "") -> None:
+def scheduled_refresh(
+    path,
+    source,
+    time_column,
+    query,
+    now: datetime,
+    start_offset: str = "",
+    end_offset: str = "",
+) -> None:
     """Refresh ``[now - start_offset, now - end_offset)``; an empty offset leaves that side open."""
     start = now - timedelta(seconds=parse_duration(start_offset)) if start_offset else None
     stop = now - timedelta(seconds=parse_duration(end_offset)) if end_offset else None

@@ -74,7 +74,12 @@ def _tables(first: DataFrame, second: DataFrame) -> DataFrame:
     return a.join(b, "dataset", "full_outer").na.fill(False)
 
 
-def schema_diff(desired: DataFrame, live: DataFrame, desired_indexes: DataFrame | None = None, live_indexes: DataFrame | None = None) -> DataFrame:
+def schema_diff(
+    desired: DataFrame,
+    live: DataFrame,
+    desired_indexes: DataFrame | None = None,
+    live_indexes: DataFrame | None = None,
+) -> DataFrame:
     """``dataset, name, change, from_type, to_type, breaking`` from live to desired.
 
     Tables that are only live are left alone. A new table is one change; its columns are not listed.
@@ -109,7 +114,8 @@ def schema_diff(desired: DataFrame, live: DataFrame, desired_indexes: DataFrame
         )
         key = ["dataset", "columns", "unique"]
         added = desired_indexes.join(live_indexes.select(*key), key, "left_anti")
-        dropped = join_skewed(live_indexes.join(desired_indexes.select(*key), key, "left_anti"), desired.select("dataset").distinct(), ["dataset"], "left_semi")
+        gone = live_indexes.join(desired_indexes.select(*key), key, "left_anti")
+        dropped = join_skewed(gone, desired.select("dataset").distinct(), ["dataset"], "left_semi")
         parts += [_change(added, "add_index", label, False), _change(dropped, "drop_index", label, True)]
     return reduce(DataFrame.unionByName, parts)
 
@@ -231,7 +237,8 @@ def expand(df: DataFrame, changes: list[dict]) -> DataFrame:
         if kind == "drop_column":
             continue
         new, new_type = check_ident(c["newColumn"], strict=True), check_type_name(c["newType"])
-        default = {"add_column": "NULL", "rename_column": f"NEW.{c.get('oldColumn')}", "change_type": f"NEW.{c.get('oldColumn')}::{new_type}"}
+        old = f"NEW.{c.get('oldColumn')}"
+        default = {"add_column": "NULL", "rename_column": old, "change_type": f"{old}::{new_type}"}
         df = df.withColumn(new, _transform(c.get("transform") or default[kind]).cast(spark_type(new_type)))
     return df
 

@@ -124,7 +124,13 @@ def demote(shared: DataFrame, dedicated: DataFrame) -> DataFrame:
     return shared.unionByName(dedicated.select(*shared.columns))
 
 
-def deprovision(tables: dict[str, DataFrame], column: str, tenant, mode: str = "delete", archive_path: str | None = None) -> dict[str, DataFrame]:
+def deprovision(
+    tables: dict[str, DataFrame],
+    column: str,
+    tenant,
+    mode: str = "delete",
+    archive_path: str | None = None,
+) -> dict[str, DataFrame]:
     """The tables without the tenant's rows (``delete``), or unchanged (``archive``).
 
     With a path, archiving first copies the rows below ``<path>/<tenant>_archived/<table>``.

@@ -25,7 +25,13 @@ def retention(df: DataFrame, time_column: str, duration: str, as_of: datetime) -
     return df.filter(F.col(check_ident(time_column)) >= F.lit(cutoff(as_of, duration)))
 
 
-def archive_rows(df: DataFrame, limit: datetime, time_column: str = "ts", measurement: str = "measurement", tags: str = "tags") -> DataFrame:
+def archive_rows(
+    df: DataFrame,
+    limit: datetime,
+    time_column: str = "ts",
+    measurement: str = "measurement",
+    tags: str = "tags",
+) -> DataFrame:
     """Rows before ``limit`` in the four-column cold form.
 
     Every other column goes into the ``fields`` object. The stamp is nanoseconds since 1970.
@@ -66,7 +72,15 @@ class Archived:
     hot: DataFrame
 
 
-def archive(df: DataFrame, older_than: str, dest: str, as_of: datetime, form: str = "parquet", delete_after: bool = False, **columns) -> Archived:
+def archive(
+    df: DataFrame,
+    older_than: str,
+    dest: str,
+    as_of: datetime,
+    form: str = "parquet",
+    delete_after: bool = False,
+    **columns,
+) -> Archived:
     """Copy old rows to a cold folder and, if asked, take them out of the hot side.
 
     Copy and removal use one cutoff. The hot side is only cut after the written copy was counted;

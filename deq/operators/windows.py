@@ -69,7 +69,17 @@ def downsample(points: DataFrame, source: str, target: str, interval: str, aggre
     )
 
 
-def downsample_wide(df: DataFrame, source: str, target: str, interval: str, tags: list[str], fields: list[str], aggregation: str = "mean", measurement: str = "measurement", ts: str = "ts") -> DataFrame:
+def downsample_wide(
+    df: DataFrame,
+    source: str,
+    target: str,
+    interval: str,
+    tags: list[str],
+    fields: list[str],
+    aggregation: str = "mean",
+    measurement: str = "measurement",
+    ts: str = "ts",
+) -> DataFrame:
     """:func:`downsample` for a table with one column per tag and field, in the same long form.
 
     The fields are aggregated side by side and only the results are turned into rows, so no map
@@ -98,7 +108,14 @@ def downsample_wide(df: DataFrame, source: str, target: str, interval: str, tags
     )
 
 
-def time_bucket(df: DataFrame, column: str, interval: str, keys: list[str], aggregates: list[Column], origin: str = "0s") -> DataFrame:
+def time_bucket(
+    df: DataFrame,
+    column: str,
+    interval: str,
+    keys: list[str],
+    aggregates: list[Column],
+    origin: str = "0s",
+) -> DataFrame:
     """Group by keys and bucket; column ``bucket`` is the bucket's start."""
     start = bucket(F.col(check_ident(column)), interval, origin)
     return df.groupBy(*keys, start.alias("w")).agg(*aggregates).withColumn("bucket", F.col("w.start")).drop("w")

@@ -53,7 +53,13 @@ def to_typed_columns(df: DataFrame, keep: list[str] = ("measurement", "ts")) ->
     return df.select(*[f.name for f in df.schema.fields if f.name in keep or isinstance(f.dataType, simple)])
 
 
-def write_partitioned(df: DataFrame, path: str, columns: list[str], mode: str = "append", order: list[str] = ()) -> None:
+def write_partitioned(
+    df: DataFrame,
+    path: str,
+    columns: list[str],
+    mode: str = "append",
+    order: list[str] = (),
+) -> None:
     """Write one folder per value of ``columns``.
 
     The rebalance hint lets a partition value that holds most of the rows spread over several
@@ -96,6 +102,5 @@ def chunk_label(stamp, interval: str = "1d") -> str:
 def read_chunks(df: DataFrame, time_column: str, start, stop, interval: str = "1d") -> DataFrame:
     """Rows with ``start <= time < stop``; the filter on ``chunk`` prunes folders."""
     c = F.col(time_column)
-    return df.filter(
-        (F.col("chunk") >= chunk_label(start, interval)) & (F.col("chunk") <= chunk_label(stop, interval)) & (c >= F.lit(start)) & (c < F.lit(stop))
-    )
+    chunk = F.col("chunk").between(chunk_label(start, interval), chunk_label(stop, interval))
+    return df.filter(chunk & (c >= F.lit(start)) & (c < F.lit(stop)))

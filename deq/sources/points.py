@@ -71,7 +71,14 @@ def normalize_points(df: DataFrame, payload: str, now=None, need_fields: bool =
     )
 
 
-def flat_points(df: DataFrame, tags: list[str], fields: list[str], texts: list[str] = (), measurement: str = "measurement", ts: str = "ts") -> DataFrame:
+def flat_points(
+    df: DataFrame,
+    tags: list[str],
+    fields: list[str],
+    texts: list[str] = (),
+    measurement: str = "measurement",
+    ts: str = "ts",
+) -> DataFrame:
     """Points out of one column per tag and field; NULL cells are left out of the maps."""
 
     def packed(names, kind):

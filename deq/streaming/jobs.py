@@ -19,7 +19,13 @@ from deq.operators.lake import as_of, latest_per_key
 from deq.session import literal_rows
 
 
-def read_files(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None, pattern: str = "*.parquet") -> DataFrame:
+def read_files(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    files_per_batch: int | None = None,
+    pattern: str = "*.parquet",
+) -> DataFrame:
     """A folder of Parquet files as a stream; ``files_per_batch`` is the steady rate limit."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if files_per_batch:
@@ -27,7 +33,14 @@ def read_files(spark: SparkSession, path: str, schema: StructType, files_per_bat
     return reader.parquet(path)
 
 
-def read_topic(spark: SparkSession, servers: str, topic: str, schema: StructType, time_column: str, per_batch: int | None = None) -> DataFrame:
+def read_topic(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    schema: StructType,
+    time_column: str,
+    per_batch: int | None = None,
+) -> DataFrame:
     """A Kafka topic of JSON rows as a stream; needs Spark's Kafka package on the class path."""
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
     if per_batch:
@@ -40,7 +53,13 @@ def _trigger(every: str | None) -> dict:
     return {"processingTime": every} if every else {"availableNow": True}
 
 
-def ingest(stream: DataFrame, dest: str, checkpoint: str, every: str | None = None, rows_per_file: int | None = None) -> StreamingQuery:
+def ingest(
+    stream: DataFrame,
+    dest: str,
+    checkpoint: str,
+    every: str | None = None,
+    rows_per_file: int | None = None,
+) -> StreamingQuery:
     """Append a stream to a folder as it is, without rollup.
 
     ``every`` is the flush interval; without it the job takes what is there and ends.
@@ -51,7 +70,16 @@ def ingest(stream: DataFrame, dest: str, checkpoint: str, every: str | None = No
     return writer.outputMode("append").trigger(**_trigger(every)).start()
 
 
-def on_change(stream: DataFrame, callback: Callable[[DataFrame, int], None], checkpoint: str, tables: list[str] = (), actions: list[str] = (), table: str = "tbl", op: str = "op", every: str | None = None) -> StreamingQuery:
+def on_change(
+    stream: DataFrame,
+    callback: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    tables: list[str] = (),
+    actions: list[str] = (),
+    table: str = "tbl",
+    op: str = "op",
+    every: str | None = None,
+) -> StreamingQuery:
     """Call back with the matching events of each batch."""
     matching = cdc_filter(stream, tables, actions, table, op)
     return (
@@ -71,7 +99,16 @@ def batch_writer(dest: str) -> Callable[[DataFrame, int], None]:
     return store
 
 
-def apply_changes(stream: DataFrame, log: str, rejected: str, checkpoint: str, keys: list[str], order: list[str], required: list[str], every: str | None = None) -> StreamingQuery:
+def apply_changes(
+    stream: DataFrame,
+    log: str,
+    rejected: str,
+    checkpoint: str,
+    keys: list[str],
+    order: list[str],
+    required: list[str],
+    every: str | None = None,
+) -> StreamingQuery:
     """Check each batch, then add its last change per key to a change log.
 
     Rows with a NULL in a required column go to ``rejected``. The log is read with
@@ -98,7 +135,17 @@ def current_state(spark: SparkSession, log: str, keys: list[str], order: list[st
     return as_of(spark.read.parquet(log).drop("batch"), keys, order, time=time)
 
 
-def continuous_aggregate(stream: DataFrame, dest: str, checkpoint: str, interval: str, keys: list[str], aggregates: list[Column], delay: str, time_column: str = "ts", every: str | None = None) -> StreamingQuery:
+def continuous_aggregate(
+    stream: DataFrame,
+    dest: str,
+    checkpoint: str,
+    interval: str,
+    keys: list[str],
+    aggregates: list[Column],
+    delay: str,
+    time_column: str = "ts",
+    every: str | None = None,
+) -> StreamingQuery:
     """Append each bucket once the watermark has passed its end.
 
     ``time_column`` may lack a zone; it is read as UTC, as event time needs an instant.
@@ -109,7 +156,14 @@ def continuous_aggregate(stream: DataFrame, dest: str, checkpoint: str, interval
     return ingest(rows, dest, checkpoint, every)
 
 
-def watch_lag(stream: DataFrame, alerts: str, checkpoint: str, as_of_time, every: str | None = None, **thresholds) -> StreamingQuery:
+def watch_lag(
+    stream: DataFrame,
+    alerts: str,
+    checkpoint: str,
+    as_of_time,
+    every: str | None = None,
+    **thresholds,
+) -> StreamingQuery:
     """Store an alert row per source and batch whose lag is not healthy."""
 
     def store(batch: DataFrame, number: int) -> None:
