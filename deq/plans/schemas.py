@@ -332,8 +332,28 @@ def _sql_count(kind: str) -> str:
     return f"SELECT doc_id, count(*) AS n FROM ({_matches(kind)}) GROUP BY doc_id"
 
 
-_HAS = "json_valid(payload)"
-_OBJECT = "json_valid(payload) AND json_type(payload) = 'OBJECT'"
+def _sql_spans(patterns: dict[str, str]) -> str:
+    """``doc_id, type, value, start, end`` in bytes; a span that overlaps one of an earlier type is left out.
+
+    The place of a match is the length of all that precedes it: the pieces between matches and the
+    matches before it.
+    """
+    found = " UNION ALL ".join(
+        f"""SELECT doc_id, '{k}' AS type, regexp_extract_all(text, '{p}') AS m, string_split_regex(text, '{p}') AS g FROM documents"""
+        for k, p in patterns.items()
+    )
+    steps, kept = [], ""
+    for n, kind in enumerate(patterns):
+        free = " AND ".join(
+            f"NOT EXISTS (FROM a{i} WHERE a{i}.doc_id = e.doc_id AND a{i}.start < e.stop AND e.start < a{i}.stop)" for i in range(n)
+        )
+        steps.append(f"a{n} AS (SELECT * FROM e WHERE type = '{kind}' {'AND ' + free if free else ''})")
+        kept += f"{' UNION ALL ' if kept else ''}FROM a{n}"
+    return f"""(WITH s AS ({found}), u AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM s),
+      b AS (SELECT doc_id, type, m[i] AS value,
+        list_sum([strlen(x) for x in g[1:i]]) + coalesce(list_sum([strlen(x) for x in m[1:i - 1]]), 0) AS start FROM u),
+      e AS (SELECT *, start + strlen(value) AS stop FROM b), {", ".join(steps)}
+      SELECT doc_id, type, value, CAST(start AS INTEGER) AS start, CAST(stop AS INTEGER) AS "end" FROM ({kept}))"""
 
 
 def _sql_payload(field: str | None, what: str) -> str:
@@ -403,6 +423,11 @@ ORACLES = {
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "graph_match_2hop": """SELECT CAST(o_orderkey AS VARCHAR) AS src, CAST(1 AS BIGINT) AS paths, 'nation' AS pattern FROM orders
         UNION ALL SELECT CAST(o_orderkey AS VARCHAR), count(*) OVER (PARTITION BY o_custkey), 'siblings' FROM orders""",
+    "entities_extract": f"SELECT * FROM {_sql_spans(_PATTERNS)}",
+    "entities_custom": "SELECT * FROM "
+    + _sql_spans({"email": _PATTERNS["email"], "number": r"#\d+", "year": r"\b(?:19|20)\d{2}\b"}),
+    "entities_fallback": "SELECT doc_id, type, value, '' AS context, CAST(0.5 AS DOUBLE) AS confidence FROM "
+    + _sql_spans({k: _PATTERNS[k] for k in ("org", "location", "person")}),
     "entities_email_count": _sql_count("email"),
     "entities_org_count": _sql_count("org"),
     "entities_by_type": "SELECT type, value, count(*) AS n FROM ("
