@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from deq.functions.names import check_ident, declared_type, spark_type, text_width
 from deq.operators.materialize import stored_files
 from deq.session import literal_rows, materialize
-from deq.sources.layouts import write_partitioned
+from deq.sources.layouts import empty_partition, write_partitioned
 
 DELETE = "DELETE"
 
@@ -114,9 +114,9 @@ def upsert_table(
     target = spark.read.parquet(path).filter(F.col("bucket").isin(touched))
     merged = materialize(upsert(target, placed, keys, order, op).withColumn("bucket", bucket_of(keys, buckets)))
     emptied = set(touched) - {r["bucket"] for r in merged.select("bucket").distinct().collect()}
-    write_partitioned(merged, path, ["bucket"], mode="overwrite")
+    write_partitioned(merged, path, ["bucket"], mode="overwrite", keep_others=True)
     for bucket in emptied:
-        merged.drop("bucket").limit(0).coalesce(1).write.mode("overwrite").parquet(f"{path}/bucket={bucket}")
+        empty_partition(merged, path, "bucket", bucket)
     return len(touched)
 
 

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deq.functions.names import check_ident, parse_duration
 from deq.operators.windows import time_range
-from deq.sources.layouts import write_partitioned
+from deq.session import materialize
+from deq.sources.layouts import empty_partition, write_partitioned
 
 _DAY = timedelta(days=1)
 
@@ -35,8 +37,33 @@ def refresh_continuous(
     """
     start = _midnight(start) if start else None
     stop = _midnight(stop) if stop else None
-    fresh = query(time_range(source, time_column, start, stop))
-    write_partitioned(fresh.withColumn("bucket_day", F.to_date("bucket")), path, ["bucket_day"], mode="overwrite")
+    fresh = query(time_range(source, time_column, start, stop)).withColumn("bucket_day", F.to_date("bucket"))
+    if start is None and stop is None:
+        write_partitioned(fresh, path, ["bucket_day"], mode="overwrite")
+        return
+    staged = materialize(fresh)
+    before = _stored_days(staged.sparkSession, path, start, stop)
+    write_partitioned(staged, path, ["bucket_day"], mode="overwrite", keep_others=True)
+    # A day whose source rows are all gone has to lose its buckets too; there is one row per day.
+    if before is not None:
+        lost = before.join(staged.select("bucket_day"), "bucket_day", "left_anti").collect()
+        for row in lost:
+            empty_partition(staged, path, "bucket_day", row["bucket_day"])
+
+
+def _stored_days(spark: SparkSession, path: str, start: datetime | None, stop: datetime | None) -> DataFrame | None:
+    """The days of the window that hold buckets, fixed before they are replaced."""
+    try:
+        days = spark.read.parquet(path).select("bucket_day").distinct()
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    if start:
+        days = days.filter(F.col("bucket_day") >= F.lit(start.date()))
+    if stop:
+        days = days.filter(F.col("bucket_day") < F.lit(stop.date()))
+    return materialize(days)
 
 
 def scheduled_refresh(

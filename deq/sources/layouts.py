@@ -59,16 +59,24 @@ def write_partitioned(
     columns: list[str],
     mode: str = "append",
     order: list[str] = (),
+    keep_others: bool = False,
 ) -> None:
     """Write one folder per value of ``columns``.
 
     The rebalance hint lets a partition value that holds most of the rows spread over several
-    tasks, and small ones share a task, so neither one huge nor many tiny files come out.
+    tasks, and small ones share a task, so neither one huge nor many tiny files come out. An
+    overwrite replaces the whole table, or with ``keep_others`` only the folders that get rows.
     """
     spread = df.hint("rebalance", *columns)
     if order:
         spread = spread.sortWithinPartitions(*columns, *order)
-    spread.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
+    replace = "dynamic" if keep_others else "static"
+    spread.write.mode(mode).option("partitionOverwriteMode", replace).partitionBy(*columns).parquet(path)
+
+
+def empty_partition(df: DataFrame, path: str, column: str, value) -> None:
+    """Replace the content of one folder by an empty file."""
+    df.drop(column).limit(0).coalesce(1).write.mode("overwrite").parquet(f"{path}/{column}={value}")
 
 
 def write_by_measurement(points: DataFrame, path: str) -> None:

@@ -205,6 +205,24 @@ def test_refresh_leaves_days_outside_alone(spark):
     assert {r["k"]: r["s"] for r in read_continuous(spark, path).collect()} == {1: 1, 2: 5, 3: 1}
 
 
+def test_a_day_that_lost_its_rows_loses_its_buckets(spark):
+    path = scratch_path(spark, "inc")
+    source = spark.createDataFrame([(datetime(2024, 1, d, 1), d, 1) for d in (1, 2, 3)], "ts timestamp_ntz, k int, v int")
+    refresh_continuous(path, source, "ts", hourly)
+    refresh_continuous(path, source.filter("k = 3"), "ts", hourly, datetime(2024, 1, 2))
+    assert sorted(r["k"] for r in read_continuous(spark, path).collect()) == [1, 3]
+    refresh_continuous(path, source.filter("k = 2"), "ts", hourly)
+    assert [r["k"] for r in read_continuous(spark, path).collect()] == [2]
+
+
+def test_a_view_made_again_keeps_nothing_old(spark):
+    path = scratch_path(spark, "view")
+    df = spark.range(10).withColumn("p", F.col("id") % 2)
+    materialized_view(df, path, ["id"], ["p"])
+    materialized_view(df.filter("p = 1"), path, ["id"], ["p"])
+    assert spark.read.parquet(path).count() == 5
+
+
 def test_view_status_and_order(spark):
     path = scratch_path(spark, "view")
     materialized_view(spark.range(100).withColumn("p", F.col("id") % 2), path, ["id"], ["p"])
