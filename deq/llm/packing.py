@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -13,43 +15,53 @@ from pyspark.sql import functions as F
 from deq.llm.common import in_arrow, narrowed, ranked, utf8
 
 #: Distinct chunks of text whose ids one Python worker remembers; beyond that it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 600_000
+
+#: A letter, then one comma or full stop before a break: two tokens' worth of text, never joined.
+_STOP = re.compile(rb"(?<=[A-Za-z])([.,])(?=[\x20\x09-\x0D]|$)")
 
 _LOADED: dict = {}
 
 
-class _ChunkIds(dict):
-    """Token ids of white-space separated chunks as little-endian bytes.
+class ChunkEncoder:
+    """Token ids of white-space separated chunks, remembered as little-endian bytes.
 
-    Usable for tokenizers that drop white space and never join across it, which is checked when
-    the tokenizer is loaded.
+    Usable for tokenizers that drop white space, ignore case and never join letters to stops or
+    across white space, which is tried out when the tokenizer is loaded.
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        together = self.tokenizer.encode("ab Cd\n'll é.\t12", add_special_tokens=False).ids
-        apart = [i for w in ("ab", "Cd", "'ll", "é.", "12") for i in self.ids(w)]
-        if together != apart:
-            raise ValueError("the tokenizer keeps white space; chunks cannot be encoded on their own")
-
-    def ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def __missing__(self, chunk: bytes) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = self.ids(chunk.decode("utf-8", "replace"))
-        out = self[chunk] = np.asarray(ids, "<u4").tobytes()
-        return out
-
-
-def encoded(path: str, data: bytes) -> bytes:
-    """All ids of a text as little-endian unsigned 32-bit numbers."""
+        self.known: dict[bytes, bytes] = {}
+        probe = "ab, Cd.\n'll é.\t12 x.y ... it's"
+        if np.frombuffer(self.encode([probe.encode()])[0], "<u4").tolist() != self._ids([probe])[0]:
+            raise ValueError("this tokenizer's chunks cannot be encoded on their own")
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """All ids of each text as little-endian unsigned 32-bit numbers."""
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        # Lower case could spell out a special token that the text does not hold.
+        chunks = [_STOP.sub(rb" \1", d if b"<|" in d else d.lower()).split() for d in texts]
+        missing: set[bytes] = set()
+        for words in chunks:
+            missing.update(set(words).difference(self.known))
+        new = list(missing)
+        for word, ids in zip(new, self._ids([w.decode("utf-8", "replace") for w in new])):
+            self.known[word] = np.asarray(ids, "<u4").tobytes()
+        return [b"".join(map(self.known.__getitem__, words)) for words in chunks]
+
+
+def encoded(path: str, texts: list[bytes]) -> list[bytes]:
     if path not in _LOADED:
-        _LOADED[path] = _ChunkIds(path)
-    return b"".join(map(_LOADED[path].__getitem__, data.split()))
+        _LOADED[path] = ChunkEncoder(path)
+    return _LOADED[path].encode(texts)
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -65,8 +77,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         rows, ids = [], []
-        for doc_id, data in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
-            whole = encoded(tokenizer_path, data) + closing
+        for doc_id, own in zip(batch.column(0).to_pylist(), encoded(tokenizer_path, utf8(batch.column(1)))):
+            whole = own + closing
             for piece, at in enumerate(range(0, len(whole), 4 * capacity)):
                 part = whole[at : at + 4 * capacity]
                 rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
