@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from deq.llm.common import in_arrow, narrowed, ranked, utf8
 
 #: Distinct chunks of text whose ids one Python worker remembers; beyond that it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 
 #: A letter, then one comma or full stop before a break: two tokens' worth of text, never joined.
 _STOP = re.compile(rb"(?<=[A-Za-z])([.,])(?=[\x20\x09-\x0D]|$)")
@@ -49,13 +50,15 @@ class ChunkEncoder:
             self.known.clear()
         # Lower case could spell out a special token that the text does not hold.
         chunks = [_STOP.sub(rb" \1", d if b"<|" in d else d.lower()).split() for d in texts]
-        missing: set[bytes] = set()
-        for words in chunks:
-            missing.update(set(words).difference(self.known))
+        parts = [list(map(self.known.get, words)) for words in chunks]
+        missing = {w for words, found in zip(chunks, parts) if None in found for w, ids in zip(words, found) if ids is None}
         new = list(missing)
         for word, ids in zip(new, self._ids([w.decode("utf-8", "replace") for w in new])):
-            self.known[word] = np.asarray(ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, words)) for words in chunks]
+            self.known[word] = array("I", ids).tobytes()
+        return [
+            b"".join(map(self.known.__getitem__, words) if None in found else found)
+            for words, found in zip(chunks, parts)
+        ]
 
 
 def encoded(path: str, texts: list[bytes]) -> list[bytes]:
