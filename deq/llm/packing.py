@@ -64,7 +64,8 @@ class ChunkEncoder:
 def encoded(path: str, texts: list[bytes]) -> list[bytes]:
     if path not in _LOADED:
         _LOADED[path] = ChunkEncoder(path)
-    return _LOADED[path].encode(texts)
+    encoder = _LOADED[path]
+    return [ids for at in range(0, len(texts), 200) for ids in encoder.encode(texts[at : at + 200])]
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
