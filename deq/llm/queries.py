@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deq.llm import packing, sharding
+from deq.llm import fingerprints, packing, quality, sharding
 from deq.llm.common import documents
 
 
@@ -15,6 +15,10 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op3_quality_cascade(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_table(documents(spark, folder))
+
+
 def op5_ring_shards(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.ring_shards(documents(spark, folder), 8)
     return placed.select(
@@ -27,9 +31,47 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.best_fit_pack(pieces, 2048)
 
 
+def op8_scaled_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_table(documents(spark, folder))
+
+
 QUERIES = {
+    "op3_quality_cascade": op3_quality_cascade,
     "op5_ring_shards": op5_ring_shards,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_scaled_sketch": op8_scaled_sketch,
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = """
+SELECT doc_id, coalesce(text, '') AS text,
+       CASE WHEN trim(coalesce(text, ''), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) = '' THEN []
+            ELSE string_split_regex(trim(coalesce(text, ''), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                    '[\\x20\\x09-\\x0D]+') END AS w
+FROM documents"""
+
+ORACLES: dict[str, str] = {
+    "op3_quality_cascade": f"""
+WITH d AS (SELECT row_number() OVER () AS r, * FROM ({_WORDS})),
+p AS (SELECT r, i, w[i] || chr(10) || w[i + 1] || chr(10) || w[i + 2] || chr(10) || w[i + 3] || chr(10) || w[i + 4] AS g
+      FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM p) WHERE n > 1),
+rep AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, i + unnest([0, 1, 2, 3, 4]) AS j FROM twice) GROUP BY r),
+lines AS (SELECT r, x FROM (SELECT r, unnest(string_split(text, chr(10))) AS x FROM d)
+          WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
+dup AS (SELECT r, count(*) - count(DISTINCT x) AS n FROM lines GROUP BY r),
+m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+             CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+             length(regexp_replace(text, '[^!]', '', 'g')) AS marks,
+             length(regexp_replace(text, '[^A-Z]', '', 'g')) AS capitals,
+             length(regexp_replace(text, '[^0-9]', '', 'g')) AS digits,
+             len(string_split(text, chr(10))) AS n_lines
+      FROM d LEFT JOIN dup USING (r) LEFT JOIN rep USING (r)),
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 2 * n_symbols > n_words OR 2 * marks > n_words OR 2 * capitals > word_chars
+            OR 2 * digits > word_chars OR 2 * n_dup_lines > n_lines
+            OR word_chars > 20 * n_words OR word_chars < 2 * n_words) AS kept
+FROM f""",
+}
