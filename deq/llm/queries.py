@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deq.llm import fingerprints, packing, quality, sharding
+from deq.llm import fingerprints, packing, personal, quality, sharding
 from deq.llm.common import documents
 
 
@@ -19,6 +19,10 @@ def op3_quality_cascade(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_table(documents(spark, folder))
 
 
+def op4_bootstrapped_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.personal_table(documents(spark, folder))
+
+
 def op5_ring_shards(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.ring_shards(documents(spark, folder), 8)
     return placed.select(
@@ -37,6 +41,7 @@ def op8_scaled_sketch(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op3_quality_cascade": op3_quality_cascade,
+    "op4_bootstrapped_pii": op4_bootstrapped_pii,
     "op5_ring_shards": op5_ring_shards,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_scaled_sketch": op8_scaled_sketch,
