@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deq.llm import fingerprints, packing, personal, quality, sharding
+from deq.llm import fingerprints, packing, personal, quality, sharding, substrings
 from deq.llm.common import documents
 
 
@@ -30,6 +30,10 @@ def op5_ring_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_seed_and_extend(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.without_repeats(documents(spark, folder), 35).drop("kept_text")
+
+
 def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.token_pieces(documents(spark, folder), tokenizer_path("word_bpe_49k.json"), 2048)
     return packing.best_fit_pack(pieces, 2048)
@@ -43,6 +47,7 @@ QUERIES = {
     "op3_quality_cascade": op3_quality_cascade,
     "op4_bootstrapped_pii": op4_bootstrapped_pii,
     "op5_ring_shards": op5_ring_shards,
+    "op6_seed_and_extend": op6_seed_and_extend,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_scaled_sketch": op8_scaled_sketch,
 }
