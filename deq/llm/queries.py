@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deq.llm import fingerprints, packing, personal, quality, sharding, substrings
+from deq.llm import fingerprints, jaccard, packing, personal, quality, sharding, substrings
 from deq.llm.common import documents
 
 
@@ -15,6 +15,10 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(documents(spark, folder), 4, 85)
+
+
 def op3_quality_cascade(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_table(documents(spark, folder))
 
@@ -44,6 +48,7 @@ def op8_scaled_sketch(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_quality_cascade": op3_quality_cascade,
     "op4_bootstrapped_pii": op4_bootstrapped_pii,
     "op5_ring_shards": op5_ring_shards,
