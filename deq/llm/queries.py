@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deq.llm import fingerprints, jaccard, packing, personal, quality, sharding, substrings
+from deq.llm import fingerprints, jaccard, lines, packing, personal, quality, sharding, substrings
 from deq.llm.common import documents
 
 
@@ -47,6 +47,10 @@ def op8_scaled_sketch(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprint_table(documents(spark, folder))
 
 
+def op10_deletion_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.line_table(documents(spark, folder))
+
+
 QUERIES = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_quality_cascade": op3_quality_cascade,
@@ -55,6 +59,7 @@ QUERIES = {
     "op6_seed_and_extend": op6_seed_and_extend,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_scaled_sketch": op8_scaled_sketch,
+    "op10_deletion_lines": op10_deletion_lines,
 }
 
 _WORDS = """
