@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from deq.llm import fingerprints, jaccard, lines, packing, personal, quality, sharding, substrings
+from deq.llm import fingerprints, jaccard, lines, packing, personal, quality, sampling, sharding, substrings, toxicity
 from deq.llm.common import documents
 
 
@@ -15,6 +15,10 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_gumbel_segmentations(spark: SparkSession, folder: str) -> DataFrame:
+    return sampling.sampled_segmentations(documents(spark, folder), tokenizer_path("piece_bpe_32k.model"), k=2)
+
+
 def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(documents(spark, folder), 4, 85)
 
@@ -47,11 +51,17 @@ def op8_scaled_sketch(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprint_table(documents(spark, folder))
 
 
+def op9_pu_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return toxicity.toxicity(documents(spark, folder), labels)
+
+
 def op10_deletion_lines(spark: SparkSession, folder: str) -> DataFrame:
     return lines.line_table(documents(spark, folder))
 
 
 QUERIES = {
+    "op1_gumbel_segmentations": op1_gumbel_segmentations,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_quality_cascade": op3_quality_cascade,
     "op4_bootstrapped_pii": op4_bootstrapped_pii,
@@ -59,6 +69,7 @@ QUERIES = {
     "op6_seed_and_extend": op6_seed_and_extend,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_scaled_sketch": op8_scaled_sketch,
+    "op9_pu_toxicity": op9_pu_toxicity,
     "op10_deletion_lines": op10_deletion_lines,
 }
 
