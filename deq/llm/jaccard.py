@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deq.llm.common import in_arrow, mixed, narrowed, shingles, utf8
+from deq.llm.common import in_arrow, key_of, keyed, mixed, narrowed, shingles, utf8
 from deq.llm.components import components
 from deq.llm.substrings import unpack
 from deq.session import materialize
@@ -39,15 +39,15 @@ def _sets(batch: pa.RecordBatch, column: str, size: int) -> list[np.ndarray]:
 
 
 def classes(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles and the class ``c`` of rows with equal shingle sets (null if empty)."""
+    """Keys, doc_id, n_shingles and the class ``c`` of rows with equal shingle sets (null if empty)."""
 
     def emit(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         sets = _sets(batch, "text", size)
         digests = [set_digest(s) if len(s) else None for s in sets]
-        columns = [batch.column("doc_id"), pa.array(map(len, sets), pa.int64()), pa.array(digests, pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "c"])
+        columns = [*batch.columns[:3], pa.array(map(len, sets), pa.int64()), pa.array(digests, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["_a", "_b", "doc_id", "n_shingles", "c"])
 
-    return in_arrow(narrowed(docs), emit, "doc_id long, n_shingles long, c long")
+    return in_arrow(keyed(docs), emit, "_a long, _b long, doc_id long, n_shingles long, c long")
 
 
 def frequencies(docs: DataFrame, size: int) -> np.ndarray:
@@ -232,10 +232,34 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     100 * common >= percent * union. component_id is the smallest doc_id that links reach. A null or
     blank text has no set and is linked with nothing; a null doc_id counts as larger than any other.
     """
+    return _named(docs, size, percent).select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _named(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Keys, doc_id, n_shingles, component ``m`` and its smallest id, per row."""
     rows = materialize(classes(docs, size))
     linked = similar_classes(docs, size, percent)
     named = rows.join(linked, "c", "left").withColumn("m", F.coalesce("m", "c"))
     smallest = materialize(named.filter(F.col("m").isNotNull()).groupBy("m").agg(F.min("doc_id").alias("component_id")))
-    return named.join(smallest, "m", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+    return named.join(smallest, "m", "left")
+
+
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The documents, all columns, without those that are near copies of one that stays.
+
+    Of a group the row with the smallest doc_id stays (null ids last, then by text); rows alike in
+    id and text count as one, of which one stays. Rows without words all stay.
+    """
+    named = _named(docs, size, percent).filter(F.col("m").isNotNull())
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "_a", "_b")
+    first = named.groupBy("m").agg(F.min(order).alias("f"), F.count(F.lit(1)).alias("rows")).select(
+        "m", F.col("f._a").alias("_a"), F.col("f._b").alias("_b")
     )
+    copies = named.select("m", "_a", "_b").distinct()
+    gone = copies.join(first.withColumn("_stays", F.lit(True)), ["m", "_a", "_b"], "left").filter("_stays is null").select("_a", "_b")
+    again = named.groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_a", "_b", F.lit(True).alias("_again"))
+    marked = docs.select("*", *key_of(docs["doc_id"].cast("long"), docs["text"])).join(gone, ["_a", "_b"], "left_anti")
+    marked = marked.join(again, ["_a", "_b"], "left")
+    single = marked.filter(F.col("_again").isNull())
+    repeated = marked.filter("_again").dropDuplicates(["_a", "_b"])
+    return single.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
