@@ -22,9 +22,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that an earlier line repeats."""
+    """The documents without lines that an earlier line repeats; those left without a word go."""
     prepare(spark)
-    return _counted(lines.without_repeated_lines(docs))
+    return _counted(lines.without_repeated_lines(docs, drop_emptied=True))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

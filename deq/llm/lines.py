@@ -222,10 +222,16 @@ def _cut(data: pd.Series, removed: pd.Series) -> pd.Series:
     return pd.Series([one(d, g) for d, g in zip(data, removed)])
 
 
-def without_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """The documents with their repeated lines taken out of the text; all rows and columns stay."""
+def without_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, drop_emptied: bool = False) -> DataFrame:
+    """The documents, all columns, with their repeated lines taken out of the text.
+
+    All rows stay, unless ``drop_emptied`` asks to drop those that lost lines and have no word left.
+    """
     gone = repeated_lines(docs, min_chars)
-    rows = docs.select(*[c for c in docs.columns if c != "text"], *key_of(docs["doc_id"].cast("long"), docs["text"]), F.pandas_udf(_squeezed, "binary")("text").alias("_data"))
-    joined = rows.join(gone, ["_a", "_b"], "left")
-    cut = F.pandas_udf(_cut, "string")
-    return joined.select(*[cut("_data", "removed").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    squeezed, cut = F.pandas_udf(_squeezed, "binary"), F.pandas_udf(_cut, "string")
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    rows = docs.select(*others, *key_of(docs["doc_id"].cast("long"), docs["text"]), squeezed("text").alias("_data"))
+    left = rows.join(gone, ["_a", "_b"], "left").withColumn("text", cut("_data", "removed"))
+    if drop_emptied:
+        left = left.filter(F.col("removed").isNull() | (F.btrim("text", F.lit(BREAKS)) != ""))
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
