@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,30 +39,28 @@ def _sets(batch: pa.RecordBatch, column: str, size: int) -> list[np.ndarray]:
     return [shingles(d.lower(), size) for d in utf8(batch.column(column))]
 
 
-def classes(docs: DataFrame, size: int) -> DataFrame:
-    """Keys, doc_id, n_shingles and the class ``c`` of rows with equal shingle sets (null if empty)."""
+def classes(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
+    """Rows with their class, and how often shingles fall into each cell, from one scan.
 
-    def emit(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        sets = _sets(batch, "text", size)
-        digests = [set_digest(s) if len(s) else None for s in sets]
-        columns = [*batch.columns[:3], pa.array(map(len, sets), pa.int64()), pa.array(digests, pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, ["_a", "_b", "doc_id", "n_shingles", "c"])
-
-    return in_arrow(keyed(docs), emit, "_a long, _b long, doc_id long, n_shingles long, c long")
-
-
-def frequencies(docs: DataFrame, size: int) -> np.ndarray:
-    """How often shingles fall into each cell, over all documents: an array of fixed size."""
+    Rows hold keys, doc_id, n_shingles and the class ``c`` of equal shingle sets (null if empty).
+    The counts cover all documents; their array has a fixed size.
+    """
     width = CELLS // SLICES
+    names = ["_a", "_b", "doc_id", "n_shingles", "c", "slice", "data"]
 
-    def count(batches):
+    def emit(batches):
         total = np.zeros(CELLS, np.int64)
         for batch in batches:
-            found = _sets(batch, "text", size)
-            if found:
-                total += np.bincount((np.concatenate(found) & _MASK).astype(np.int64), minlength=CELLS)
+            sets = _sets(batch, "text", size)
+            digests = [set_digest(s) if len(s) else None for s in sets]
+            if sets:
+                total += np.bincount((np.concatenate(sets) & _MASK).astype(np.int64), minlength=CELLS)
+            columns = [*batch.columns[:3], pa.array(map(len, sets), pa.int64()), pa.array(digests, pa.int64())]
+            none = [pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, *none], names)
         parts = [zlib.compress(total[i * width : (i + 1) * width].astype("<u4").tobytes(), 1) for i in range(SLICES)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], ["slice", "data"])
+        blank = [pa.nulls(SLICES, pa.int64()) for _ in range(5)]
+        yield pa.RecordBatch.from_arrays([*blank, pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], names)
 
     def merge(table: pa.Table) -> pa.Table:
         total = np.zeros(width, np.int64)
@@ -70,22 +69,23 @@ def frequencies(docs: DataFrame, size: int) -> np.ndarray:
         merged = zlib.compress(total.astype("<i8").tobytes(), 1)
         return pa.table([table.column("slice").slice(0, 1), pa.array([merged], pa.binary())], ["slice", "data"])
 
-    counted = narrowed(docs).select("text").mapInArrow(count, "slice int, data binary")
-    rows = counted.groupBy("slice").applyInArrow(merge, "slice int, data binary").collect()
-    out = np.zeros(CELLS, np.int64)
-    for row in rows:
-        out[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(zlib.decompress(row["data"]), "<i8")
-    return out
+    schema = "_a long, _b long, doc_id long, n_shingles long, c long, slice int, data binary"
+    both = materialize(keyed(docs).mapInArrow(emit, schema))
+    counted = both.filter("slice is not null").select("slice", "data")
+    counts = np.zeros(CELLS, np.int64)
+    for row in counted.groupBy("slice").applyInArrow(merge, "slice int, data binary").collect():
+        counts[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(zlib.decompress(row["data"]), "<i8")
+    return both.filter("slice is null").drop("slice", "data"), counts
 
 
-def prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
+def prefixes(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
     """Postings: shingle ``t``, class ``c``, set size ``n``, place ``i`` in rare-first order, ``parts``.
 
     Two sets that share ``percent`` of their union share one of the first n - ceil(percent * n) + 1
     shingles of any common order; the order here is by frequency cell, then by hash. A class that a
     task has seen is not written again by it.
     """
-    frequent = docs.sparkSession.sparkContext.broadcast(frequencies(docs, size).astype(np.float32))
+    frequent = docs.sparkSession.sparkContext.broadcast(counts.astype(np.float32))
     shift = np.uint64(64 - PARTS.bit_length() + 1)
 
     def emit(batches):
@@ -152,26 +152,13 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.filter(100 * F.col("k") >= percent * (F.col("total") - F.col("k"))).select("u", "v")
 
 
-def _class_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """``c`` and the shingle set ``s`` of the wanted classes; one row each."""
-
-    def squeeze(batches):
-        import zstandard
+def _class_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """``c`` and the shingle set ``s`` of the wanted classes, each from one of its rows."""
 
-        seen: set[int] = set()
-        for batch in batches:
-            press, found, data = zstandard.ZstdCompressor(level=3), [], []
-            for text in utf8(batch.column("text")):
-                low = text.lower()
-                c = set_digest(shingles(low, size))
-                if c in seen:
-                    continue
-                if len(seen) >= 1_000_000:
-                    seen.clear()
-                seen.add(c)
-                found.append(c)
-                data.append(press.compress(low))
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(data, pa.binary())], ["c", "data"])
+    def squeeze(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        data = pa.array([press.compress(d.lower()) for d in utf8(batch.column("text"))], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], data], ["_a", "_b", "data"])
 
     def expand(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for at in range(0, batch.num_rows, 500):
@@ -179,21 +166,22 @@ def _class_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             found = [shingles(unpack(d), size).view(np.int64) for d in part.column("data").to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column("c"), pa.array(found, pa.list_(pa.int64()))], ["c", "s"])
 
-    texts = narrowed(docs).select("text").mapInArrow(squeeze, "c long, data binary")
-    rows = texts.join(wanted, "c", "left_semi").dropDuplicates(["c"])
-    return in_arrow(rows, expand, "c long, s array<bigint>")
+    chosen = rows.join(wanted, "c", "left_semi").groupBy("c").agg(F.min_by("_b", "_a").alias("_b"), F.min("_a").alias("_a"))
+    texts = in_arrow(keyed(docs), squeeze, "_a long, _b long, data binary").join(chosen, ["_a", "_b"])
+    return in_arrow(texts.select("c", "data").dropDuplicates(["c"]), expand, "c long, s array<bigint>")
 
 
-def similar_classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
+def similar_classes(docs: DataFrame, rows: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
     """``c`` and ``m``: classes of equal sets and the least class of their component, where they differ.
 
     Postings of shingles with one class are dropped. In the star rounds the members of each
-    shingle's list are compared with one of them, chosen by a hash that is the same for all lists;
-    then lists are reduced to those that still hold several components, and of these all pairs
+    shingle's list are compared with one of them: first that in whose order the shingle comes
+    earliest, which is the text the others were made from, as their own changes are rare and come
+    first; next one by a hash that is the same for all lists. Then lists are reduced to those that still hold several components, and of these all pairs
     across components are compared. Pairs inside a component cannot change the result and are never
     made, so a group of copies costs its rows, not its pairs. Each pair is verified once.
     """
-    postings = prefixes(docs, size, percent)
+    postings = prefixes(docs, counts, size, percent)
     several = postings.groupBy("t").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a != b").select("t")
     lists = materialize(postings.join(several, "t", "left_semi").dropDuplicates(["t", "c"]))
     sets, done, links = None, None, None
@@ -207,7 +195,8 @@ def similar_classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
             current = materialize(current.join(mixed_lists, "t", "left_semi"))
             lists = current.drop("m")
         if stage < STAR_ROUNDS:
-            rank = F.xxhash64("c", F.lit(stage))
+            chance = F.xxhash64("c", F.lit(stage)).bitwiseAND(F.lit(0xFFFFFFFF))
+            rank = chance if stage else F.shiftleft("i", 32) + chance
             hub = current.groupBy("t").agg(F.min_by("c", rank).alias("c"))
             hubs = current.join(hub, ["t", "c"], "left_semi")
             pairs = _pairs(current, hubs, percent, F.col("x.m") != F.col("y.m"))
@@ -218,7 +207,7 @@ def similar_classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
         pairs = materialize(pairs)
         done = pairs if done is None else done.unionByName(pairs)
         if sets is None:
-            sets = materialize(_class_sets(docs, lists.select("c").distinct(), size))
+            sets = materialize(_class_sets(docs, rows, lists.select("c").distinct(), size))
         new = verified(pairs, sets, percent)
         links = materialize(new if links is None else links.unionByName(new))
     return components(links).withColumnRenamed("u", "c")
@@ -237,8 +226,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 def _named(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Keys, doc_id, n_shingles, component ``m`` and its smallest id, per row."""
-    rows = materialize(classes(docs, size))
-    linked = similar_classes(docs, size, percent)
+    rows, counts = classes(docs, size)
+    linked = similar_classes(docs, rows, counts, size, percent)
     named = rows.join(linked, "c", "left").withColumn("m", F.coalesce("m", "c"))
     smallest = materialize(named.filter(F.col("m").isNotNull()).groupBy("m").agg(F.min("doc_id").alias("component_id")))
     return named.join(smallest, "m", "left")
