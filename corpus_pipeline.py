@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deq.llm import jaccard, lines, packing, personal, quality
+from deq.llm.common import settled
 from deq.llm.queries import tokenizer_path
-from deq.session import materialize, prepare
+from deq.session import materialize
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -17,13 +18,13 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass every rule; nulls and empty texts fail."""
-    prepare(spark)
+    settled(spark)
     return quality.quality_filter(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without lines that an earlier line repeats; those left without a word go."""
-    prepare(spark)
+    settled(spark)
     return _counted(lines.without_repeated_lines(docs, drop_emptied=True))
 
 
@@ -32,19 +33,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Of rows that share the smallest id one stays. Texts without words are linked with nothing.
     """
-    prepare(spark)
+    settled(spark)
     return jaccard.one_of_each(docs, 5, 80)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by the name of its kind."""
-    prepare(spark)
+    settled(spark)
     return _counted(personal.redact(docs))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 tokens and the sequence each is put into."""
-    prepare(spark)
+    settled(spark)
     return packing.best_fit_pack(packing.token_pieces(docs, tokenizer_path("word_bpe_49k.json"), 2048), 2048)
 
 

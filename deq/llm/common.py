@@ -16,8 +16,17 @@ from deq.session import materialize, prepare
 REMEMBERED = 1_000_000
 
 
+#: Documents in a batch that goes to Python; long ones make even small batches large.
+BATCH = 1000
+
+
+def settled(spark: SparkSession) -> SparkSession:
+    prepare(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
+    return spark
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{folder}/documents.parquet")
+    return settled(spark).read.parquet(f"{folder}/documents.parquet")
 
 
 def narrowed(docs: DataFrame) -> DataFrame:

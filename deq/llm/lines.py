@@ -19,7 +19,8 @@ from deq.session import materialize
 #: Lines with fewer characters say too little to be called copies; they are left alone.
 MIN_CHARS = 20
 BREAKS = " \t\n\x0b\x0c\r"
-SEEN = 1_000_000
+#: Lines that a task remembers as already written.
+SEEN = 200_000
 
 _KEYS = "_a long, _b long, "
 
@@ -152,7 +153,8 @@ def near_copies(docs: DataFrame, firsts: DataFrame, min_chars: int) -> DataFrame
     candidates = halves.join(shared, "key", "left_semi").select("h").distinct()
     wanted = materialize(firsts.join(candidates, "h", "left_semi"))
     lines = materialize(_wanted_lines(docs, wanted, min_chars))
-    keys = _variants(lines)
+    # Few lines can have many variants: each task gets a small share of them.
+    keys = _variants(lines.repartition("h"))
     several = keys.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a != b").select("key")
     order = F.struct("_a", "_b", "n", "h")
     groups = materialize(keys.join(several, "key", "left_semi").join(wanted, "h").select("key", "role", order.alias("o")))
