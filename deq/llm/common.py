@@ -47,6 +47,17 @@ def keyed(docs: DataFrame) -> DataFrame:
     return slim.select(*key_of(F.col("doc_id"), F.col("text")), "doc_id", "text")
 
 
+def boxed(docs: DataFrame, *more: Column) -> DataFrame:
+    """Keys and further columns beside ``_row``, which holds all columns whatever their names."""
+    whole = F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("_row")
+    return docs.select(*key_of(docs["doc_id"].cast("long"), docs["text"].cast("string")), whole, *more)
+
+
+def unboxed(rows: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns of ``_row`` again, some of them changed."""
+    return rows.select(*[(changed[c] if c in changed else F.col("_row").getField(c)).alias(c) for c in columns])
+
+
 def ranked(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Add ``_rank``, gapless from 0 within each key, without bringing a key's rows into one task.
 

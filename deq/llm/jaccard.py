@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deq.llm.common import in_arrow, key_of, keyed, mixed, narrowed, shingles, utf8
+from deq.llm.common import boxed, in_arrow, keyed, mixed, narrowed, shingles, unboxed, utf8
 from deq.llm.components import components
 from deq.llm.substrings import unpack
 from deq.session import materialize
@@ -247,8 +247,8 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     copies = named.select("m", "_a", "_b").distinct()
     gone = copies.join(first.withColumn("_stays", F.lit(True)), ["m", "_a", "_b"], "left").filter("_stays is null").select("_a", "_b")
     again = named.groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_a", "_b", F.lit(True).alias("_again"))
-    marked = docs.select("*", *key_of(docs["doc_id"].cast("long"), docs["text"])).join(gone, ["_a", "_b"], "left_anti")
+    marked = boxed(docs).join(gone, ["_a", "_b"], "left_anti")
     marked = marked.join(again, ["_a", "_b"], "left")
     single = marked.filter(F.col("_again").isNull())
     repeated = marked.filter("_again").dropDuplicates(["_a", "_b"])
-    return single.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unboxed(single.unionByName(repeated), docs.columns)

@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deq.llm.common import in_arrow, key_of, keyed, mixed
+from deq.llm.common import boxed, in_arrow, keyed, mixed, unboxed
 from deq.llm.substrings import _powers, unpack
 from deq.session import materialize
 
@@ -231,9 +231,10 @@ def without_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, drop_emp
     """
     gone = repeated_lines(docs, min_chars)
     squeezed, cut = F.pandas_udf(_squeezed, "binary"), F.pandas_udf(_cut, "string")
-    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
-    rows = docs.select(*others, *key_of(docs["doc_id"].cast("long"), docs["text"]), squeezed("text").alias("_data"))
-    left = rows.join(gone, ["_a", "_b"], "left").withColumn("text", cut("_data", "removed"))
+    rows = boxed(docs, squeezed("text").alias("_data"))
+    # The text travels compressed, not beside that in the box.
+    rows = rows.withColumn("_row", F.col("_row").dropFields("text"))
+    left = rows.join(gone, ["_a", "_b"], "left").withColumn("_text", cut("_data", "removed"))
     if drop_emptied:
-        left = left.filter(F.col("removed").isNull() | (F.btrim("text", F.lit(BREAKS)) != ""))
-    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+        left = left.filter(F.col("removed").isNull() | (F.btrim("_text", F.lit(BREAKS)) != ""))
+    return unboxed(left, docs.columns, text=F.col("_text"))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deq.llm.common import in_arrow, key_of, keyed
+from deq.llm.common import boxed, in_arrow, keyed, unboxed
 from deq.session import materialize
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -244,8 +244,8 @@ def redact(docs: DataFrame) -> DataFrame:
     """
     found = personal_spans(docs).select("_a", "_b", F.array_sort(F.transform(F.concat("base", "extra"), _by_start)).alias("_spans"))
     found = found.filter(F.size("_spans") > 0).dropDuplicates(["_a", "_b"])
-    rows = docs.select("*", *key_of(docs["doc_id"].cast("long"), docs["text"]))
-    text, marks = F.col("text"), F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+    rows = boxed(docs)
+    text, marks = F.col("_row.text"), F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
 
     def step(state, x):
         fresh = x["s"] >= state["at"]
@@ -258,9 +258,7 @@ def redact(docs: DataFrame) -> DataFrame:
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
     rest = lambda state: F.concat(state["out"], F.substring(text, (state["at"] + 1).cast("int"), F.char_length(text)))
     clean = F.when(F.col("_spans").isNull(), text).otherwise(F.aggregate("_spans", start, step, rest))
-    return rows.join(found, ["_a", "_b"], "left").select(
-        *[clean.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    )
+    return unboxed(rows.join(found, ["_a", "_b"], "left"), docs.columns, text=clean)
 
 
 def _by_start(x):
