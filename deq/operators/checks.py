@@ -226,11 +226,14 @@ def _custom_sql(spark: SparkSession, check: Check, seq: int):
     query = spark.sql(check.need("query"))
     value = F.col(query.columns[0]).cast("bigint")
     # Only the first row of the query counts, as with any single-value check.
-    one_row = query.limit(1).select(value.alias("found"))
-    message = F.format_string(QUERY_RESULT.format(threshold), F.col("found"))
-    return one_row, [(seq, _result("custom_sql", "", F.col("found") <= threshold, F.col("found"), message))]
+    # No row and NULL are no answer, and no answer does not pass.
+    one_row = query.limit(1).select(value.alias("found")).agg(F.first("found").alias("found"))
+    message = F.coalesce(F.format_string(QUERY_RESULT.format(threshold), F.col("found")), F.lit("query gave no value"))
+    message = F.when(F.col("found").isNull(), "query gave no value").otherwise(message)
+    good = F.coalesce(F.col("found") <= threshold, F.lit(False))
+    return one_row, [(seq, _result("custom_sql", "", good, F.col("found"), message))]
 
 
 def passed(results: DataFrame) -> DataFrame:
     """One row: whether every check passed."""
-    return results.agg(F.coalesce(F.every("passed"), F.lit(True)).alias("passed"))
+    return results.agg(F.coalesce(F.every(F.coalesce("passed", F.lit(False))), F.lit(True)).alias("passed"))

@@ -164,8 +164,8 @@ def contract_results(
 
 def contract_verdict(results: DataFrame, contract: Contract) -> DataFrame:
     """One row: ``dataset, schema_ok, quality_ok, passed``."""
-    schema_ok = F.count_if((F.col("part") == "schema") & ~F.col("passed")) == 0
-    quality_ok = F.count_if((F.col("part") != "schema") & ~F.col("passed")) == 0
+    schema_ok = F.count_if((F.col("part") == "schema") & ~F.coalesce("passed", F.lit(False))) == 0
+    quality_ok = F.count_if((F.col("part") != "schema") & ~F.coalesce("passed", F.lit(False))) == 0
     return results.agg(schema_ok.alias("schema_ok"), quality_ok.alias("quality_ok")).select(
         F.lit(contract.dataset).alias("dataset"),
         "schema_ok",

@@ -74,10 +74,13 @@ def latest_per_key(changes: DataFrame, keys: list[str], order: list[str]) -> Dat
 
 
 def upsert(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str], op: str = "op") -> DataFrame:
-    """Target with the last change of each key applied; a last change DELETE removes the key."""
+    """Target with the last change of each key applied; a last change DELETE removes the key.
+
+    A NULL ``op`` is no DELETE. A row whose key is NULL names no row, so it is added each time.
+    """
     # The keys alone are read for the anti join; a small change set is broadcast, the target stays put.
     kept = target.join(changes.select(*keys).distinct(), keys, "left_anti")
-    alive = latest_per_key(changes, keys, order).filter(F.col(op) != DELETE)
+    alive = latest_per_key(changes, keys, order).filter(~F.col(op).eqNullSafe(DELETE))
     return kept.unionByName(alive.select(*[c for c in target.columns if c in alive.columns]), allowMissingColumns=True)
 
 
@@ -111,7 +114,7 @@ def upsert_table(
     touched = [r["bucket"] for r in placed.select("bucket").distinct().collect()]
     if not touched:
         return 0
-    target = spark.read.parquet(path).filter(F.col("bucket").isin(touched))
+    target = spark.read.option("mergeSchema", "true").parquet(path).filter(F.col("bucket").isin(touched))
     merged = materialize(upsert(target, placed, keys, order, op).withColumn("bucket", bucket_of(keys, buckets)))
     emptied = set(touched) - {r["bucket"] for r in merged.select("bucket").distinct().collect()}
     write_partitioned(merged, path, ["bucket"], mode="overwrite", keep_others=True)
@@ -137,16 +140,16 @@ def as_of(log: DataFrame, keys: list[str], order: list[str], version=None, time=
         log = log.filter(F.col("version") <= F.lit(version))
     if time is not None:
         log = log.filter(F.col("ts") <= F.lit(time))
-    return latest_per_key(log, keys, order).filter(F.col("op") != DELETE)
+    return latest_per_key(log, keys, order).filter(~F.col("op").eqNullSafe(DELETE))
 
 
 def expire(log: DataFrame, keys: list[str], order: list[str], older_than) -> DataFrame:
     """Drop superseded rows older than the instant.
 
     The newest old row of each key stays, so every version from the instant on reads as before.
-    Newer rows pass through without a shuffle.
+    Newer rows pass through without a shuffle, and so do rows without a time, whose age is unknown.
     """
-    recent = log.filter(F.col("ts") >= F.lit(older_than))
+    recent = log.filter((F.col("ts") >= F.lit(older_than)) | F.col("ts").isNull())
     return recent.unionByName(latest_per_key(log.filter(F.col("ts") < F.lit(older_than)), keys, order))
 
 
@@ -159,14 +162,19 @@ def compact(
 ) -> dict:
     """Rewrite a folder's small files into files of about ``target_bytes`` in a new folder.
 
-    Tasks are merged without a shuffle, so rows move only to the task that writes them.
+    Tasks are merged without a shuffle, so rows move only to the task that writes them. Files of
+    different columns are read with all of them; the copy is compared with its source.
     """
     if target_bytes <= 0:
         raise ValueError("target size must be positive")
     before = stored_files(spark, source).agg(F.count("path").alias("files"), F.sum("length").alias("bytes")).first()
     wanted = max(1, math.ceil((before["bytes"] or 0) / target_bytes))
-    rows = spark.read.parquet(source).coalesce(wanted)
+    every = spark.read.option("mergeSchema", "true").parquet(source)
+    rows = every.coalesce(wanted)
     (rows.write.partitionBy(*partition_by) if partition_by else rows.write).parquet(dest)
+    copy = spark.read.schema(every.schema).parquet(dest)
+    if copy.count() != every.count():
+        raise RuntimeError(f"the compacted folder {dest} does not hold the rows of {source}")
     after = stored_files(spark, dest).count()
     return {"files_before": before["files"], "files_after": after, "bytes_before": before["bytes"]}
 

@@ -175,6 +175,8 @@ def apply_plan(df: DataFrame, changes: list[dict], policy: str = "block", mode:
     """
     if mode not in ("online", "blue_green"):
         raise ValueError(f"unknown mode {mode!r} (online, blue_green)")
+    if policy not in ("block", "warn"):
+        raise ValueError(f"unknown policy {policy!r} (block, warn)")
     for c in changes:
         if c.get("breaking") and policy == "block":
             raise BreakingChange(f"breaking change blocked: {c['change']} {c['name']}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -83,12 +85,14 @@ def _only(df: DataFrame, tenants: DataFrame, column: str, how: str) -> DataFrame
 def promote(df: DataFrame, tenants: DataFrame, column: str, dest: str) -> DataFrame:
     """Copy the rows of the listed tenants to one folder each, in one write.
 
-    Returns ``tenant, rows`` as migrated; raises when a copy does not hold the rows of its source.
+    Folders of other tenants stay; a named tenant's own folder is replaced. Returns ``tenant, rows``
+    as migrated; raises when a copy does not hold the rows of its source.
     """
     spark = df.sparkSession
     moving = _only(df, tenants, column, "left_semi")
-    write_partitioned(moving.withColumn("tenant", F.col(column).cast("string")), dest, ["tenant"], mode="overwrite")
-    copied = tenant_counts(read_promoted(spark, dest, df.schema), "tenant")
+    write_partitioned(moving.withColumn("tenant", F.col(column).cast("string")), dest, ["tenant"], mode="overwrite", keep_others=True)
+    named = tenants.select(F.col("tenant").cast("string").alias("tenant"))
+    copied = tenant_counts(read_promoted(spark, dest, df.schema), "tenant").join(named, "tenant", "left_semi")
     # Counted per tenant before the list is applied: one row per tenant meets the list.
     source = tenant_counts(df, column).join(tenants.select("tenant"), "tenant", "left_semi")
     verify_counts(source, copied)
@@ -111,7 +115,7 @@ def verify_counts(source: DataFrame, copy: DataFrame) -> None:
     wrong = a.join(b, "tenant", "full_outer").filter(~F.col("want").eqNullSafe(F.col("have")))
     worst = wrong.first()
     if worst is not None:
-        raise RuntimeError(f"row count mismatch for {worst['tenant']}: copied {worst['have']}, source has {worst['want']}")
+        raise RuntimeError(f"tenant {worst['tenant']} has {worst['want']} rows at the source and {worst['have']} in the copy")
 
 
 def without_tenants(df: DataFrame, tenants: DataFrame, column: str) -> DataFrame:
@@ -140,6 +144,9 @@ def deprovision(
     if mode != "archive":
         raise ValueError(f"unknown deprovision mode {mode!r} (valid: archive, delete)")
     if archive_path:
+        # The id becomes a folder name.
+        if not re.fullmatch(r"[A-Za-z0-9_-][A-Za-z0-9_.-]*", str(tenant)):
+            raise ValueError(f"tenant id {tenant!r} cannot name a folder")
         for n, df in tables.items():
             tenant_filter(df, column, tenant).write.parquet(f"{archive_path}/{tenant}_archived/{n}")
     return tables

@@ -47,19 +47,19 @@ def archive_rows(
     )
 
 
-def write_archive(cold: DataFrame, dest: str, form: str = "parquet") -> None:
-    """Append cold rows to a folder as Parquet or CSV."""
+def write_archive(cold: DataFrame, dest: str, form: str = "parquet", mode: str = "append") -> None:
+    """Write cold rows to a folder as Parquet or CSV."""
     if form == "csv":
-        cold.write.mode("append").options(header=True, quoteAll=True, escape='"').csv(dest)
+        cold.write.mode(mode).options(header=True, quoteAll=True, escape='"').csv(dest)
     else:
-        cold.write.mode("append").parquet(dest)
+        cold.write.mode(mode).parquet(dest)
 
 
 def read_archive(spark: SparkSession, dest: str, form: str = "parquet") -> DataFrame:
     reader = spark.read.schema(ARCHIVE_FIELDS)
     if form == "csv":
-        return reader.options(header=True, quote='"', escape='"', multiLine=True).csv(dest)
-    return reader.parquet(dest)
+        return reader.options(header=True, quote='"', escape='"', multiLine=True).csv(dest).drop("until")
+    return reader.parquet(dest).drop("until")
 
 
 @dataclass
@@ -83,13 +83,17 @@ def archive(
 ) -> Archived:
     """Copy old rows to a cold folder and, if asked, take them out of the hot side.
 
-    Copy and removal use one cutoff. The hot side is only cut after the written copy was counted;
-    with no old row nothing is removed.
+    Copy and removal use one cutoff, which also names the run's folder below ``dest``: a run that is
+    tried again replaces its own copy. The hot side is only cut after that copy was counted and holds
+    as many rows as the source; with no old row nothing is removed.
     """
     limit = cutoff(as_of, older_than)
     time_column = columns.get("time_column", "ts")
-    write_archive(archive_rows(df, limit, **columns), dest, form)
-    copied = read_archive(df.sparkSession, dest, form).count()
+    cold, run = archive_rows(df, limit, **columns), f"{dest}/until={limit:%Y%m%dT%H%M%S%f}"
+    write_archive(cold, run, form, mode="overwrite")
+    copied, wanted = read_archive(df.sparkSession, run, form).count(), cold.count()
+    if copied != wanted:
+        raise RuntimeError(f"the copy in {run} has {copied} rows, the source {wanted}")
     removed = delete_after and copied > 0
     hot = df.filter(~F.coalesce(F.col(time_column) < F.lit(limit), F.lit(False))) if removed else df
     return Archived(copied, dest, removed, hot)

@@ -19,17 +19,24 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Folders of local sessions that name none, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder all executors share, as named by spark.checkpoint.dir.
 
-    Only a local session may fall back on a folder of this machine.
+    Only a local session may fall back on a folder of this machine, one for all its steps.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", root)
+        # A running session takes no new value for this setting, so the choice is kept here.
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL:
+            _LOCAL[app] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        root = _LOCAL[app]
     return root.rstrip("/")
 
 

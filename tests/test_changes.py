@@ -286,3 +286,47 @@ def test_routing(spark):
     found = [r[0] for r in df.select(tenancy.resolve_table(F.col("s"), F.col("t"), F.lit("orders"), "t_")).collect()]
     assert found == ["orders", "t_acme.orders", "orders"]
     assert tenancy.tenant_filter(shared(spark), "tenant_id", "b").count() == 20
+
+
+def test_a_second_promotion_leaves_the_first(spark):
+    from deq.operators import tenancy
+    from deq.session import scratch_path
+
+    shared = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "tenant_id string, v int")
+    dest = scratch_path(spark, "tenants")
+    for t in ("a", "b", "a"):
+        done = tenancy.promote(shared, spark.createDataFrame([(t,)], "tenant string"), "tenant_id", dest)
+        assert [r["tenant"] for r in done.collect()] == [t]
+    rows = tenancy.read_promoted(spark, dest, shared.schema)
+    assert sorted((r.tenant, r.v) for r in rows.collect()) == [("a", 1), ("a", 2), ("b", 3)]
+
+
+def test_null_operations_and_times_stay(spark):
+    from deq.operators import lake
+
+    log = spark.createDataFrame(
+        [(1, None, 1, "x", 1), (2, "DELETE", 2, "y", 1), (3, "INSERT", None, "z", 1)], "k int, op string, ts int, v string, version int"
+    )
+    assert {r.k for r in lake.as_of(log, ["k"], ["version"], version=1).collect()} == {1, 3}
+    assert {r.k for r in lake.expire(log, ["k"], ["version"], 2).collect()} == {1, 2, 3}
+    target = spark.createDataFrame([(1, "old")], "k int, v string")
+    assert [tuple(r) for r in lake.upsert(target, log.filter("k = 1"), ["k"], ["version"]).collect()] == [(1, "x")]
+
+
+def test_compacting_keeps_columns_of_later_files(spark):
+    from deq.operators import lake
+    from deq.session import scratch_path
+
+    source, dest = scratch_path(spark, "small"), scratch_path(spark, "large")
+    spark.createDataFrame([(1,)], "a int").write.mode("append").parquet(source)
+    spark.createDataFrame([(2, 3)], "a int, b int").write.mode("append").parquet(source)
+    lake.compact(spark, source, dest)
+    assert sorted(tuple(r) for r in spark.read.parquet(dest).select("a", "b").collect()) == [(1, None), (2, 3)]
+
+
+def test_a_tenant_id_cannot_leave_its_folder(spark):
+    from deq.operators import tenancy
+
+    rows = spark.createDataFrame([("x",)], "tenant_id string")
+    with pytest.raises(ValueError):
+        tenancy.deprovision({"t": rows}, "tenant_id", "../../x", mode="archive", archive_path="/tmp/none")

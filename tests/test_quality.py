@@ -286,3 +286,13 @@ def test_assertions_go_on_after_a_broken_one(spark):
     ]
     assert found[3]["error"] == 'quality check "two": found 2 violations'
     assert contract_assertions(spark, [{"name": "x", "query": "SELECT 1"}], database=False).count() == 0
+
+
+def test_a_query_without_an_answer_does_not_pass(spark):
+    from deq.operators.checks import passed, quality_check
+
+    frame = spark.createDataFrame([(1,)], "a int")
+    for query in ("SELECT 1 AS x WHERE false", "SELECT CAST(NULL AS INT) AS x"):
+        results = quality_check(frame, [{"type": "custom_sql", "query": query, "threshold": 0}], "t")
+        assert [r["passed"] for r in results.collect()] == [False]
+        assert not passed(results).first()["passed"]

@@ -8,7 +8,7 @@ from deq.session import literal_rows, materialize, scratch_path, scratch_root
 
 def session(master, **settings):
     conf = SimpleNamespace(get=lambda k, d: settings.get(k.replace(".", "_"), d), set=lambda k, v: settings.update({k.replace(".", "_"): v}))
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId="made-up"))
 
 
 def test_the_named_folder_is_used():

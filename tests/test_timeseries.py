@@ -286,3 +286,15 @@ def test_scan_and_sql(spark):
     assert found == df.filter("n_regionkey = 1").count()
     with pytest.raises(ValueError):
         scan(spark, "nation; DROP TABLE x")
+
+
+def test_an_archive_run_that_is_tried_again_replaces_its_copy(spark):
+    dest = scratch_path(spark, "cold")
+    first = archive(hot_rows(spark), "30m", dest, NOW, delete_after=True)
+    again = archive(hot_rows(spark), "30m", dest, NOW, delete_after=True)
+    assert first.rows_archived == again.rows_archived > 0
+    from deq.operators.tiering import read_archive
+
+    assert read_archive(spark, dest).count() == first.rows_archived
+    nothing = archive(first.hot, "30m", scratch_path(spark, "cold"), NOW, delete_after=True)
+    assert nothing.rows_archived == 0 and not nothing.deleted_from_hot
