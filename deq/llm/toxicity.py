@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deq.llm.common import _DIGESTS, in_arrow, key_of, narrowed, utf8
+from deq.llm.common import _DIGESTS, in_arrow, keyed, narrowed, utf8
 
 #: Weights of the model; words share one of them by hash.
 WEIGHTS = 1 << 18
@@ -122,15 +122,18 @@ def fit_checked(
     return weights, bias + best[2]
 
 
-def _sample(rows: DataFrame, limit: int, mark: int) -> list[np.ndarray]:
-    """Cells of at most ``limit`` rows, the least by a hash of their id and text."""
+def _sample(rows: DataFrame, chosen: DataFrame, limit: int, mark: int) -> list[np.ndarray]:
+    """Cells of at most ``limit`` of the chosen rows, the least by a hash of their id and text."""
 
     def emit(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found = [word_cells(d) for d in utf8(batch.column(0))]
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64()))], ["cells"])
 
-    drawn = rows.orderBy(F.xxhash64(*key_of(F.col("doc_id"), F.col("text")), F.lit(mark))).limit(limit)
-    return [np.asarray(r[0], np.int64) for r in in_arrow(drawn.select("text"), emit, "cells array<bigint>").collect()]
+    # Only keys are sorted; the few that are drawn, at most ``limit``, are joined to the texts.
+    order = F.xxhash64("_a", "_b", F.lit(mark))
+    drawn = chosen.select("_a", "_b").distinct().orderBy(order).limit(limit)
+    texts = rows.join(F.broadcast(drawn), ["_a", "_b"]).select("text").limit(limit)
+    return [np.asarray(r[0], np.int64) for r in in_arrow(texts, emit, "cells array<bigint>").collect()]
 
 
 def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> tuple[np.ndarray, float]:
@@ -143,9 +146,9 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     marks = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("toxic"))
     marks = marks.filter(~held_out() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     prior = marks.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
-    rows = narrowed(docs).filter(~held_out())
-    toxic = rows.join(marks.filter("toxic = 1").select("doc_id"), "doc_id", "left_semi")
-    return fit_checked(_sample(toxic, positives, 1), _sample(rows, unlabelled, 2), float(prior))
+    rows = keyed(docs).filter(~held_out())
+    toxic = rows.select("_a", "_b", "doc_id").join(marks.filter("toxic = 1").select("doc_id"), "doc_id", "left_semi")
+    return fit_checked(_sample(rows, toxic, positives, 1), _sample(rows, rows, unlabelled, 2), float(prior))
 
 
 def held_out():
