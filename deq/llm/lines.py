@@ -112,7 +112,7 @@ def _wanted_lines(docs: DataFrame, wanted: DataFrame, min_chars: int) -> DataFra
     """``h`` and the line itself, from one occurrence (_a, _b, n) of each wanted line."""
 
     def squeeze(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=3)
+        press = zstandard.ZstdCompressor(level=6)
         data = pa.array([press.compress((t or "").encode()) for t in batch.column(3).to_pylist()], pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), data], ["_a", "_b", "data"])
 
