@@ -120,14 +120,15 @@ def prefixes(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> Da
 def possible(x: str, y: str, percent: int) -> Column:
     """Whether two postings of one shingle can belong to similar sets, by length, place and suffix.
 
-    The overlap is at least percent / (100 + percent) of both sizes. A common shingle at places i and
-    j leaves at most min(i, j) + 1 + min of what follows; and no part of the hash range holds more
-    common shingles than either set has there.
+    The overlap is at least percent / (100 + percent) of both sizes. If the shingle at places i and j is
+    the first that both have, nothing before it is common, so it and what follows in the shorter rest
+    must be enough. At later common shingles this may refuse a pair, but similar sets pass at their
+    first one, which both prefixes hold. And no part of the hash range holds more common shingles
+    than either set has there.
     """
     n, m, i, j = F.col(f"{x}.n"), F.col(f"{y}.n"), F.col(f"{x}.i"), F.col(f"{y}.i")
     length = (100 * F.least(n, m)) >= (percent * F.greatest(n, m))
-    most = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
-    place = most * (100 + percent) >= percent * (n + m)
+    place = F.least(n - i, m - j) * (100 + percent) >= percent * (n + m)
 
     def part(side, size, k):
         return F.shiftright(F.col(f"{side}.parts"), 8 * k).bitwiseAND(F.lit(255).cast("long")) * size
