@@ -143,8 +143,14 @@ def _pairs(left: DataFrame, right: DataFrame, percent: int, other: Column) -> Da
     return joined.select(F.least("x.c", "y.c").alias("u"), F.greatest("x.c", "y.c").alias("v")).distinct()
 
 
+def _members(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("u", "v")).alias("c")).distinct()
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose sets share ``percent`` of their union, with exact counts."""
+    # Of the sets only those that are compared move.
+    sets = sets.join(_members(pairs), "c", "left_semi")
     left = sets.select(F.col("c").alias("u"), F.col("s").alias("su"))
     right = sets.select(F.col("c").alias("v"), F.col("s").alias("sv"))
     both = pairs.join(left, "u").join(right, "v")
@@ -168,6 +174,8 @@ def _class_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, size: int)
             yield pa.RecordBatch.from_arrays([part.column("c"), pa.array(found, pa.list_(pa.int64()))], ["c", "s"])
 
     chosen = rows.join(wanted, "c", "left_semi").groupBy("c").agg(F.min_by("_b", "_a").alias("_b"), F.min("_a").alias("_a"))
+    # Stored, so that its size is known when it meets the texts.
+    chosen = materialize(chosen)
     texts = in_arrow(keyed(docs), squeeze, "_a long, _b long, data binary").join(chosen, ["_a", "_b"])
     return in_arrow(texts.select("c", "data").dropDuplicates(["c"]), expand, "c long, s array<bigint>")
 
@@ -178,11 +186,12 @@ def similar_classes(docs: DataFrame, rows: DataFrame, counts: np.ndarray, size:
     Postings of shingles with one class are dropped. In the star rounds the members of each
     shingle's list are compared with one of them: first that in whose order the shingle comes
     earliest, which is the text the others were made from, as their own changes are rare and come
-    first; next one by a hash that is the same for all lists. Then lists are reduced to those that still hold several components, and of these all pairs
-    across components are compared. Pairs inside a component cannot change the result and are never
+    first; next one by a hash that is the same for all lists. Then lists are reduced to those that
+    still hold several components, and of these all pairs across components are compared. Pairs inside a component cannot change the result and are never
     made, so a group of copies costs its rows, not its pairs. Each pair is verified once.
     """
-    postings = prefixes(docs, counts, size, percent)
+    # Stored, as both the count and the lists read them; a repeated scan would cut every text twice.
+    postings = materialize(prefixes(docs, counts, size, percent))
     several = postings.groupBy("t").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a != b").select("t")
     lists = materialize(postings.join(several, "t", "left_semi").dropDuplicates(["t", "c"]))
     sets, done, links = None, None, None
@@ -207,10 +216,19 @@ def similar_classes(docs: DataFrame, rows: DataFrame, counts: np.ndarray, size:
             pairs = pairs.join(done, ["u", "v"], "left_anti")
         pairs = materialize(pairs)
         done = pairs if done is None else done.unionByName(pairs)
+        wanted = _members(pairs)
+        if sets is not None:
+            wanted = wanted.join(sets.select("c"), "c", "left_anti")
+        wanted = materialize(wanted)
+        if not wanted.isEmpty():
+            own = materialize(_class_sets(docs, rows, wanted, size))
+            sets = own if sets is None else sets.unionByName(own)
         if sets is None:
-            sets = materialize(_class_sets(docs, rows, lists.select("c").distinct(), size))
+            continue
         new = verified(pairs, sets, percent)
         links = materialize(new if links is None else links.unionByName(new))
+    if links is None:
+        return rows.select("c", F.col("c").alias("m")).limit(0)
     return components(links).withColumnRenamed("u", "c")
 
 
