@@ -193,6 +193,8 @@ def similar_classes(docs: DataFrame, rows: DataFrame, counts: np.ndarray, size:
     # Stored, as both the count and the lists read them; a repeated scan would cut every text twice.
     postings = materialize(prefixes(docs, counts, size, percent))
     several = postings.groupBy("t").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a != b").select("t")
+    # Stored, so that its size is known: only a small one is broadcast, and then the postings stay.
+    several = materialize(several)
     lists = materialize(postings.join(several, "t", "left_semi").dropDuplicates(["t", "c"]))
     sets, done, links = None, None, None
     for stage in range(STAR_ROUNDS + 1):
