@@ -7,6 +7,8 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from deq.functions.text import json_value
+
 
 def _load(schema: str):
     try:
@@ -25,7 +27,7 @@ def _missing(payload: Column, names: list[str]) -> Column:
 
 
 def _names_error(payload: Column, names: list[str] | None, what: str) -> Column:
-    text = F.when(F.try_parse_json(payload).isNull(), "invalid JSON payload")
+    text = F.when(json_value(payload).isNull(), "invalid JSON payload")
     if names is None:
         return text
     keys = F.json_object_keys(payload)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, types as T
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import IllegalArgumentException
+from pyspark.sql import Column, SparkSession, types as T
 from pyspark.sql import functions as F
 
 
@@ -12,8 +14,11 @@ def number_text(value: Column) -> Column:
     """Shortest decimal text of a double: no ``.0``, exponents only below 1e-4 and from 1e21 on."""
     raw = value.cast("string")
     whole = (value == F.floor(value)) & (F.abs(value) < 1e18)
-    plain = F.regexp_replace(value.cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
+    decimal = F.regexp_replace(value.cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
     mantissa = F.regexp_replace(F.regexp_extract(raw, r"^(-?[0-9.]+)E", 1), r"\.0$", "")
+    # Below 1e-3 the text has an exponent, here -4; a decimal would lose its last digits.
+    shifted = F.concat(F.when(value < 0, "-0.000").otherwise("0.000"), F.regexp_replace(mantissa, "[-.]", ""))
+    plain = F.when(F.abs(value) < 1e-3, shifted).when(F.abs(value) < 1e7, raw).otherwise(decimal)
     exponent = F.regexp_extract(raw, r"E(-?\d+)$", 1)
     power = F.when(exponent != "", exponent).cast("int")
     sign = F.when(power < 0, "-").otherwise("+")
@@ -47,11 +52,82 @@ def _short(text: Column) -> Column:
     return F.when(F.length(text) >= 64, F.sha2(text, 256)).otherwise(text)
 
 
+def json_value(text: Column) -> Column:
+    """The variant a JSON text holds, NULL where it is no JSON; repeated names are allowed.
+
+    The built-in parser passes text after the value. So the text is read as the first of two
+    elements, whose second is the text's own digest: it has to be found there.
+    """
+    digest = F.sha2(text, 256)
+    both = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), digest, F.lit('"]')))
+    whole = (F.size(F.try_variant_get(both, "$", "array<variant>")) == 2) & (
+        F.try_variant_get(both, "$[1]", "string") == digest
+    )
+    return F.when(whole, F.try_variant_get(both, "$[0]", "variant"))
+
+
+# Bracket classes of the common dialect and their Java names.
+BRACKET_CLASSES = {
+    "alnum": r"\p{Alnum}", "alpha": r"\p{Alpha}", "ascii": r"\p{ASCII}", "blank": r"\p{Blank}", "cntrl": r"\p{Cntrl}",
+    "digit": r"\p{Digit}", "graph": r"\p{Graph}", "lower": r"\p{Lower}", "print": r"\p{Print}", "punct": r"\p{Punct}",
+    "space": r"\s", "upper": r"\p{Upper}", "word": r"\w", "xdigit": r"\p{XDigit}",
+}
+
+_PIECES = re.compile(
+    r"""(?P<escape>\\.)|(?P<bracket>\[:\^?[a-z]+:\])|(?P<open>\[\^?\]?)|(?P<close>\])|(?P<name>\(\?P<)"""
+    r"""|(?P<flags>\(\?[a-zA-Z]*(?:-[a-zA-Z]+)?[:)])|(?P<other>.)""",
+    re.DOTALL,
+)
+
+
+def engine_pattern(pattern: str) -> str:
+    """The pattern of the common linear-time dialect, as Spark's engine has to be given it.
+
+    ``$`` means the very end unless the m flag is set, lines end at ``\\n`` alone, bracket classes and
+    named groups are known, and inside a class ``[`` and ``&`` are plain. Look-around,
+    back-references, possessive repeats and the flag U are refused, and so is what does not compile.
+    """
+    _refuse_unportable(pattern)
+    by_line = re.search(r"\(\?[a-zA-Z]*m", pattern) is not None
+    out, inside = ["(?d)"], False
+    for m in _PIECES.finditer(pattern):
+        kind, piece = m.lastgroup, m.group()
+        if kind == "bracket" and inside:
+            name = piece.strip("[:]").lstrip("^")
+            if name not in BRACKET_CLASSES:
+                raise ValueError(f"pattern {pattern!r}: unknown class {piece}")
+            known = BRACKET_CLASSES[name]
+            out.append(known[0] + known[1].swapcase() + known[2:] if "^" in piece else known)
+        elif inside:
+            inside = kind != "close"
+            plain = kind in ("escape", "close")
+            out.append(piece if plain else re.sub(r"([\[\]&])", r"\\\1", piece))
+        elif kind in ("open", "bracket"):
+            if kind == "bracket":
+                raise ValueError(f"pattern {pattern!r}: {piece} belongs into a class")
+            inside = True
+            out.append(piece.replace("]", r"\]"))
+        elif kind == "flags" and "U" in piece:
+            raise ValueError(f"pattern {pattern!r} uses the flag U")
+        else:
+            out.append("(?<" if kind == "name" else r"\z" if piece == "$" and not by_line else piece)
+    found = "".join(out)
+    try:
+        SparkSession.active()._jvm.java.util.regex.Pattern.compile(found)
+    except (Py4JJavaError, IllegalArgumentException) as problem:
+        raise ValueError(f"pattern {pattern!r} does not compile") from problem
+    return found
+
+
+def _refuse_unportable(pattern: str) -> None:
+    if re.search(r"\\[1-9]|\(\?<?[=!]|\\k<|\(\?P=|\(\?>|[*+?}]\+", pattern):
+        raise ValueError(f"pattern {pattern!r} uses look-around, back-references or possessive repeats")
+
+
 def portable_pattern(pattern: str) -> str:
     """The pattern, if it stays within what every linear-time engine accepts."""
     re.compile(pattern)
-    if re.search(r"\\[1-9]|\(\?<?[=!]|\\k<|\(\?P=|\(\?>|[*+?}]\+", pattern):
-        raise ValueError(f"pattern {pattern!r} uses look-around, back-references or possessive repeats")
+    _refuse_unportable(pattern)
     return pattern
 
 

@@ -78,20 +78,25 @@ def ddl_history(stats: DataFrame) -> DataFrame:
     return stats.filter(F.col("ddls") > 0).select("tbl", line.alias("ddl"))
 
 
+def lag_seconds(as_of) -> Column:
+    """Seconds from ``last_event`` to the instant, none below zero."""
+    now = F.unix_seconds(F.lit(as_of).cast("timestamp"))
+    return F.greatest(now - F.unix_seconds(F.col("last_event").cast("timestamp")), F.lit(0))
+
+
 def source_lag(events: DataFrame, as_of, acknowledged: Column | int = -1, payload: str = "payload") -> DataFrame:
     """``source_id, last_event, lag_seconds, lag_bytes`` per source.
 
     Bytes are those of the payloads after the acknowledged offset.
     """
     ahead = F.col("seq") > acknowledged
-    now = F.unix_seconds(F.lit(as_of).cast("timestamp"))
     return (
         events.groupBy("source_id")
         .agg(
             F.max("ts").alias("last_event"),
             F.coalesce(F.sum(F.when(ahead, F.octet_length(payload))), F.lit(0)).alias("lag_bytes"),
         )
-        .withColumn("lag_seconds", F.greatest(now - F.unix_seconds(F.col("last_event").cast("timestamp")), F.lit(0)))
+        .withColumn("lag_seconds", lag_seconds(as_of))
     )
 
 

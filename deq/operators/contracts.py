@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deq.functions.names import check_ident, declared_type, normalize_type
-from deq.functions.text import portable_pattern
+from deq.functions.text import engine_pattern
 from deq.operators.checks import RESULT_COLUMNS, Check, quality_check
 from deq.session import literal_rows
 
@@ -112,7 +112,7 @@ def pattern_violations(df: DataFrame, patterns: dict[str, str]) -> DataFrame:
     counts, rows = [], []
     for i, (c, pattern) in enumerate(patterns.items()):
         text = F.col(check_ident(c)).cast("string")
-        counts.append(F.count_if(text.isNotNull() & ~text.rlike(portable_pattern(pattern))).alias(f"bad_{i}"))
+        counts.append(F.count_if(text.isNotNull() & ~text.rlike(engine_pattern(pattern))).alias(f"bad_{i}"))
         bad = F.col(f"bad_{i}")
         rows.append(
             F.struct(

@@ -90,8 +90,16 @@ def bucket_of(keys: list[str], buckets: int) -> Column:
 
 
 def write_bucketed(df: DataFrame, path: str, keys: list[str], buckets: int) -> None:
-    """Write a keyed table in one folder per bucket, for :func:`upsert_table`."""
+    """Write a keyed table in one folder per bucket, for :func:`upsert_table`.
+
+    The number of buckets is kept beside the table.
+    """
     write_partitioned(df.withColumn("bucket", bucket_of(keys, buckets)), path, ["bucket"], mode="overwrite")
+    literal_rows(df.sparkSession, [(buckets,)], "buckets int").write.mode("overwrite").parquet(_buckets_path(path))
+
+
+def _buckets_path(path: str) -> str:
+    return f"{path.rstrip('/')}.buckets"
 
 
 def upsert_table(
@@ -107,8 +115,12 @@ def upsert_table(
 
     Only buckets with a change are read and replaced. The new content is stored beside the table
     first, so nothing is read from the folders that are being overwritten and a second try gives
-    the same result. A bucket that loses its last row keeps an empty file.
+    the same result. A bucket that loses its last row keeps an empty file. Folders are replaced one
+    after the other, so a reader may meet old and new ones until the call returns.
     """
+    kept = spark.read.schema("buckets int").parquet(_buckets_path(path)).first()["buckets"]
+    if kept != buckets:
+        raise ValueError(f"the table {path} has {kept} buckets, not {buckets}")
     placed = changes.withColumn("bucket", bucket_of(keys, buckets))
     # At most one row per bucket comes to the driver; the literal list prunes the folders.
     touched = [r["bucket"] for r in placed.select("bucket").distinct().collect()]

@@ -17,8 +17,11 @@ from deq.sources.layouts import empty_partition, write_partitioned
 _DAY = timedelta(days=1)
 
 
-def _midnight(stamp: datetime) -> datetime:
-    return datetime(stamp.year, stamp.month, stamp.day)
+_EPOCH = datetime(1970, 1, 1)
+
+
+def _floor(stamp: datetime, step: timedelta) -> datetime:
+    return _EPOCH + (stamp - _EPOCH) // step * step
 
 
 def refresh_continuous(
@@ -28,20 +31,34 @@ def refresh_continuous(
     query: Callable[[DataFrame], DataFrame],
     start: datetime | None = None,
     stop: datetime | None = None,
+    width: str = "1d",
+    stamp: str = "start",
 ) -> None:
-    """Recompute the days of a continuous aggregate that lie in ``[start, stop)``.
+    """Recompute the buckets of a continuous aggregate that lie in ``[start, stop)``.
 
-    ``query`` turns source rows into rows with a ``bucket`` column whose buckets do not cross
-    midnight. Both bounds are moved back to midnight, so only whole days are replaced and a day
-    still open stays as it was. With no bounds everything is recomputed.
+    ``query`` turns source rows into rows with a ``bucket`` column, the ``start`` or ``end`` of a
+    bucket of ``width`` counted from 1970. The width has to divide a day or be whole days; shorter
+    buckets that divide it are fine too. Both bounds are moved back to whole days and whole buckets,
+    so a bucket still open stays as it was. With no bounds everything is recomputed. A bucket that
+    falls outside the bounds raises, as the width cannot be that of the query then.
     """
-    start = _midnight(start) if start else None
-    stop = _midnight(stop) if stop else None
-    fresh = query(time_range(source, time_column, start, stop)).withColumn("bucket_day", F.to_date("bucket"))
+    span = timedelta(seconds=parse_duration(width))
+    if span <= timedelta(0) or (span % _DAY and _DAY % span):
+        raise ValueError(f"buckets of {width} do not line up with days")
+    if stamp not in ("start", "end"):
+        raise ValueError(f"unknown stamp {stamp!r} (valid: start, end)")
+    step = max(span, _DAY)
+    start = _floor(start, step) if start else None
+    stop = _floor(stop, step) if stop else None
+    begins = F.col("bucket") - F.lit(span) if stamp == "end" else F.col("bucket")
+    fresh = query(time_range(source, time_column, start, stop)).withColumn("bucket_day", F.to_date(begins))
     if start is None and stop is None:
         write_partitioned(fresh, path, ["bucket_day"], mode="overwrite")
         return
     staged = materialize(fresh)
+    ends = staged.agg(F.min("bucket_day").alias("first"), F.max("bucket_day").alias("last")).first()
+    if ends["first"] and ((start and ends["first"] < start.date()) or (stop and ends["last"] >= stop.date())):
+        raise ValueError(f"the query has buckets that are not of {width}, or not stamped with their {stamp}")
     before = _stored_days(staged.sparkSession, path, start, stop)
     write_partitioned(staged, path, ["bucket_day"], mode="overwrite", keep_others=True)
     # A day whose source rows are all gone has to lose its buckets too; there is one row per day.
@@ -74,15 +91,17 @@ def scheduled_refresh(
     now: datetime,
     start_offset: str = "",
     end_offset: str = "",
+    width: str = "1d",
+    stamp: str = "start",
 ) -> None:
     """Refresh ``[now - start_offset, now - end_offset)``; an empty offset leaves that side open."""
     start = now - timedelta(seconds=parse_duration(start_offset)) if start_offset else None
     stop = now - timedelta(seconds=parse_duration(end_offset)) if end_offset else None
-    refresh_continuous(path, source, time_column, query, start, stop)
+    refresh_continuous(path, source, time_column, query, start, stop, width, stamp)
 
 
 def read_continuous(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("bucket_day")
+    return spark.read.option("mergeSchema", "true").parquet(path).drop("bucket_day")
 
 
 def materialized_view(df: DataFrame, path: str, order_by: list[str], partition_by: list[str] = ()) -> None:

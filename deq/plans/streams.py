@@ -14,7 +14,11 @@ KEY, ORDER = ["k"], ["ts", "seq"]
 
 
 def _event_stream(spark, folder):
-    return jobs.read_files(spark, folder, events(spark, folder).schema, pattern="events.parquet")
+    """The events, be they one file, whose path alone Spark refuses as a stream, or a folder of files."""
+    table = events(spark, folder)
+    if any(f.rstrip("/").endswith("/events.parquet") for f in table.inputFiles()):
+        return jobs.read_files(spark, folder, table.schema, pattern="events.parquet")
+    return jobs.read_files(spark, f"{folder}/events.parquet", table.schema)
 
 
 def _change_stream(spark, folder, files: int = 4, per_batch: int | None = 1, **extra):
@@ -43,7 +47,7 @@ def stream_cdc_filter(spark, folder):
 def stream_cdc_upsert(spark, folder):
     log, rejected = scratch_path(spark, "log"), scratch_path(spark, "rejected")
     stream = _change_stream(spark, folder, k=F.when(F.col("seq") % 53 != 0, F.col("k")))
-    jobs.finish(jobs.apply_changes(stream, log, rejected, scratch_path(spark, "offsets"), KEY, ORDER, ["k"]))
+    jobs.finish(jobs.apply_changes(stream, log, rejected, scratch_path(spark, "offsets"), ["k"]))
     state = jobs.current_state(spark, log, KEY, ORDER, AS_OF)
     refused = spark.read.parquet(rejected)
     return state.select("k", "seq", "op", "value", F.lit("state").alias("side")).unionByName(
@@ -63,10 +67,13 @@ def stream_cagg(spark, folder):
 
 
 def stream_monitor(spark, folder):
-    alerts = scratch_path(spark, "alerts")
-    stream = _change_stream(spark, folder, per_batch=None, payload=F.col("tbl"))
-    jobs.finish(jobs.watch_lag(stream, alerts, scratch_path(spark, "offsets"), AS_OF, max_seconds=1000, max_bytes=0))
-    return spark.read.parquet(alerts).select("source_id", "lag_seconds", "lag_bytes", "status", "throttle")
+    """Alerts of the last of several batches, which knows all sources."""
+    alerts, state = scratch_path(spark, "alerts"), scratch_path(spark, "state")
+    stream = _change_stream(spark, folder, payload=F.col("tbl"))
+    watch = jobs.watch_lag(stream, alerts, state, scratch_path(spark, "offsets"), lambda: AS_OF, max_seconds=1000, max_bytes=0)
+    last = jobs.finish(watch).lastProgress["batchId"]
+    stored = spark.read.parquet(alerts).filter(F.col("batch") == last)
+    return stored.select("source_id", "lag_seconds", "lag_bytes", "status", "throttle")
 
 
 def stream_throttle(spark, folder):
@@ -82,8 +89,9 @@ def stream_throttle(spark, folder):
 
 
 def stream_status(spark, folder):
-    query = jobs.finish(jobs.ingest(_event_stream(spark, folder), scratch_path(spark, "ingested"), scratch_path(spark, "offsets")))
-    return jobs.stream_status(spark, query, "events").select("source_id", "state", "rows")
+    dest = scratch_path(spark, "ingested")
+    query = jobs.finish(jobs.ingest(_change_stream(spark, folder), dest, scratch_path(spark, "offsets")))
+    return jobs.stream_status(query, "events", spark.read.parquet(dest), "ts")
 
 
 QUERIES = {
@@ -109,5 +117,5 @@ ORACLES = {
           FROM (SELECT source_id, greatest(CAST(epoch(TIMESTAMP '2024-01-31') - floor(epoch(max(ts))) AS BIGINT), 0) AS lag_seconds,
             CAST(sum(length(tbl)) AS BIGINT) AS lag_bytes FROM {CHANGES} GROUP BY source_id)) WHERE status <> 'healthy'""",
     "stream_throttle": "SELECT event_id AS seq, CAST(1 AS BIGINT) AS copies FROM events",
-    "stream_status": "SELECT 'events' AS source_id, 'stopped' AS state, count(*) AS rows FROM events",
+    "stream_status": "SELECT 'events' AS source_id, 'stopped' AS state, CAST(4 AS BIGINT) AS batches, count(*) AS rows, max(ts) AS last_event FROM events",
 }

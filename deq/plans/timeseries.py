@@ -157,6 +157,19 @@ def ts_cagg_refresh(spark, folder):
     return read_continuous(spark, path).select("event_type", "bucket", "n", "total")
 
 
+def _weekly(rows):
+    return time_bucket(rows, "ts", "7d", ["event_type"], [F.count(F.lit(1)).alias("n")])
+
+
+def ts_cagg_week(spark, folder):
+    """Buckets longer than a day: first up to a day inside of one, then from a day inside of one on."""
+    path = scratch_path(spark, "weekly")
+    source = events(spark, folder)
+    refresh_continuous(path, source, "ts", _weekly, None, datetime(2024, 1, 20, 7), width="7d")
+    refresh_continuous(path, source, "ts", _weekly, datetime(2024, 1, 20, 7), None, width="7d")
+    return read_continuous(spark, path).select("event_type", "bucket", "n")
+
+
 def _view(spark, folder):
     path = scratch_path(spark, "view")
     daily = events(spark, folder).groupBy("event_type", F.to_date("ts").alias("day")).agg(
@@ -290,6 +303,7 @@ QUERIES = {
     "ts_bucket_avg": ts_bucket_avg,
     "ts_hourly_count": ts_hourly_count,
     "ts_cagg_refresh": ts_cagg_refresh,
+    "ts_cagg_week": ts_cagg_week,
     "ts_matview": ts_matview,
     "ts_matview_status": ts_matview_status,
     "ts_granularity": ts_granularity,
@@ -362,6 +376,8 @@ ORACLES = {
     "ts_hourly_count": "SELECT date_trunc('hour', ts) AS bucket, count(*) AS n FROM events GROUP BY 1",
     "ts_cagg_refresh": """SELECT event_type, date_trunc('hour', ts) AS bucket, count(*) AS n, round(sum(value), 4) AS total
         FROM events GROUP BY ALL""",
+    "ts_cagg_week": """SELECT event_type, CAST(time_bucket(INTERVAL '7 days', ts, TIMESTAMP '1970-01-01') AS TIMESTAMP) AS bucket,
+        count(*) AS n FROM events GROUP BY ALL""",
     "ts_matview": "SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, max(value) AS top FROM events GROUP BY ALL",
     "ts_matview_status": """SELECT count(*) AS rows, true AS has_files, true AS has_bytes, true AS active
         FROM (SELECT DISTINCT event_type, CAST(ts AS DATE) FROM events)""",

@@ -16,6 +16,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     # Split a hot key even where the split costs one more shuffle.
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    # JSON texts may repeat a name; the last one counts.
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return spark
 
 

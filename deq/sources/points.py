@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from deq.functions.text import json_value
+
 # What counts as an RFC 3339 instant.
 RFC3339 = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
 
@@ -38,7 +40,7 @@ def normalize_points(df: DataFrame, payload: str, now=None, need_fields: bool =
     anything else becomes ``now``.
     """
     now = F.lit(now) if now is not None else F.current_timestamp()
-    body = F.try_parse_json(payload)
+    body = json_value(F.col(payload) if isinstance(payload, str) else payload)
     read = df.withColumn("_b", body).select(
         *df.columns,
         F.try_variant_get("_b", "$.measurement", "variant").alias("_m"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from deq.functions.text import json_value
+
 # Result names in structured test logs.
 TEST_RESULTS = {"passed": "TestPass", "failed": "TestFail", "errors": "TestError", "skipped": "TestSkip"}
 
@@ -29,7 +31,7 @@ def event_log_totals(lines: DataFrame, run: str = "run_id", line: str = "line")
     Lines that are no JSON are passed over. A run without events whose only line is a summary
     object takes its numbers from there.
     """
-    body = F.try_parse_json(F.trim(line))
+    body = json_value(F.trim(line))
     info = F.try_variant_get(body, "$.info", "map<string,variant>")
     name = F.when(info.isNotNull(), F.try_variant_get(body, "$.info.name", "string")).otherwise(
         F.try_variant_get(body, "$.name", "string")

@@ -8,15 +8,15 @@ put a batch under its own number, so a batch that runs twice replaces itself.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from deq.operators.change_data import cdc_filter, monitor, source_lag
-from deq.operators.lake import as_of, latest_per_key
-from deq.session import literal_rows
+from deq.operators.change_data import cdc_filter, lag_seconds, monitor, source_lag
+from deq.operators.lake import as_of
 
 
 def read_files(
@@ -41,12 +41,29 @@ def read_topic(
     time_column: str,
     per_batch: int | None = None,
 ) -> DataFrame:
-    """A Kafka topic of JSON rows as a stream; needs Spark's Kafka package on the class path."""
+    """A Kafka topic of JSON rows as a stream; needs Spark's Kafka package on the class path.
+
+    No message is left out, see :func:`parsed_rows`.
+    """
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
     if per_batch:
         reader = reader.option("maxOffsetsPerTrigger", per_batch)
-    rows = reader.load().select(F.from_json(F.col("value").cast("string"), schema).alias("row")).select("row.*")
-    return rows.filter(F.col(time_column).isNotNull())
+    return parsed_rows(reader.load(), schema, time_column)
+
+
+def parsed_rows(messages: DataFrame, schema: StructType, time_column: str) -> DataFrame:
+    """The rows in the JSON texts of ``value``, with ``problem`` and ``raw``.
+
+    ``problem`` is NULL for a good row. A text that does not fit the schema, or that has no time,
+    keeps its ``raw`` form and says why; :func:`apply_changes` sends it to the rejected rows.
+    """
+    text = F.col("value").cast("string")
+    wide = StructType([*schema.fields]).add("_broken", "string")
+    read = messages.select(text.alias("raw"), F.from_json(text, wide, {"columnNameOfCorruptRecord": "_broken"}).alias("_row"))
+    broken = F.col("_row").isNull() | F.col("_row._broken").isNotNull()
+    problem = F.when(broken, "no row of the schema").when(F.col("_row")[time_column].isNull(), f"no {time_column}")
+    kept = F.when(problem.isNotNull(), F.col("raw"))
+    return read.select(*[F.col("_row")[c].alias(c) for c in schema.names], problem.alias("problem"), kept.alias("raw"))
 
 
 def _trigger(every: str | None) -> dict:
@@ -104,26 +121,26 @@ def apply_changes(
     log: str,
     rejected: str,
     checkpoint: str,
-    keys: list[str],
-    order: list[str],
     required: list[str],
     every: str | None = None,
 ) -> StreamingQuery:
-    """Check each batch, then add its last change per key to a change log.
+    """Check each batch, then add its changes to a change log.
 
-    Rows with a NULL in a required column go to ``rejected``. The log is read with
-    :func:`current_state`; a batch writes only its own changes, never the whole table.
+    Rows with a NULL in a required column, or with a ``problem`` of :func:`parsed_rows`, go to
+    ``rejected``. The log is read with :func:`current_state` and keeps every good change, so any
+    instant can be asked for; a batch writes only its own changes, never the whole table.
     """
-    bad: Column = F.lit(False)
+    bad: Column = F.col("problem").isNotNull() if "problem" in stream.columns else F.lit(False)
     for c in required:
         bad = bad | F.col(c).isNull()
 
     def store(batch: DataFrame, number: int) -> None:
         marked = batch.withColumn("_bad", bad).persist()
-        marked.filter("_bad").drop("_bad").write.mode("overwrite").parquet(f"{rejected}/batch={number}")
-        good = latest_per_key(marked.filter("NOT _bad").drop("_bad"), keys, order)
-        good.write.mode("overwrite").parquet(f"{log}/batch={number}")
-        marked.unpersist()
+        try:
+            marked.filter("_bad").drop("_bad").write.mode("overwrite").parquet(f"{rejected}/batch={number}")
+            marked.filter("NOT _bad").drop("_bad").write.mode("overwrite").parquet(f"{log}/batch={number}")
+        finally:
+            marked.unpersist()
 
     return (
         stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(**_trigger(every)).start()
@@ -159,16 +176,38 @@ def continuous_aggregate(
 def watch_lag(
     stream: DataFrame,
     alerts: str,
+    state: str,
     checkpoint: str,
-    as_of_time,
+    clock: Callable[[], datetime] = datetime.now,
+    acknowledged: int = -1,
+    on_critical: Callable[[DataFrame], None] | None = None,
     every: str | None = None,
     **thresholds,
 ) -> StreamingQuery:
-    """Store an alert row per source and batch whose lag is not healthy."""
+    """Store an alert row per source and batch whose lag is not healthy.
+
+    ``clock`` is asked once a batch. The last event and the bytes after the acknowledged offset of
+    every source seen so far are kept below ``state``, one small row each, so a source that fell
+    silent is judged in each later batch too. ``on_critical`` gets the critical rows of a batch, if
+    any; it may :func:`throttle` the stream that feeds the sources. Batches run when any source has
+    news, so silence of all of them is for :func:`stream_status` to show.
+    """
 
     def store(batch: DataFrame, number: int) -> None:
-        lag = monitor(source_lag(batch, as_of_time), **thresholds)
+        spark, now = batch.sparkSession, clock()
+        # Bytes and times of a batch add up with what was known, so the older state is enough.
+        seen = source_lag(batch, now, acknowledged).select("source_id", "last_event", "lag_bytes")
+        if number > 0:
+            seen = seen.unionByName(spark.read.schema(seen.schema).parquet(f"{state}/batch={number - 1}"))
+        known = seen.groupBy("source_id").agg(F.max("last_event").alias("last_event"), F.sum("lag_bytes").alias("lag_bytes"))
+        known.write.mode("overwrite").parquet(f"{state}/batch={number}")
+        known = spark.read.schema(known.schema).parquet(f"{state}/batch={number}")
+        lag = monitor(known.withColumn("lag_seconds", lag_seconds(now)), **thresholds)
         lag.filter(F.col("alerts") > 0).write.mode("overwrite").parquet(f"{alerts}/batch={number}")
+        if on_critical is not None:
+            critical = spark.read.schema(lag.schema).parquet(f"{alerts}/batch={number}").filter("throttle")
+            if not critical.isEmpty():
+                on_critical(critical)
 
     return (
         stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(**_trigger(every)).start()
@@ -186,14 +225,19 @@ def throttle(query: StreamingQuery) -> None:
     query.stop()
 
 
-def stream_status(spark: SparkSession, query: StreamingQuery, name: str) -> DataFrame:
+def stream_status(query: StreamingQuery, name: str, stored: DataFrame, time_column: str) -> DataFrame:
     """One row: ``source_id, state, batches, rows, last_event``.
 
-    ``last_event`` is the newest event time of the last batch that has a watermark.
+    Rows and the newest event are those of the sink, so they hold however long the stream has run;
+    batches are counted by the number of the last one, over restarts on the same checkpoint too.
     """
-    progress = list(query.recentProgress)
-    rows = sum(p["numInputRows"] for p in progress)
-    newest = [p["eventTime"]["max"] for p in progress if (p["eventTime"] or {}).get("max")]
-    state = "running" if query.isActive else "stopped"
-    one = [(name, state, len(progress), rows, max(newest) if newest else None)]
-    return literal_rows(spark, one, "source_id string, state string, batches int, rows bigint, last_event string")
+    last = query.lastProgress
+    # A trigger that found nothing to do reports the number of the batch to come.
+    batches = last["batchId"] + ("addBatch" in last["durationMs"]) if last else 0
+    return stored.agg(F.count(F.lit(1)).alias("rows"), F.max(time_column).alias("last_event")).select(
+        F.lit(name).alias("source_id"),
+        F.lit("running" if query.isActive else "stopped").alias("state"),
+        F.lit(int(batches)).cast("bigint").alias("batches"),
+        "rows",
+        "last_event",
+    )

@@ -152,6 +152,8 @@ def test_bucketed_upsert_equals_replay(spark, buckets):
         found = {r["k"]: tuple(r)[:6] for r in spark.read.parquet(path).select(*df.columns).collect()}
         assert found == replay([r for r in data if r[5] <= version])
     assert lake.upsert_table(spark, path, df.limit(0), KEYS, ORDER, buckets) == 0
+    with pytest.raises(ValueError, match="buckets"):
+        lake.upsert_table(spark, path, df, KEYS, ORDER, buckets + 1)
 
 
 def test_bucketed_upsert_can_empty_a_bucket(spark):

@@ -17,7 +17,7 @@ from deq.functions.names import (
     truncate_precision,
 )
 from deq.functions.payload import validate_avro_fields, validate_json, validate_syntax
-from deq.functions.text import number_text
+from deq.functions.text import json_value, number_text
 
 DURATIONS = {
     "30d": 2_592_000,
@@ -178,3 +178,14 @@ def test_record_fields(spark):
 
 def test_syntax_only(spark):
     assert [v for v, _ in verdicts(validate_syntax(column(spark, PAYLOADS), "v"))] == [True] * 5 + [False] * 3
+
+
+def test_small_numbers_keep_their_digits(spark):
+    values = {0.00012345678901234567: "0.00012345678901234567", -0.00025: "-0.00025", 0.0012345678901234567: "0.0012345678901234567", 12345.5: "12345.5"}
+    assert mapped(column(spark, list(values), "double"), number_text(F.col("v"))) == list(values.values())
+
+
+def test_json_is_whole_and_may_repeat_names(spark):
+    texts = {'{"k":1}': True, '{"k":1} xyz': False, '{"k":1,"k":2}': True, "1,2": False, "": False, " [1] ": True, "null": True, "1],[2": False}
+    found = mapped(column(spark, list(texts), "string"), json_value(F.col("v")).isNotNull())
+    assert dict(zip(texts, found)) == texts

@@ -2,7 +2,7 @@ from datetime import datetime
 
 import pytest
 
-from deq.functions.text import portable_pattern
+from deq.functions.text import engine_pattern, portable_pattern
 from deq.operators.anomaly import anomaly, anomaly_rows
 from deq.operators.checks import passed, quality_check
 from deq.operators.compare import compare, compare_verdict
@@ -267,6 +267,19 @@ def test_patterns_outside_the_common_dialect_are_refused(pattern):
         portable_pattern(pattern)
 
 
+@pytest.mark.parametrize("pattern", [r"(a)\1", "(?=a)", "a++", "(", "(?U)a", "[[:nope:]]", "[:alpha:]"])
+def test_engine_patterns_outside_the_dialect_are_refused(spark, pattern):
+    with pytest.raises(ValueError):
+        engine_pattern(pattern)
+
+
+def test_engine_patterns_mean_what_the_dialect_says(spark):
+    df = spark.createDataFrame([("abc",), ("abc\n",)], "s string")
+    wrong = {"^[a-z]+$": 1, "^[[:alpha:]]+$": 1, r"^\pL+$": 1, "^(?P<n>[a-z]+)$": 1, "(?m)^[a-z]+$": 0, "^[[a-c]+$": 1, "^[^[:digit:]]+$": 0, "[]x]": 2}
+    for pattern, n in wrong.items():
+        assert one(pattern_violations(df, {"s": pattern}))["value"] == n, pattern
+
+
 def test_assertions_go_on_after_a_broken_one(spark):
     spark.range(3).createOrReplaceTempView("three")
     found = contract_assertions(

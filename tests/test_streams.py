@@ -1,8 +1,10 @@
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from deq.operators.lake import as_of
+from deq.plans import streams
 from deq.session import scratch_path
 from deq.streaming import jobs
 
@@ -37,10 +39,11 @@ def test_callback_sees_each_matching_event_once(spark, rows):
 def test_stream_and_batch_upsert_agree(spark, rows):
     df = changes(spark)
     log, rejected = scratch_path(spark, "log"), scratch_path(spark, "rejected")
-    jobs.finish(jobs.apply_changes(stream(spark, df), log, rejected, scratch_path(spark, "c"), ["k"], ["ts", "seq"], ["k"]))
-    end = START + timedelta(days=9)
-    state = jobs.current_state(spark, log, ["k"], ["ts", "seq"], end)
-    assert rows(state.select(*df.columns)) == rows(as_of(df.filter("k IS NOT NULL"), ["k"], ["ts", "seq"], time=end))
+    jobs.finish(jobs.apply_changes(stream(spark, df), log, rejected, scratch_path(spark, "c"), ["k"]))
+    # The second instant lies inside a batch, after which its keys change again.
+    for end in (START + timedelta(days=9), START + timedelta(minutes=7 * 15)):
+        state = jobs.current_state(spark, log, ["k"], ["ts", "seq"], end)
+        assert rows(state.select(*df.columns)) == rows(as_of(df.filter("k IS NOT NULL"), ["k"], ["ts", "seq"], time=end))
     assert rows(spark.read.parquet(rejected).select("seq")) == rows(df.filter("k IS NULL").select("seq"))
 
 
@@ -80,11 +83,45 @@ def test_lag_alerts(spark):
     df = changes(spark).withColumns({"source_id": F.col("tbl"), "payload": F.col("op")})
     alerts = scratch_path(spark, "alerts")
     newest = START + timedelta(minutes=7 * 59)
-    jobs.finish(jobs.watch_lag(stream(spark, df, per_batch=None), alerts, scratch_path(spark, "c"), newest, max_seconds=400, max_bytes=0))
+    jobs.finish(jobs.watch_lag(stream(spark, df, per_batch=None), alerts, scratch_path(spark, "s"), scratch_path(spark, "c"), lambda: newest, max_seconds=400, max_bytes=0))
     assert [(r["source_id"], r["lag_seconds"], r["status"]) for r in spark.read.parquet(alerts).collect()] == [("public.orders", 420, "critical")]
 
 
 def test_status(spark):
-    query = jobs.finish(jobs.ingest(stream(spark, changes(spark)), scratch_path(spark, "o"), scratch_path(spark, "c")))
-    row = jobs.stream_status(spark, query, "users").first()
-    assert (row["source_id"], row["state"], row["rows"]) == ("users", "stopped", 60)
+    dest = scratch_path(spark, "o")
+    query = jobs.finish(jobs.ingest(stream(spark, changes(spark)), dest, scratch_path(spark, "c")))
+    row = jobs.stream_status(query, "users", spark.read.parquet(dest), "ts").first()
+    assert tuple(row) == ("users", "stopped", 5, 60, START + timedelta(minutes=7 * 59))
+
+
+def test_a_silent_source_is_reported_in_later_batches(spark):
+    df = changes(spark).withColumns({"source_id": F.expr("if(seq < 12, 'silent', 'busy')"), "payload": F.col("op")})
+    alerts, state, called = scratch_path(spark, "alerts"), scratch_path(spark, "s"), []
+    clock = lambda: START + timedelta(minutes=7 * 59)
+    watch = jobs.watch_lag(
+        stream(spark, df), alerts, state, scratch_path(spark, "c"), clock,
+        on_critical=lambda rows: called.append({r["source_id"] for r in rows.collect()}), max_seconds=7200, max_bytes=0,
+    )
+    jobs.finish(watch)
+    last = {r["source_id"]: r for r in spark.read.parquet(alerts).filter("batch = 4").collect()}
+    assert set(last) == {"silent"} and last["silent"]["lag_seconds"] == 7 * 60 * 48
+    assert spark.read.parquet(state).filter("batch = 4").count() == 2
+    # The order of files is not fixed, but the last batch knows them all.
+    assert called[-1] == {"silent"}
+
+
+def test_broken_messages_are_kept(spark):
+    texts = ['{"ts":"2024-01-01T00:00:00","k":1}', '{"k":2}', "no json", '{"ts":"2024-01-01T00:00:00","k":"x"}', None]
+    schema = StructType().add("ts", "timestamp_ntz").add("k", "integer")
+    got = jobs.parsed_rows(spark.createDataFrame([(t,) for t in texts], "value string"), schema, "ts").collect()
+    assert [(r["problem"], r["raw"]) for r in got] == [
+        (None, None), ("no ts", texts[1]), ("no row of the schema", texts[2]), ("no row of the schema", texts[3]), ("no row of the schema", None),
+    ]
+    assert got[0]["k"] == 1
+
+
+def test_events_as_a_folder_of_files(spark):
+    folder = scratch_path(spark, "tables")
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(f"{folder}/events.parquet")
+    assert streams.stream_ingest(spark, folder).count() == events.count()

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from deq.operators.materialize import read_continuous, refresh_continuous, scheduled_refresh, view_status, materialized_view
 from deq.operators.tiering import archive, archive_rows, cold_status, cutoff, hot_status, read_archive, retention, write_archive
-from deq.operators.windows import downsample, downsample_wide, granularity_series, time_bucket, time_range
+from deq.operators.windows import bucket, downsample, downsample_wide, granularity_series, time_bucket, time_range
 from deq.session import scratch_path
 from deq.sources.layouts import (
     chunk_label,
@@ -298,3 +298,21 @@ def test_an_archive_run_that_is_tried_again_replaces_its_copy(spark):
     assert read_archive(spark, dest).count() == first.rows_archived
     nothing = archive(first.hot, "30m", scratch_path(spark, "cold"), NOW, delete_after=True)
     assert nothing.rows_archived == 0 and not nothing.deleted_from_hot
+
+
+@pytest.mark.parametrize("stamp", ["start", "end"])
+def test_incremental_equals_full_for_long_and_end_stamped_buckets(spark, rows, stamp):
+    source = spark.range(400).select((F.lit(datetime(2024, 1, 1)) + F.make_dt_interval(hours=F.col("id") * 2)).cast("timestamp_ntz").alias("ts"))
+    for width in ("6h", "7d"):
+        def query(df, width=width):
+            return df.groupBy(bucket(F.col("ts"), width)[stamp].cast("timestamp_ntz").alias("bucket")).agg(F.count("*").alias("n"))
+
+        path = scratch_path(spark, "cagg")
+        refresh_continuous(path, source, "ts", query, width=width, stamp=stamp)
+        refresh_continuous(path, source, "ts", query, datetime(2024, 1, 10, 7), datetime(2024, 1, 30, 9), width, stamp)
+        assert rows(read_continuous(spark, path), "bucket", "n") == rows(query(source), "bucket", "n")
+    with pytest.raises(ValueError):
+        refresh_continuous(path, source, "ts", query, width="5h")
+    if stamp == "start":
+        with pytest.raises(ValueError):
+            refresh_continuous(path, source, "ts", query, datetime(2024, 1, 10, 7), None, "1d", stamp)
