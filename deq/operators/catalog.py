@@ -64,16 +64,17 @@ def dataset_urn(platform: Column, name: Column) -> Column:
 
 
 def record_lineage(upstream: DataFrame, downstream: DataFrame) -> DataFrame:
-    """Lineage edges ``src, dst, pipeline`` out of ``pipeline, dataset`` lists.
+    """Lineage edges ``src, dst, pipeline, kind`` out of ``pipeline, dataset`` lists.
 
     A pipeline that reads m and writes n datasets stands between them as a node of its own: m + n
-    edges in place of m times n.
+    edges in place of m times n. The kind, ``reads`` or ``writes``, tells which end is the
+    pipeline, so a dataset may have a pipeline's name.
     """
     reads = upstream.filter(F.coalesce("dataset", F.lit("")) != "").select(
-        F.col("dataset").alias("src"), F.col("pipeline").alias("dst"), "pipeline"
+        F.col("dataset").alias("src"), F.col("pipeline").alias("dst"), "pipeline", F.lit("reads").alias("kind")
     )
     writes = downstream.filter(F.coalesce("dataset", F.lit("")) != "").select(
-        F.col("pipeline").alias("src"), F.col("dataset").alias("dst"), "pipeline"
+        F.col("pipeline").alias("src"), F.col("dataset").alias("dst"), "pipeline", F.lit("writes").alias("kind")
     )
     return reads.unionByName(writes).distinct()
 
@@ -85,12 +86,13 @@ def _walk(edges: DataFrame, start: DataFrame, depth: int, forward: bool) -> Data
     ends the walk.
     """
     near, far = ("src", "dst") if forward else ("dst", "src")
-    hops = edges.select(F.col(near).alias("node"), F.col(far).alias("next"))
+    hops = {k: edges.filter(F.col("kind") == k).select(F.col(near).alias("node"), F.col(far).alias("next")) for k in ("reads", "writes")}
+    into, out_of = (hops["reads"], hops["writes"]) if forward else (hops["writes"], hops["reads"])
     frontier, seen = start, start
     reached = []
     for level in range(1, depth + 1):
-        pipelines = join_skewed(hops, frontier, ["node"], "left_semi").select(F.col("next").alias("node")).distinct()
-        reach = join_skewed(hops, pipelines, ["node"], "left_semi").select(F.col("next").alias("node")).distinct()
+        pipelines = join_skewed(into, frontier, ["node"], "left_semi").select(F.col("next").alias("node")).distinct()
+        reach = join_skewed(out_of, pipelines, ["node"], "left_semi").select(F.col("next").alias("node")).distinct()
         frontier = reach.join(seen, "node", "left_anti")
         if level < depth:
             frontier = materialize(frontier)
@@ -119,6 +121,7 @@ def lineage_edges(edges: DataFrame, found: DataFrame, dataset: str) -> DataFrame
     """The recorded edges that touch the dataset or a dataset found by :func:`query_lineage`."""
     start = literal_rows(edges.sparkSession, [(dataset,)], "node string")
     nodes = found.select(F.col("dataset").alias("node")).unionByName(start).distinct()
-    out_of = join_skewed(edges, nodes.withColumnRenamed("node", "src"), ["src"], "left_semi")
-    into = join_skewed(edges, nodes.withColumnRenamed("node", "dst"), ["dst"], "left_semi")
-    return out_of.select(*edges.columns).unionByName(into.select(*edges.columns)).distinct()
+    reads, writes = edges.filter(F.col("kind") == "reads"), edges.filter(F.col("kind") == "writes")
+    read = join_skewed(reads, nodes.withColumnRenamed("node", "src"), ["src"], "left_semi")
+    written = join_skewed(writes, nodes.withColumnRenamed("node", "dst"), ["dst"], "left_semi")
+    return read.select(*edges.columns).unionByName(written.select(*edges.columns)).distinct()

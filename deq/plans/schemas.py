@@ -307,10 +307,10 @@ def _sql_layers(source: tuple, registry: tuple) -> str:
 _EXPANDED = """event_id, ts, user_id, event_type, value, user_id AS account,
   CAST(CAST(value AS DECIMAL(12,2)) AS DOUBLE) AS amount, concat(lower(event_type), '-', CAST(event_id AS VARCHAR)) AS label"""
 
-_SQL_LINEAGE = """SELECT DISTINCT concat('region:', n_regionkey) AS src, concat('load:nation:', n_regionkey) AS dst, concat('load:nation:', n_regionkey) AS pipeline FROM nation
-  UNION SELECT concat('load:nation:', n_regionkey), concat('nation:', n_nationkey), concat('load:nation:', n_regionkey) FROM nation
-  UNION SELECT concat('nation:', c_nationkey), concat('load:customer:', c_nationkey), concat('load:customer:', c_nationkey) FROM customer
-  UNION SELECT concat('load:customer:', c_nationkey), concat('customer:', c_custkey), concat('load:customer:', c_nationkey) FROM customer"""
+_SQL_LINEAGE = """SELECT DISTINCT concat('region:', n_regionkey) AS src, concat('load:nation:', n_regionkey) AS dst, concat('load:nation:', n_regionkey) AS pipeline, 'reads' AS kind FROM nation
+  UNION SELECT concat('load:nation:', n_regionkey), concat('nation:', n_nationkey), concat('load:nation:', n_regionkey), 'writes' FROM nation
+  UNION SELECT concat('nation:', c_nationkey), concat('load:customer:', c_nationkey), concat('load:customer:', c_nationkey), 'reads' FROM customer
+  UNION SELECT concat('load:customer:', c_nationkey), concat('customer:', c_custkey), concat('load:customer:', c_nationkey), 'writes' FROM customer"""
 
 _LIVES = "SELECT 'Customer' AS src_label, CAST(c_custkey AS VARCHAR) AS src, 'Nation' AS dst_label, CAST(c_nationkey AS VARCHAR) AS dst, 'LIVES_IN' AS type, '1990' AS since FROM customer"
 

@@ -254,6 +254,15 @@ def test_lineage_direction_and_edges(spark):
     }
 
 
+def test_a_dataset_may_have_the_name_of_a_pipeline(spark):
+    def pairs(rows):
+        return spark.createDataFrame(rows, "pipeline string, dataset string")
+
+    edges = catalog.record_lineage(pairs([("orders", "raw"), ("p2", "orders")]), pairs([("orders", "orders"), ("p2", "sums")]))
+    found = catalog.query_lineage(edges, "raw", "downstream", 2).collect()
+    assert {(r["dataset"], r["depth"]) for r in found} == {("orders", 1), ("sums", 2)}
+
+
 def test_catalog(spark):
     record = catalog.dataset_record(spark.range(7), "t", "me", ["x"], {"a": "b"}, count_rows=True).first()
     assert (record["field"], record["type"], record["tags"], record["props"]) == ("id", "bigint", ["x"], {"a": "b", "rows": "7"})
