@@ -103,6 +103,11 @@ class _Digests(dict):
 _DIGESTS = _Digests()
 
 
+def forget_digests() -> None:
+    """Give the memory of word digests back; a worker that goes on to another operator calls it."""
+    _DIGESTS.clear()
+
+
 def word_digests(data: bytes) -> np.ndarray:
     """64-bit digests of the words of a text.
 

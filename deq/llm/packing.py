@@ -13,10 +13,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deq.llm.common import in_arrow, narrowed, ranked, utf8
+from deq.llm.common import forget_digests, in_arrow, narrowed, ranked, utf8
 
 #: Distinct chunks of text whose ids one Python worker remembers; beyond that it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 
 #: A letter, then one comma or full stop before a break: two tokens' worth of text, never joined.
 _STOP = re.compile(rb"(?<=[A-Za-z])([.,])(?=[\x20\x09-\x0D]|$)")
@@ -62,6 +62,7 @@ class ChunkEncoder:
 
 
 def encoded(path: str, texts: list[bytes]) -> list[bytes]:
+    forget_digests()
     if path not in _LOADED:
         _LOADED[path] = ChunkEncoder(path)
     encoder = _LOADED[path]
