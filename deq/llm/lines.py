@@ -1,4 +1,4 @@
-"""Removal of lines that an earlier line equals but for one edit, by deletion neighbourhoods."""
+"""Removal of lines that an earlier line equals, for longer lines but for one edit, by deletion neighbourhoods."""
 
 from __future__ import annotations
 
@@ -16,7 +16,7 @@ from deq.llm.common import boxed, in_arrow, keyed, mixed, unboxed
 from deq.llm.substrings import _powers, unpack
 from deq.session import materialize
 
-#: Lines with fewer characters say too little to be called copies; they are left alone.
+#: Lines with fewer characters are ambiguous under an edit; only equal ones count as copies.
 MIN_CHARS = 20
 BREAKS = " \t\n\x0b\x0c\r"
 #: Lines that a task remembers as already written.
@@ -30,7 +30,7 @@ def digest(line: str) -> int:
 
 
 def long_lines(text: str | None, min_chars: int) -> Iterator[tuple[int, str]]:
-    """Number and bare text of the lines that are compared."""
+    """Number and bare text of the lines of some length; those without a word have none."""
     for n, line in enumerate((text or "").split("\n")):
         bare = line.strip(BREAKS)
         if len(bare) >= min_chars:
@@ -71,12 +71,14 @@ def variant_keys(line: str) -> tuple[np.ndarray, np.ndarray]:
     return keys, np.r_[np.zeros(1, np.int64), np.ones(len(plain), np.int64), np.full(n, 2)]
 
 
-def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
+def _occurrences(docs: DataFrame) -> DataFrame:
+    """Places and digests of all lines that hold a word."""
+
     def emit(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         rows = [
             (a, b, n, digest(line))
             for a, b, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist())
-            for n, line in long_lines(text, min_chars)
+            for n, line in long_lines(text, 1)
         ]
         columns = list(zip(*rows)) or [[]] * 4
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64()]
@@ -177,19 +179,20 @@ def near_copies(docs: DataFrame, firsts: DataFrame, min_chars: int) -> DataFrame
 def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``_a``, ``_b`` and the sorted numbers of a row's ``removed`` lines, for rows that lose any.
 
-    A line goes if an earlier line equals it or is one edit (a character put in, left out or
-    changed) away; of the documents the order is by doc_id (null ids first), then by a digest of
+    A line that holds a word goes if an earlier line equals it or, both having ``min_chars``, is one
+    edit (a character put in, left out or changed) away; of the documents the order is by doc_id (null ids first), then by a digest of
     the text, then by line. Repeated rows share their key; all of them but none of their lines count
     as one document.
     """
-    rows = materialize(_occurrences(docs, min_chars))
-    firsts = materialize(
-        rows.groupBy("h").agg(F.min(F.struct("_a", "_b", "n")).alias("f")).select("h", "f._a", "f._b", "f.n")
-    )
-    near = near_copies(docs, firsts, min_chars)
+    rows = materialize(_occurrences(docs))
+    first = [F.min(F.struct("_a", "_b", "n")).alias("f"), F.count(F.lit(1)).alias("times")]
+    firsts = materialize(rows.groupBy("h").agg(*first).select("h", "f._a", "f._b", "f.n", "times"))
+    near = near_copies(docs, firsts.drop("times"), min_chars)
     fate = firsts.join(near.withColumn("near", F.lit(True)), "h", "left").select(
-        "h", F.struct("_a", "_b", "n").alias("f"), F.coalesce("near", F.lit(False)).alias("near")
+        "h", F.struct("_a", "_b", "n").alias("f"), F.coalesce("near", F.lit(False)).alias("near"), "times"
     )
+    # A line that occurs once and is near no other stays, so its rows need not be looked up.
+    fate = fate.filter(F.col("near") | (F.col("times") > 1)).drop("times")
     gone = rows.join(fate, "h").filter(F.col("near") | (F.struct("_a", "_b", "n") != F.col("f")))
     return gone.groupBy("_a", "_b").agg(F.array_sort(F.collect_set("n")).alias("removed"))
 
@@ -197,7 +200,7 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 def line_table(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc_id, n_lines, n_removed and the numbers (from 0) of the ``removed`` lines, per document.
 
-    A null or empty text is one empty line, which stays; so do all lines under ``min_chars``.
+    A null or empty text is one empty line, which stays; so do all lines without a word.
     """
     own = keyed(docs).select("_a", "_b", "doc_id", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n_lines"))
     none = F.array().cast("array<int>")

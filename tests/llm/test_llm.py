@@ -134,6 +134,16 @@ def test_lines_match_brute_force(docs, empty, spark):
     assert lines.without_repeated_lines(docs, drop_emptied=True).filter("doc_id = 41").count() == 0
 
 
+def test_short_lines_go_when_they_are_repeated(spark):
+    long = "this very line is long enough to count"
+    rows = [(1, f"Short one.\n{long}\n- b\n\n- b"), (2, f" Short one. \n{long}"), (3, "Short one\n\n \n- c\nown"), (4, "- c")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: list(r.removed) for r in lines.line_table(table).collect()}
+    assert got == {1: [4], 2: [0, 1], 3: [], 4: [0]}
+    left = {r.doc_id: r.text for r in lines.without_repeated_lines(table, drop_emptied=True).collect()}
+    assert left == {1: f"Short one.\n{long}\n- b\n", 3: rows[2][1]}
+
+
 def test_quality_matches_sql_and_order_does_not_matter(docs, empty):
     con = duckdb.connect()
     frame = docs.select("doc_id", "text").toPandas()
