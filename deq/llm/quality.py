@@ -95,6 +95,11 @@ def n_repeat_words(words: Column, size: int = 5) -> Column:
     return let(let(F.transform(words, lambda w: F.xxhash64(w)), windows), counted).cast("long")
 
 
+def n_repeat_neighbours(words: Column) -> Column:
+    """Words that equal the word before them."""
+    return F.size(F.filter(words, lambda w, i: w == F.get(words, i - 1))).cast("long")
+
+
 @dataclass(frozen=True)
 class Rule:
     """A named rule; ``fails`` makes, from the text, a condition that is true for a bad document."""
@@ -113,6 +118,14 @@ RULES = [
     Rule("word_length", lambda t: let(words_of(t), lambda w: (word_chars(t) > 20 * F.size(w)) | (word_chars(t) < 2 * F.size(w)))),
 ]
 
+#: The customary cuts, closer than the rules of the same name. ``quality_table`` keeps the rules of its SQL.
+CUSTOMARY_RULES = [
+    Rule("symbols", lambda t: 10 * n_of(t, "#*$%&|<>") > F.size(words_of(t))),
+    Rule("repeated_lines", lambda t: 10 * n_dup_lines(t) > 3 * F.size(lines_of(t))),
+    Rule("word_length", lambda t: let(words_of(t), lambda w: (word_chars(t) > 10 * F.size(w)) | (word_chars(t) < 3 * F.size(w)))),
+    Rule("repeated_neighbours", lambda t: let(words_of(t), lambda w: 5 * n_repeat_neighbours(w) > F.size(w))),
+]
+
 #: The rules every document has to pass besides.
 BASE_RULES = [
     Rule("too_short", lambda t: F.size(words_of(t)) < 10),
@@ -171,8 +184,9 @@ def cascade(docs: DataFrame, rules: list[Rule] | None = None, sample_rows: int =
 
 
 def quality_filter(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The documents that pass every rule, with all their columns."""
-    return docs.filter(cascade(docs, sample_rows=sample_rows))
+    """The documents that pass every rule at its customary cut, with all their columns."""
+    rules = {r.name: r for r in RULES} | {r.name: r for r in CUSTOMARY_RULES}
+    return docs.filter(cascade(docs, BASE_RULES + list(rules.values()), sample_rows))
 
 
 def quality_table(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

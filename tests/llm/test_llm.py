@@ -159,6 +159,19 @@ def test_quality_matches_sql_and_order_does_not_matter(docs, empty):
     assert quality.quality_filter(docs).columns == docs.columns
 
 
+def test_quality_filter_takes_customary_cuts(spark):
+    rng = random.Random(9)
+    plain = [" ".join("".join(rng.choices("abcdefgh", k=rng.randint(4, 7))) for _ in range(60)) for _ in range(8)]
+    runs = " ".join(f"{w} {w}" for w in plain[5].split())
+    parts = [" ".join(plain[2].split()[i : i + 8]) for i in range(0, 56, 8)]
+    mixed = "\n".join([f"{x}\nsee more" for x in parts[:5]] + parts[5:])
+    rows = [(1, plain[0]), (2, plain[1].replace(" ", " | ", 20)), (3, runs), (4, mixed)]
+    rows += [(5, " ".join(w[:2] for w in plain[6].split())), (6, " ".join(w + "ijklmnop" for w in plain[7].split()))]
+    rows += [(7, plain[1].replace(" ", " | ", 4))]
+    kept = quality.quality_filter(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id for r in kept.collect()} == {1, 7}
+
+
 def plain_spans(t):
     out = [(0, m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t):
