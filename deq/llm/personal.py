@@ -15,10 +15,11 @@ from deq.session import materialize
 
 KINDS = ["email", "ip", "card", "phone"]
 
-#: A pattern counts once it has this many different known identifiers.
+#: A pattern counts once it has this many different known or accepted identifiers.
 MIN_SUPPORT = 3
 #: Score from which an identifier counts as discovered.
 ACCEPT = 0.9
+#: Times that patterns and values weigh each other before the accepted ones are taken over.
 ROUNDS = 3
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -157,26 +158,15 @@ def scanned(docs: DataFrame) -> DataFrame:
     return materialize(in_arrow(keyed(docs), _scan, schema))
 
 
-def discovered(scan: DataFrame, rounds: int = ROUNDS, min_support: int = MIN_SUPPORT, accept: float = ACCEPT) -> DataFrame:
-    """``v`` and ``kind`` of identifiers that high-confidence patterns point to.
-
-    Patterns and values form a graph with one edge for each pair that occurs. A pattern's confidence
-    for a kind is the mean score of its values for it; known identifiers score 1, others what
-    their patterns with enough support make likely together. Both are computed in turn.
-    """
-    edges = materialize(
-        scan.select(F.explode("mentions").alias("m"))
-        .select(F.explode("m.p").alias("p"), F.col("m.v").alias("v"), F.col("m.k").alias("k"))
-        .groupBy("p", "v")
-        .agg(F.max("k").alias("k"))
-    )
+def _scores(edges: DataFrame, rounds: int, min_support: int) -> DataFrame:
+    """``v``, ``score`` and ``kind`` of the values that are not known, from edges (p, v, k, w)."""
     scores = None
     for _ in range(rounds):
-        weighed = edges.withColumn("w", (F.col("k") >= 0).cast("double")).withColumn("kind", F.col("k"))
+        weighed = edges.withColumn("kind", F.col("k"))
         if scores is not None:
             weighed = edges.join(scores, "v", "left").select(
                 "p", "v", "k",
-                F.when(F.col("k") >= 0, 1.0).otherwise(F.coalesce("score", F.lit(0.0))).alias("w"),
+                F.when(F.col("k") >= 0, F.col("w")).otherwise(F.coalesce("score", F.lit(0.0))).alias("w"),
                 F.when(F.col("k") >= 0, F.col("k")).otherwise(F.coalesce("kind", F.lit(-1))).alias("kind"),
             )
         sums = [F.sum(F.when(F.col("kind") == i, F.col("w")).otherwise(0.0)).alias(f"w{i}") for i in range(len(KINDS))]
@@ -194,7 +184,39 @@ def discovered(scan: DataFrame, rounds: int = ROUNDS, min_support: int = MIN_SUP
             .agg((1 - F.exp(F.sum(doubt))).alias("score"), F.max("b").alias("b"))
             .select("v", "score", F.col("b.kind").alias("kind"))
         )
-    return scores.filter(F.col("score") >= accept).select("v", "kind")
+    return scores
+
+
+def discovered(scan: DataFrame, rounds: int = ROUNDS, min_support: int = MIN_SUPPORT, accept: float = ACCEPT) -> DataFrame:
+    """``v`` and ``kind`` of identifiers that high-confidence patterns point to.
+
+    Patterns and values form a graph with one edge for each pair that occurs. A pattern's confidence
+    for a kind is the mean score of its values for it; known identifiers score 1, others what
+    their patterns with enough support make likely together. Both are computed in turn. What is
+    accepted counts as known from then on, with its score, and so supports further patterns, until
+    nothing more is accepted.
+    """
+    edges = materialize(
+        scan.select(F.explode("mentions").alias("m"))
+        .select(F.explode("m.p").alias("p"), F.col("m.v").alias("v"), F.col("m.k").alias("k"))
+        .groupBy("p", "v")
+        .agg(F.max("k").alias("k"))
+        .withColumn("w", (F.col("k") >= 0).cast("double"))
+    )
+    found = None
+    while True:
+        own = edges
+        if found is not None:
+            own = edges.join(found, "v", "left").select(
+                "p", "v",
+                F.when(F.col("k") >= 0, F.col("k")).otherwise(F.coalesce("kind", "k")).alias("k"),
+                F.when(F.col("k") >= 0, F.col("w")).otherwise(F.coalesce("score", "w")).alias("w"),
+            )
+        # Only values that are not accepted yet have a score, so this ends.
+        new = materialize(_scores(own, rounds, min_support).filter(F.col("score") >= accept))
+        if new.isEmpty():
+            return (new if found is None else found).select("v", "kind")
+        found = new if found is None else materialize(found.unionByName(new))
 
 
 def personal_spans(docs: DataFrame) -> DataFrame:

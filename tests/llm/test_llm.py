@@ -209,6 +209,22 @@ def test_contexts_find_unseen_identifiers(spark, docs, empty):
     assert clean[50] is None and personal.redact(docs).count() == len(ROWS)
 
 
+def test_discovered_identifiers_support_further_contexts(spark):
+    def number(i, good):
+        stem = f"4539{i:011d}"
+        return next(stem + str(c) for c in range(10) if personal.luhn(stem + str(c)) == good)
+
+    bad = [number(1000 + i, False) for i in range(40)]
+    rows = [(i, f"some words account number {number(i * 37, True)} and so on") for i in range(60)]
+    rows += [(100 + i, f"some words account number {v} and so on") for i, v in enumerate(bad[:4])]
+    rows += [(200 + i, f"it was charged to {v} again") for i, v in enumerate([*bad[:4], bad[10]])]
+    rows += [(300 + i, f"never seen under {v} here") for i, v in enumerate(bad[20:])]
+    table = personal.personal_table(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = {r.doc_id: r.spans for r in table.collect() if r.n_discovered}
+    assert set(found) == {100, 101, 102, 103, 200, 201, 202, 203, 204}
+    assert found[204] == "card:18:34"
+
+
 @pytest.mark.parametrize("shards", [1, 5, 8])
 def test_ring_fills_evenly(docs, empty, shards):
     rows = sharding.ring_shards(docs, shards).collect()
