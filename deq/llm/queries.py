@@ -122,13 +122,14 @@ m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
              length(regexp_replace(text, '[^!]', '', 'g')) AS marks,
              length(regexp_replace(text, '[^A-Z]', '', 'g')) AS capitals,
              length(regexp_replace(text, '[^0-9]', '', 'g')) AS digits,
-             len(string_split(text, chr(10))) AS n_lines
+             len(string_split(text, chr(10))) AS n_lines,
+             len([i FOR i IN range(2, len(w) + 1) IF w[i] = w[i - 1]]) AS n_same
       FROM d LEFT JOIN dup USING (r) LEFT JOIN rep USING (r)),
 f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR 2 * n_symbols > n_words OR 2 * marks > n_words OR 2 * capitals > word_chars
-            OR 2 * digits > word_chars OR 2 * n_dup_lines > n_lines
-            OR word_chars > 20 * n_words OR word_chars < 2 * n_words) AS kept
+       NOT (base_failed OR 10 * n_symbols > n_words OR 2 * marks > n_words OR 2 * capitals > word_chars
+            OR 2 * digits > word_chars OR 10 * n_dup_lines > 3 * n_lines
+            OR word_chars > 10 * n_words OR word_chars < 3 * n_words OR 5 * n_same > n_words) AS kept
 FROM f""",    "op11_automaton_search": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_terms("\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F")} AS t FROM documents),
 i AS (SELECT row_number() OVER () AS i, item_id, {_terms("\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F")} AS t FROM benchmark),
