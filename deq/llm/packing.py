@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -15,11 +14,25 @@ from pyspark.sql import functions as F
 
 from deq.llm.common import forget_digests, in_arrow, narrowed, ranked, utf8
 
-#: Distinct chunks of text whose ids one Python worker remembers; beyond that it starts anew.
+#: Distinct chunks of text in each of the two generations that one Python worker remembers.
 REMEMBERED = 300_000
 
-#: A letter, then one comma or full stop before a break: two tokens' worth of text, never joined.
-_STOP = re.compile(rb"(?<=[A-Za-z])([.,])(?=[\x20\x09-\x0D]|$)")
+#: Chunks that are encoded for the first time go to the tokenizer in texts of so many.
+TOGETHER = 500
+
+#: Stands between chunks of such a text; a chunk that holds it is encoded on its own.
+_BETWEEN = "\x00"
+
+#: 1 for ASCII letters, 2 for comma and full stop, 4 for breaks.
+_KINDS = np.array([1 if chr(c).isalpha() and c < 128 else 2 if c in b".," else 4 if c in b" \t\n\x0b\x0c\r" else 0 for c in range(256)], np.uint8)
+
+
+def stops_apart(text: bytes) -> bytes:
+    """A blank before each comma or full stop between a letter and a break: such a stop is a token of its own."""
+    padded = np.frombuffer(text + b" ", np.uint8)
+    kinds = _KINDS[padded]
+    stops = np.flatnonzero((kinds[1:-1] == 2) & (kinds[:-2] == 1) & (kinds[2:] == 4)) + 1
+    return np.insert(padded, stops, 32).tobytes() if len(stops) else text
 
 _LOADED: dict = {}
 
@@ -27,6 +40,9 @@ _LOADED: dict = {}
 class ChunkEncoder:
     """Token ids of white-space separated chunks, remembered as little-endian bytes.
 
+    Chunks are remembered in two generations: when the younger one is full the older one is dropped,
+    but what was met again meanwhile has moved to the younger one, so frequent chunks stay.
+
     Usable for tokenizers that drop white space, ignore case and never join letters to stops or
     across white space, which is tried out when the tokenizer is loaded.
     """
@@ -37,24 +53,41 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.between = self._ids([_BETWEEN])[0][0]
         probe = "ab, Cd.\n'll é.\t12 x.y ... it's"
         if np.frombuffer(self.encode([probe.encode()])[0], "<u4").tolist() != self._ids([probe])[0]:
             raise ValueError("this tokenizer's chunks cannot be encoded on their own")
 
+    def _new(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of chunks without a remembered one, many chunks at a time."""
+        out = []
+        for at in range(0, len(chunks), TOGETHER):
+            words = [w.decode("utf-8", "replace") for w in chunks[at : at + TOGETHER]]
+            ids = np.array(self._ids([f" {_BETWEEN} ".join(words)])[0], "<u4")
+            cuts = np.flatnonzero(ids == self.between)
+            if len(cuts) != len(words) - 1:
+                out += [array("I", i).tobytes() for i in self._ids(words)]
+                continue
+            whole, ends = ids.tobytes(), (4 * np.r_[cuts, len(ids)]).tolist()
+            out += [whole[lo:hi] for lo, hi in zip([0, *(e + 4 for e in ends)], ends)]
+        return out
+
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """All ids of each text as little-endian unsigned 32-bit numbers."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.older, self.known = self.known, {}
         # Lower case could spell out a special token that the text does not hold.
-        chunks = [_STOP.sub(rb" \1", d if b"<|" in d else d.lower()).split() for d in texts]
+        chunks = [stops_apart(d if b"<|" in d else d.lower()).split() for d in texts]
         parts = [list(map(self.known.get, words)) for words in chunks]
         missing = {w for words, found in zip(chunks, parts) if None in found for w, ids in zip(words, found) if ids is None}
-        new = list(missing)
-        for word, ids in zip(new, self._ids([w.decode("utf-8", "replace") for w in new])):
-            self.known[word] = array("I", ids).tobytes()
+        again = missing & self.older.keys()
+        self.known.update(zip(again, map(self.older.__getitem__, again)))
+        new = list(missing - again)
+        self.known.update(zip(new, self._new(new)))
         return [
             b"".join(map(self.known.__getitem__, words) if None in found else found)
             for words, found in zip(chunks, parts)
