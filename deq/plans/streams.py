@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from deq.plans.tables import AS_OF, CHANGES, changes, events
 from deq.session import scratch_path
-from deq.streaming import jobs
+from deq.streaming import jobs, lag
 
 KEY, ORDER = ["k"], ["ts", "seq"]
 
@@ -66,14 +66,64 @@ def stream_cagg(spark, folder):
     return spark.read.parquet(dest).select("event_type", "bucket", "n", "total")
 
 
+#: What the sources have acknowledged: a share of the offsets that differs by source.
+_ACKNOWLEDGED = "floor(max(seq) * (ascii(right(source_id, 1)) - 47) / 6)"
+
+
+def _last_alerts(spark, alerts, query):
+    number = query.lastProgress["batchId"]
+    stored = spark.read.parquet(alerts).filter(F.col("batch") == number)
+    return stored.select("source_id", "lag_seconds", "lag_bytes", "status", "throttle")
+
+
+def _half(spark, folder, path, second):
+    """Write the first or second half of the change events, in files."""
+    rows = changes(spark, folder).withColumn("payload", F.col("tbl"))
+    half = rows.filter((F.col("seq") % 2 == 0) == F.lit(second))
+    half.repartitionByRange(2, "seq").write.mode("append").parquet(path)
+    return rows.schema
+
+
 def stream_monitor(spark, folder):
-    """Alerts of the last of several batches, which knows all sources."""
+    """Alerts of the last of several batches, which knows all sources, also those before a restart."""
+    alerts, state, offsets, path = (scratch_path(spark, n) for n in ("alerts", "state", "offsets", "changes"))
+    for second in (False, True):
+        schema = _half(spark, folder, path, second)
+        stream = jobs.read_files(spark, path, schema, 1)
+        query = jobs.finish(lag.watch_lag(stream, alerts, state, offsets, lambda: AS_OF, max_seconds=1000, max_bytes=0))
+    return _last_alerts(spark, alerts, query)
+
+
+def stream_monitor_acknowledged(spark, folder):
+    """Bytes after what each source acknowledged between two runs."""
+    alerts, state, offsets, path, acks = (scratch_path(spark, n) for n in ("alerts", "state", "offsets", "changes", "acks"))
+    for second in (False, True):
+        schema = _half(spark, folder, path, second)
+        stream = jobs.read_files(spark, path, schema, 1)
+        query = jobs.finish(
+            lag.watch_lag(stream, alerts, state, offsets, lambda: AS_OF, acks, max_seconds=1000, max_bytes=0)
+        )
+        done = changes(spark, folder).groupBy("source_id").agg(F.expr(f"CAST({_ACKNOWLEDGED} AS bigint)").alias("acknowledged"))
+        done.write.mode("overwrite").parquet(acks)
+    return _last_alerts(spark, alerts, query)
+
+
+def stream_silence(spark, folder):
+    """Alerts that timers raise after the last event, when no source has any news."""
     alerts, state = scratch_path(spark, "alerts"), scratch_path(spark, "state")
-    stream = _change_stream(spark, folder, payload=F.col("tbl"))
-    watch = jobs.watch_lag(stream, alerts, state, scratch_path(spark, "offsets"), lambda: AS_OF, max_seconds=1000, max_bytes=0)
-    last = jobs.finish(watch).lastProgress["batchId"]
-    stored = spark.read.parquet(alerts).filter(F.col("batch") == last)
-    return stored.select("source_id", "lag_seconds", "lag_bytes", "status", "throttle")
+    stream = _change_stream(spark, folder, 2, None, payload=F.col("tbl"))
+    query = lag.watch_lag(
+        stream, alerts, state, scratch_path(spark, "offsets"), lambda: AS_OF, every="1 second", silence=2, max_seconds=1000, max_bytes=0
+    )
+    try:
+        # The first batch takes all events; those after it run for timers alone.
+        while query.isActive and (query.lastProgress or {"batchId": 0})["batchId"] < 3:
+            time.sleep(0.2)
+    finally:
+        jobs.throttle(query)
+    if query.exception():
+        raise query.exception()
+    return _last_alerts(spark, alerts, query)
 
 
 def stream_throttle(spark, folder):
@@ -100,10 +150,21 @@ QUERIES = {
     "stream_cdc_upsert": stream_cdc_upsert,
     "stream_cagg": stream_cagg,
     "stream_monitor": stream_monitor,
+    "stream_monitor_acknowledged": stream_monitor_acknowledged,
+    "stream_silence": stream_silence,
     "stream_throttle": stream_throttle,
     "stream_status": stream_status,
 }
 
+
+
+def _monitor_sql(size, more=""):
+    return f"""SELECT *, status = 'critical' AS throttle FROM (SELECT *, CASE WHEN lag_seconds >= 1000 THEN 'critical'
+          WHEN lag_seconds >= 800 THEN 'warning' ELSE 'healthy' END AS status
+          FROM (SELECT source_id, greatest(CAST(epoch(TIMESTAMP '2024-01-31') - floor(epoch(max(ts))) AS BIGINT), 0) AS lag_seconds,
+            CAST(sum({size}) AS BIGINT) AS lag_bytes FROM {CHANGES} {more} GROUP BY source_id)) WHERE status <> 'healthy'"""
+
+
 ORACLES = {
     "stream_ingest": "SELECT * FROM events",
     "stream_cdc_filter": f"SELECT seq, op, tbl, k, value FROM {CHANGES} WHERE tbl = 'public.orders' AND op = 'UPDATE'",
@@ -112,10 +173,12 @@ ORACLES = {
         UNION ALL SELECT NULL, seq, op, value, 'rejected' FROM {CHANGES} WHERE seq % 53 = 0""",
     "stream_cagg": """SELECT event_type, date_trunc('hour', ts) AS bucket, count(*) AS n, round(sum(value), 4) AS total FROM events
         GROUP BY 1, 2 HAVING date_trunc('hour', ts) + INTERVAL '2 hours' <= (SELECT max(ts) FROM events)""",
-    "stream_monitor": f"""SELECT *, status = 'critical' AS throttle FROM (SELECT *, CASE WHEN lag_seconds >= 1000 THEN 'critical'
-          WHEN lag_seconds >= 800 THEN 'warning' ELSE 'healthy' END AS status
-          FROM (SELECT source_id, greatest(CAST(epoch(TIMESTAMP '2024-01-31') - floor(epoch(max(ts))) AS BIGINT), 0) AS lag_seconds,
-            CAST(sum(length(tbl)) AS BIGINT) AS lag_bytes FROM {CHANGES} GROUP BY source_id)) WHERE status <> 'healthy'""",
+    "stream_monitor": _monitor_sql("length(tbl)"),
+    "stream_monitor_acknowledged": _monitor_sql(
+        "CASE WHEN seq > acknowledged THEN length(tbl) ELSE 0 END",
+        f"JOIN (SELECT source_id, CAST({_ACKNOWLEDGED} AS BIGINT) AS acknowledged FROM {CHANGES} GROUP BY source_id) USING (source_id)",
+    ),
+    "stream_silence": _monitor_sql("length(tbl)"),
     "stream_throttle": "SELECT event_id AS seq, CAST(1 AS BIGINT) AS copies FROM events",
     "stream_status": "SELECT 'events' AS source_id, 'stopped' AS state, CAST(4 AS BIGINT) AS batches, count(*) AS rows, max(ts) AS last_event FROM events",
 }

@@ -8,14 +8,13 @@ put a batch under its own number, so a batch that runs twice replaces itself.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from deq.operators.change_data import cdc_filter, lag_seconds, monitor, source_lag
+from deq.operators.change_data import cdc_filter
 from deq.operators.lake import as_of
 
 
@@ -66,7 +65,7 @@ def parsed_rows(messages: DataFrame, schema: StructType, time_column: str) -> Da
     return read.select(*[F.col("_row")[c].alias(c) for c in schema.names], problem.alias("problem"), kept.alias("raw"))
 
 
-def _trigger(every: str | None) -> dict:
+def trigger(every: str | None) -> dict:
     return {"processingTime": every} if every else {"availableNow": True}
 
 
@@ -84,7 +83,7 @@ def ingest(
     writer = stream.writeStream.format("parquet").option("path", dest).option("checkpointLocation", checkpoint)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
-    return writer.outputMode("append").trigger(**_trigger(every)).start()
+    return writer.outputMode("append").trigger(**trigger(every)).start()
 
 
 def on_change(
@@ -102,7 +101,7 @@ def on_change(
     return (
         matching.writeStream.foreachBatch(callback)
         .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(every))
+        .trigger(**trigger(every))
         .start()
     )
 
@@ -143,7 +142,7 @@ def apply_changes(
             marked.unpersist()
 
     return (
-        stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(**_trigger(every)).start()
+        stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(**trigger(every)).start()
     )
 
 
@@ -173,47 +172,6 @@ def continuous_aggregate(
     return ingest(rows, dest, checkpoint, every)
 
 
-def watch_lag(
-    stream: DataFrame,
-    alerts: str,
-    state: str,
-    checkpoint: str,
-    clock: Callable[[], datetime] = datetime.now,
-    acknowledged: int = -1,
-    on_critical: Callable[[DataFrame], None] | None = None,
-    every: str | None = None,
-    **thresholds,
-) -> StreamingQuery:
-    """Store an alert row per source and batch whose lag is not healthy.
-
-    ``clock`` is asked once a batch. The last event and the bytes after the acknowledged offset of
-    every source seen so far are kept below ``state``, one small row each, so a source that fell
-    silent is judged in each later batch too. ``on_critical`` gets the critical rows of a batch, if
-    any; it may :func:`throttle` the stream that feeds the sources. Batches run when any source has
-    news, so silence of all of them is for :func:`stream_status` to show.
-    """
-
-    def store(batch: DataFrame, number: int) -> None:
-        spark, now = batch.sparkSession, clock()
-        # Bytes and times of a batch add up with what was known, so the older state is enough.
-        seen = source_lag(batch, now, acknowledged).select("source_id", "last_event", "lag_bytes")
-        if number > 0:
-            seen = seen.unionByName(spark.read.schema(seen.schema).parquet(f"{state}/batch={number - 1}"))
-        known = seen.groupBy("source_id").agg(F.max("last_event").alias("last_event"), F.sum("lag_bytes").alias("lag_bytes"))
-        known.write.mode("overwrite").parquet(f"{state}/batch={number}")
-        known = spark.read.schema(known.schema).parquet(f"{state}/batch={number}")
-        lag = monitor(known.withColumn("lag_seconds", lag_seconds(now)), **thresholds)
-        lag.filter(F.col("alerts") > 0).write.mode("overwrite").parquet(f"{alerts}/batch={number}")
-        if on_critical is not None:
-            critical = spark.read.schema(lag.schema).parquet(f"{alerts}/batch={number}").filter("throttle")
-            if not critical.isEmpty():
-                on_critical(critical)
-
-    return (
-        stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(**_trigger(every)).start()
-    )
-
-
 def finish(query: StreamingQuery) -> StreamingQuery:
     """Wait until a job without a flush interval has taken everything that was there."""
     query.awaitTermination()

@@ -1,3 +1,4 @@
+import time
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from pyspark.sql.types import StructType
 from deq.operators.lake import as_of
 from deq.plans import streams
 from deq.session import scratch_path
-from deq.streaming import jobs
+from deq.streaming import jobs, lag
 
 START = datetime(2024, 1, 1)
 FIELDS = "seq int, ts timestamp_ntz, op string, tbl string, k int, v double"
@@ -83,7 +84,7 @@ def test_lag_alerts(spark):
     df = changes(spark).withColumns({"source_id": F.col("tbl"), "payload": F.col("op")})
     alerts = scratch_path(spark, "alerts")
     newest = START + timedelta(minutes=7 * 59)
-    jobs.finish(jobs.watch_lag(stream(spark, df, per_batch=None), alerts, scratch_path(spark, "s"), scratch_path(spark, "c"), lambda: newest, max_seconds=400, max_bytes=0))
+    jobs.finish(lag.watch_lag(stream(spark, df, per_batch=None), alerts, scratch_path(spark, "s"), scratch_path(spark, "c"), lambda: newest, max_seconds=400, max_bytes=0))
     assert [(r["source_id"], r["lag_seconds"], r["status"]) for r in spark.read.parquet(alerts).collect()] == [("public.orders", 420, "critical")]
 
 
@@ -98,7 +99,7 @@ def test_a_silent_source_is_reported_in_later_batches(spark):
     df = changes(spark).withColumns({"source_id": F.expr("if(seq < 12, 'silent', 'busy')"), "payload": F.col("op")})
     alerts, state, called = scratch_path(spark, "alerts"), scratch_path(spark, "s"), []
     clock = lambda: START + timedelta(minutes=7 * 59)
-    watch = jobs.watch_lag(
+    watch = lag.watch_lag(
         stream(spark, df), alerts, state, scratch_path(spark, "c"), clock,
         on_critical=lambda rows: called.append({r["source_id"] for r in rows.collect()}), max_seconds=7200, max_bytes=0,
     )
@@ -107,7 +108,64 @@ def test_a_silent_source_is_reported_in_later_batches(spark):
     assert set(last) == {"silent"} and last["silent"]["lag_seconds"] == 7 * 60 * 48
     assert spark.read.parquet(state).filter("batch = 4").count() == 2
     # The order of files is not fixed, but the last batch knows them all.
-    assert called[-1] == {"silent"}
+    # A source that stays critical is reported once.
+    assert sum("silent" in c for c in called) == 1
+
+
+def offsets_of(source_id, n, first=0):
+    return [(source_id, START, first + i, "x" * 10) for i in range(n)]
+
+
+def lag_source(spark, rows, path):
+    schema = "source_id string, ts timestamp_ntz, seq bigint, payload string"
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    return jobs.read_files(spark, path, spark.createDataFrame([], schema).schema, 1)
+
+
+def test_bytes_fall_after_an_acknowledgement(spark):
+    path, alerts, state, check, acks = (scratch_path(spark, n) for n in ("in", "a", "s", "c", "acks"))
+
+    def run(rows, batch):
+        jobs.finish(lag.watch_lag(lag_source(spark, rows, path), alerts, state, check, lambda: START, acks, max_bytes=1, max_seconds=0))
+        found = spark.read.parquet(alerts).filter(f"batch = {batch}").collect()
+        return {r["source_id"]: r["lag_bytes"] for r in found}
+
+    assert run(offsets_of("a", 6) + offsets_of("b", 3), 0) == {"a": 60, "b": 30}
+    spark.createDataFrame([("a", 3), ("a", 1), ("c", 99)], "source_id string, acknowledged bigint").write.parquet(acks)
+    assert run(offsets_of("b", 1, 3), 1) == {"a": 20, "b": 40}
+    spark.createDataFrame([("a", 7), ("b", 0)], "source_id string, acknowledged bigint").write.mode("append").parquet(acks)
+    assert run(offsets_of("a", 3, 6), 2) == {"a": 10, "b": 30}
+    # Two folders take turns and the open events alone are kept.
+    kept = spark.read.parquet(state).filter("batch = 2 AND offset IS NOT NULL")
+    assert {(r["source_id"], r["offset"]) for r in kept.collect()} == {("a", 8), ("b", 1), ("b", 2), ("b", 3)}
+    assert spark.read.parquet(state).select("turn").distinct().count() == 2
+
+
+def test_timers_report_silence_of_all_sources_over_a_restart(spark):
+    path, alerts, state, check = (scratch_path(spark, n) for n in ("in", "a", "s", "c"))
+    called, newest = [], START + timedelta(hours=1)
+
+    def run(rows, first):
+        query = lag.watch_lag(
+            lag_source(spark, rows, path), alerts, state, check, lambda: newest, every="500 milliseconds", silence=1,
+            on_critical=lambda r: called.append({x["source_id"] for x in r.collect()}), max_seconds=60, max_bytes=0,
+        )
+        try:
+            end = time.time() + 60
+            while query.isActive and (query.lastProgress or {"batchId": 0})["batchId"] < first + 3 and time.time() < end:
+                time.sleep(0.2)
+        finally:
+            query.stop()
+        assert query.exception() is None
+        return query.lastProgress["batchId"]
+
+    last = run(offsets_of("a", 4) + offsets_of("b", 2), 0)
+    found = spark.read.parquet(alerts).filter(f"batch = {last}").collect()
+    assert {(r["source_id"], r["lag_seconds"], r["lag_bytes"]) for r in found} == {("a", 3600, 40), ("b", 3600, 20)}
+    last = run(offsets_of("a", 1, 4), last)
+    found = spark.read.parquet(alerts).filter(f"batch = {last}").collect()
+    assert {(r["source_id"], r["lag_bytes"]) for r in found} == {("a", 50), ("b", 20)}
+    assert called == [{"a", "b"}]
 
 
 def test_broken_messages_are_kept(spark):
