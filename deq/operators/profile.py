@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from deq.functions.names import check_ident
 from deq.operators.checks import is_numeric, value_counts
-from deq.operators.quantiles import empirical_ranks, exact_quantiles, values_at_ranks
-from deq.session import materialize
+from deq.operators.quantiles import column_quantiles
 
 # The percentiles of a profile.
 PERCENTILES = {"p25": 0.25, "p50": 0.50, "p75": 0.75, "p90": 0.90, "p99": 0.99}
@@ -71,9 +68,7 @@ def _distinct(counts: DataFrame, columns: list[str]) -> DataFrame:
 
 def numeric_quantiles(df: DataFrame, columns: list[str], probabilities: dict[str, float]) -> DataFrame:
     """``column`` and one column per probability, exact, for columns of numbers."""
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("number")) for c in columns]
-    values = df.select(F.inline(F.array(*cells)))
-    return _spread(exact_quantiles(values, ["column"], "number", probabilities, few_keys=True), probabilities)
+    return _spread(column_quantiles(df, columns, probabilities), probabilities)
 
 
 def _spread(found: DataFrame, probabilities: dict[str, float]) -> DataFrame:
@@ -94,8 +89,8 @@ def profile_percentiles(df: DataFrame, columns: list[str], approximate: bool = F
 def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row per column with all statistics.
 
-    One scan answers counts, extremes and moments; the counted values of the numeric columns
-    answer distinct counts and percentiles together, those of the others distinct counts only.
+    One scan answers counts, extremes and moments, the counted values of all columns the distinct
+    counts. Percentiles move no values but those close to a wanted rank.
     """
     columns = [check_ident(c) for c in columns]
     stats = {
@@ -107,24 +102,12 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     }
     out = _per_column(df, columns, stats)
     numeric = [c for c in columns if is_numeric(df, c)]
-    others = [c for c in columns if c not in numeric]
-    distinct = []
-    if others:
-        distinct.append(_distinct(value_counts(df, others), others))
+    # One row per column on every side.
+    out = out.join(F.broadcast(_distinct(value_counts(df, columns), columns)), "column", "left")
     if numeric:
-        counts = materialize(
-            value_counts(df, numeric)
-            .repartitionByRange("name", "number")
-            .withColumn("part", F.spark_partition_id())
-        )
-        distinct.append(_distinct(counts, numeric))
-        numbers = counts.select(F.col("name").alias("column"), "number", "n", "part")
-        found = values_at_ranks(numbers, ["column"], "number", empirical_ranks(PERCENTILES), few_keys=True)
-        out = out.join(F.broadcast(_spread(found, PERCENTILES)), "column", "left")
+        out = out.join(F.broadcast(numeric_quantiles(df, numeric, PERCENTILES)), "column", "left")
     else:
         out = out.withColumns({p: F.lit(None).cast("double") for p in PERCENTILES})
-    # One row per column on every side.
-    out = out.join(F.broadcast(reduce(DataFrame.unionByName, distinct)), "column", "left")
     rate = F.when(F.col("rows") > 0, F.col("null_count") / F.col("rows")).otherwise(F.lit(0.0))
     return out.select(
         "column",

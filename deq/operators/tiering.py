@@ -5,12 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from deq.functions.names import check_ident, parse_duration
 from deq.functions.text import sorted_json
 from deq.operators.materialize import stored_files
+from deq.session import materialize
 
 ARCHIVE_FIELDS = "timestamp bigint, measurement string, tags string, fields string"
 
@@ -64,12 +66,24 @@ def read_archive(spark: SparkSession, dest: str, form: str = "parquet") -> DataF
 
 @dataclass
 class Archived:
-    """What an archive run did: the cold rows' folder, their number and the rows that stay hot."""
+    """What an archive run did: old rows that the cold folder now holds, those added by this run, the hot rest."""
 
     rows_archived: int
     destination: str
     deleted_from_hot: bool
     hot: DataFrame
+    rows_added: int = 0
+
+
+def _archived_since(spark: SparkSession, dest: str, form: str, first: int) -> DataFrame | None:
+    """Cold rows from a stamp on; None if there is no cold folder yet."""
+    try:
+        spark.read.format(form).load(dest)
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return read_archive(spark, dest, form).filter(F.col("timestamp") >= first)
 
 
 def archive(
@@ -81,22 +95,31 @@ def archive(
     delete_after: bool = False,
     **columns,
 ) -> Archived:
-    """Copy old rows to a cold folder and, if asked, take them out of the hot side.
+    """Add old rows to a cold folder and, if asked, take them out of the hot side.
+
+    Only rows that the cold side does not hold yet are added, a row that occurs several times as often
+    as it is missing; nothing there is ever replaced. So a run may be tried again before or after the
+    removal, late rows of an old time are added, and runs without removal do not copy a row twice. A
+    late row that equals a cold row in all columns is taken for that row.
 
-    Copy and removal use one cutoff, which also names the run's folder below ``dest``: a run that is
-    tried again replaces its own copy. The hot side is only cut after that copy was counted and holds
-    as many rows as the source; with no old row nothing is removed.
+    Copy and removal use one cutoff. The hot side is only cut after every old row was found on the
+    cold side; with no old row nothing is removed. Cold rows before the first old hot row are not read.
     """
-    limit = cutoff(as_of, older_than)
+    spark, limit = df.sparkSession, cutoff(as_of, older_than)
     time_column = columns.get("time_column", "ts")
-    cold, run = archive_rows(df, limit, **columns), f"{dest}/until={limit:%Y%m%dT%H%M%S%f}"
-    write_archive(cold, run, form, mode="overwrite")
-    copied, wanted = read_archive(df.sparkSession, run, form).count(), cold.count()
-    if copied != wanted:
-        raise RuntimeError(f"the copy in {run} has {copied} rows, the source {wanted}")
-    removed = delete_after and copied > 0
-    hot = df.filter(~F.coalesce(F.col(time_column) < F.lit(limit), F.lit(False))) if removed else df
-    return Archived(copied, dest, removed, hot)
+    old = materialize(archive_rows(df, limit, **columns))
+    seen = old.agg(F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("first")).first()
+    if not seen["n"]:
+        return Archived(0, dest, False, df)
+    present = _archived_since(spark, dest, form, seen["first"])
+    missing = old if present is None else materialize(old.exceptAll(present))
+    added = Observation()
+    counted = missing.observe(added, F.count(F.lit(1)).alias("n"))
+    write_archive(counted, f"{dest}/until={limit:%Y%m%dT%H%M%S%f}", form)
+    if not old.exceptAll(_archived_since(spark, dest, form, seen["first"])).isEmpty():
+        raise RuntimeError(f"rows older than {limit} are missing in {dest}")
+    hot = df.filter(~F.coalesce(F.col(time_column) < F.lit(limit), F.lit(False))) if delete_after else df
+    return Archived(seen["n"], dest, delete_after, hot, added.get["n"])
 
 
 def hot_status(df: DataFrame, measurement: Column | None = None, time_column: str = "ts") -> DataFrame:

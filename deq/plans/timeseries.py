@@ -14,6 +14,7 @@ from deq.functions.names import (
     strip_identifier,
     truncate_precision,
 )
+from deq.operators.chunks import append_chunks, chunk_catalogue, drop_chunks, read_chunk_range
 from deq.operators.materialize import (
     materialized_view,
     read_continuous,
@@ -48,6 +49,9 @@ from deq.sources.tables import scan, sql_query
 
 MIDDLE = datetime(2024, 1, 16)
 
+#: An instant within a chunk.
+LIMIT = datetime(2024, 1, 20, 9, 30)
+
 
 def points_normalize(spark, folder):
     i = F.col("event_id")
@@ -212,15 +216,38 @@ def ts_group_avg(spark, folder):
 
 
 def ts_archive_split(spark, folder):
+    """Two runs without removal, one with late rows and removal, and the same again after it."""
     flat = event_points(spark, folder).select("measurement", "tags", "ts", F.col("fields")["value"].alias("value"))
-    done = archive(flat, "15d", scratch_path(spark, "cold"), AS_OF, delete_after=True)
-    cold = read_archive(spark, done.destination).select(F.lit("cold").alias("tier"), "measurement", F.col("timestamp").alias("nanos"))
-    hot = done.hot.select(
+    path, late = scratch_path(spark, "cold"), F.xxhash64("ts", "value") % 5 == 0
+    archive(flat.filter(~late), "17d", path, AS_OF)
+    archive(flat.filter(~late), "15d", path, AS_OF)
+    done = archive(flat, "15d", path, AS_OF, delete_after=True)
+    again = archive(done.hot, "15d", path, AS_OF, delete_after=True)
+    cold = read_archive(spark, path).select(F.lit("cold").alias("tier"), "measurement", F.col("timestamp").alias("nanos"))
+    hot = again.hot.select(
         F.lit("hot").alias("tier"), "measurement", (F.unix_micros(F.col("ts").cast("timestamp")) * 1000).alias("nanos")
     )
     return hot.unionByName(cold)
 
 
+def _expired(spark, folder):
+    """The events in daily chunks, written in two parts, after those before the limit expired."""
+    path, rows = scratch_path(spark, "chunks"), events(spark, folder)
+    append_chunks(rows.filter("event_id % 3 > 0"), path, "ts")
+    append_chunks(rows.filter("event_id % 3 = 0"), path, "ts")
+    drop_chunks(spark, path, "ts", LIMIT)
+    return path
+
+
+def ts_drop_chunks(spark, folder):
+    return read_chunk_range(spark, _expired(spark, folder), "ts", LIMIT, AS_OF).select("event_id", "ts")
+
+
+def ts_chunk_catalogue(spark, folder):
+    found = chunk_catalogue(spark, _expired(spark, folder))
+    return found.select("chunk", "first", "last", "rows", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+
+
 def ts_cold_status(spark, folder):
     path = scratch_path(spark, "cold")
     write_archive(archive_rows(event_points(spark, folder), MIDDLE), path)
@@ -311,6 +338,8 @@ QUERIES = {
     "ts_group_avg": ts_group_avg,
     "ts_retention": lambda s, f: retention(events(s, f), "ts", "7d", AS_OF).select("event_id", "ts"),
     "ts_archive_split": ts_archive_split,
+    "ts_drop_chunks": ts_drop_chunks,
+    "ts_chunk_catalogue": ts_chunk_catalogue,
     "ts_tier_status": lambda s, f: hot_status(event_points(s, f)),
     "ts_cold_status": ts_cold_status,
     "fn_duration": fn_duration,
@@ -389,6 +418,11 @@ ORACLES = {
     "ts_group_avg": """SELECT event_type, round(avg(value), 6) AS mean, count(value) AS n FROM events
         WHERE ts >= TIMESTAMP '2024-01-29' AND ts < TIMESTAMP '2024-01-31' GROUP BY event_type""",
     "ts_retention": "SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-24'",
+    "ts_drop_chunks": """SELECT event_id, ts FROM events
+        WHERE ts >= TIMESTAMP '2024-01-20 09:30:00' AND ts < TIMESTAMP '2024-01-31'""",
+    "ts_chunk_catalogue": """SELECT strftime(date_trunc('day', ts), '%Y-%m-%dT%H-%M-%S') AS chunk, min(ts) AS first, max(ts) AS last,
+        count(*) AS rows, true AS has_files, true AS has_bytes FROM events
+        WHERE ts >= TIMESTAMP '2024-01-20 09:30:00' GROUP BY 1""",
     "ts_archive_split": """SELECT CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 'cold' ELSE 'hot' END AS tier, event_type AS measurement,
         epoch_us(ts) * 1000 AS nanos FROM events""",
     "ts_tier_status": "SELECT event_type AS measurement, count(*) AS hot_rows, min(ts) AS hot_oldest FROM events GROUP BY 1",

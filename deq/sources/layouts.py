@@ -86,8 +86,10 @@ def write_by_measurement(points: DataFrame, path: str) -> None:
 
 
 def chunk_start(ts: Column, interval: str = "1d") -> Column:
-    """Start of the storage chunk a stamp falls in."""
-    return F.window(ts, f"{parse_duration(interval)} seconds")["start"]
+    """Start of the storage chunk a stamp falls in, counted from 1970; NULL without a stamp."""
+    step = F.lit(int(parse_duration(interval) * 1_000_000)).cast("bigint")
+    micros = F.unix_micros(ts.cast("timestamp"))
+    return F.timestamp_micros(micros - F.pmod(micros, step))
 
 
 def chunked_table(df: DataFrame, path: str, time_column: str, interval: str = "1d") -> None:

@@ -1,8 +1,11 @@
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from deq.operators import chunks
+from deq.operators.chunks import append_chunks, chunk_catalogue, drop_chunks, read_chunk_range
 from deq.operators.materialize import read_continuous, refresh_continuous, scheduled_refresh, view_status, materialized_view
 from deq.operators.tiering import archive, archive_rows, cold_status, cutoff, hot_status, read_archive, retention, write_archive
 from deq.operators.windows import bucket, downsample, downsample_wide, granularity_series, time_bucket, time_range
@@ -316,3 +319,86 @@ def test_incremental_equals_full_for_long_and_end_stamped_buckets(spark, rows, s
     if stamp == "start":
         with pytest.raises(ValueError):
             refresh_continuous(path, source, "ts", query, datetime(2024, 1, 10, 7), None, "1d", stamp)
+
+
+@pytest.mark.parametrize("form", ["parquet", "csv"])
+def test_archive_keeps_what_it_archived(spark, form, rows):
+    dest, df = scratch_path(spark, "cold"), hot_rows(spark)
+    old = archive_rows(df, cutoff(NOW, "30m"))
+    first = archive(df, "30m", dest, NOW, form, delete_after=True)
+    # The same run again, now that hot has lost its old rows.
+    again = archive(first.hot, "30m", dest, NOW, form, delete_after=True)
+    assert (first.rows_added, again.rows_added, again.deleted_from_hot) == (4, 0, False)
+    assert rows(read_archive(spark, dest, form)) == rows(old)
+    # A late row under the same cutoff, twice.
+    late = df.limit(1).withColumn("ts", F.lit(NOW - timedelta(days=3)))
+    done = archive(first.hot.unionByName(late).unionByName(late), "30m", dest, NOW, form, delete_after=True)
+    assert (done.rows_added, done.hot.count()) == (2, 1)
+    assert read_archive(spark, dest, form).count() == 6
+
+
+def test_archive_without_removal_copies_each_row_once(spark, rows):
+    dest, df = scratch_path(spark, "cold"), hot_rows(spark)
+    df = df.unionByName(df.limit(1))
+    for day in range(2):
+        done = archive(df, "30m", dest, NOW + timedelta(days=day))
+    assert (done.rows_archived, done.deleted_from_hot) == (6, False)
+    assert rows(read_archive(spark, dest)) == rows(archive_rows(df, cutoff(NOW + timedelta(days=1), "30m")))
+    cut = archive(df, "30m", dest, NOW + timedelta(days=1), delete_after=True)
+    assert (cut.rows_added, cut.deleted_from_hot, cut.hot.count()) == (0, True, 0)
+
+
+def chunk_files(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in Path(path).rglob("*.parquet")}
+
+
+def test_drop_chunks_touches_only_what_expires(spark, rows):
+    path = scratch_path(spark, "chunks")
+    stamps = [(i, datetime(2024, 1, 1) + timedelta(hours=5 * i)) for i in range(30)]
+    df = spark.createDataFrame(stamps + [(99, None)], "id int, ts timestamp_ntz")
+    append_chunks(df.filter("id % 2 = 0"), path, "ts")
+    append_chunks(df.filter("id % 2 = 1"), path, "ts")
+    append_chunks(df.limit(0), path, "ts")
+    before, limit = chunk_files(path), datetime(2024, 1, 3, 12)
+    known = chunk_catalogue(spark, path)
+    assert known.agg(F.sum("rows"), F.count_if(F.col("chunk").isNull())).first()[:] == (31, 1)
+    done = drop_chunks(spark, path, "ts", limit)
+    expired = df.filter(F.col("ts") < F.lit(limit)).count()
+    assert (done["dropped"], done["rewritten"], done["rows_removed"]) == (2, 1, expired) and done["bytes_freed"] > 0
+    after = chunk_files(path)
+    border = "chunk=2024-01-03T00-00-00/"
+    assert {f: t for f, t in after.items() if not f.startswith(border)} == {
+        f: t for f, t in before.items() if not f.startswith((border, "chunk=2024-01-01", "chunk=2024-01-02"))
+    }
+    left = df.filter((F.col("ts") >= F.lit(limit)) | F.col("ts").isNull())
+    assert rows(spark.read.parquet(path), "id", "ts") == rows(left)
+    found = chunk_catalogue(spark, path).agg(F.sum("rows"), F.min("first"), F.sum("files")).first()
+    assert found[:] == (31 - expired, left.agg(F.min("ts")).first()[0], len(after))
+    # Again: nothing is left to do. Then everything goes but the row without a time.
+    assert drop_chunks(spark, path, "ts", limit)["rows_removed"] == 0 and chunk_files(path) == after
+    drop_chunks(spark, path, "ts", datetime(2025, 1, 1))
+    assert [r["id"] for r in spark.read.parquet(path).collect()] == [99]
+
+
+def test_drop_chunks_goes_on_after_a_failure(spark, monkeypatch):
+    path = scratch_path(spark, "chunks")
+    df = spark.range(48).selectExpr("id", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, CAST(id AS int)) AS ts")
+    append_chunks(df, path, "ts")
+    whole = chunks._record
+    monkeypatch.setattr(chunks, "_record", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        drop_chunks(spark, path, "ts", datetime(2024, 1, 2))
+    monkeypatch.setattr(chunks, "_record", whole)
+    drop_chunks(spark, path, "ts", datetime(2024, 1, 2))
+    assert spark.read.parquet(path).count() == 24
+    assert chunk_catalogue(spark, path).agg(F.sum("rows")).first()[0] == 24
+
+
+def test_chunk_reads_open_only_chunks_with_such_times(spark):
+    path = scratch_path(spark, "chunks")
+    df = spark.range(72).selectExpr("id", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, CAST(id AS int)) AS ts")
+    append_chunks(df.filter("hour(ts) < 12"), path, "ts")
+    found = read_chunk_range(spark, path, "ts", datetime(2024, 1, 1, 18), datetime(2024, 1, 2, 3))
+    assert sorted(r["id"] for r in found.collect()) == [24, 25, 26]
+    assert {f.split("chunk=")[1][:10] for f in found.select(F.input_file_name()).distinct().toPandas().iloc[:, 0]} == {"2024-01-02"}
+    assert read_chunk_range(spark, path, "ts", datetime(2024, 1, 1, 13), datetime(2024, 1, 1, 20)).count() == 0
