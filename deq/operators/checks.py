@@ -129,7 +129,7 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     go through one scan and one shuffle.
     """
     kinds = {"whole": "bigint", "real": "double", "text": "string"}
-    slots = {c: _slots(F.col(c), df.schema[c].dataType) for c in columns}
+    slots = {c: _slots(F.col(c), type_of(df, c)) for c in columns}
     used = [k for k in kinds if any(k in s for s in slots.values())]
     cells = [
         F.struct(F.lit(i).alias("i"), *[slots[c].get(k, F.lit(None).cast(kinds[k])).alias(k) for k in used])
@@ -144,8 +144,18 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def type_of(df: DataFrame, column: str) -> T.DataType:
+    """Type of a column or, with dots, of a field inside one."""
+    return df.select(F.col(column)).schema.fields[0].dataType
+
+
 def is_numeric(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, T.NumericType)
+    return isinstance(type_of(df, column), T.NumericType)
+
+
+def _named(kind: str, column: str) -> str:
+    """Name of an aggregate; the dots of a field's path would be read as a path again."""
+    return f"{kind}_" + column.replace("_", "_u").replace(".", "_d")
 
 
 def orphan_count(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -> DataFrame:
@@ -182,16 +192,16 @@ def quality_check(
         if check.type == "not_null":
             names = check.columns()
             for c in names:
-                aggregates[f"nulls_{c}"] = F.count_if(F.col(c).isNull())
-            counts = {c: F.col(f"nulls_{c}") for c in names}
+                aggregates[_named("nulls", c)] = F.count_if(F.col(c).isNull())
+            counts = {c: F.col(_named("nulls", c)) for c in names}
             scanned.append((i, _per_column_verdict("not_null", counts, NULLS_FOUND, NO_NULLS)))
         elif check.type == "row_count":
             aggregates["rows"] = F.count(F.lit(1))
             scanned.append((i, _row_count_verdict(check, F.col("rows"))))
         elif check.type == "freshness":
             c = check_ident(check.need("column"))
-            aggregates[f"newest_{c}"] = F.max(c)
-            scanned.append((i, _freshness_verdict(check, F.col(f"newest_{c}"), now)))
+            aggregates[_named("newest", c)] = F.max(c)
+            scanned.append((i, _freshness_verdict(check, F.col(_named("newest", c)), now)))
         elif check.type == "unique":
             unique.append((i, check.columns()))
         elif check.type == "referential":
@@ -211,10 +221,10 @@ def quality_check(
     if unique:
         columns = sorted({c for _, names in unique for c in names})
         dups = duplicate_counts(df, columns).agg(
-            *[F.coalesce(F.sum(F.when(F.col("name") == c, F.col("duplicates"))), F.lit(0)).alias(f"dup_{c}") for c in columns]
+            *[F.coalesce(F.sum(F.when(F.col("name") == c, F.col("duplicates"))), F.lit(0)).alias(_named("dup", c)) for c in columns]
         )
         verdicts = [
-            (i, _per_column_verdict("unique", {c: F.col(f"dup_{c}") for c in names}, DUPLICATES_FOUND, ALL_UNIQUE))
+            (i, _per_column_verdict("unique", {c: F.col(_named("dup", c)) for c in names}, DUPLICATES_FOUND, ALL_UNIQUE))
             for i, names in unique
         ]
         others.append(_rows(dups, verdicts))

@@ -100,6 +100,91 @@ def scheduled_refresh(
     refresh_continuous(path, source, time_column, query, start, stop, width, stamp)
 
 
+def _unit(time_column: str, width: str):
+    """The day a stamp's bucket starts on; buckets shorter than a day share its folder."""
+    step = F.lit(int(max(timedelta(seconds=parse_duration(width)), _DAY) / timedelta(microseconds=1))).cast("bigint")
+    micros = F.unix_micros(F.col(check_ident(time_column)).cast("timestamp"))
+    return F.to_date(F.timestamp_micros(micros - F.pmod(micros, step)))
+
+
+def _entries(spark: SparkSession, log: str) -> DataFrame | None:
+    try:
+        spark.read.parquet(log)
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    return spark.read.schema("bucket_day date, entry bigint").parquet(log)
+
+
+def _enter(days: DataFrame, log: str, entry: int) -> None:
+    """One small file per entry, so an entry is there as a whole or not at all."""
+    days.withColumn("entry", F.lit(entry).cast("bigint")).coalesce(1).write.mode("append").parquet(log)
+
+
+def _last_entry(spark: SparkSession, log: str) -> int:
+    known = _entries(spark, log)
+    return (known.agg(F.max("entry")).first()[0] or 0) if known is not None else 0
+
+
+def invalidate(changes: DataFrame, log: str, time_column: str, width: str = "1d") -> None:
+    """Note in a log which buckets of a continuous aggregate some changed source rows fall in.
+
+    Changed rows are those added, removed or altered, in their old and their new form. Rows without
+    a time fall in no bucket. ``width`` is that of the aggregate's buckets.
+    """
+    spark = changes.sparkSession
+    days = changes.select(_unit(time_column, width).alias("bucket_day")).filter("bucket_day IS NOT NULL").distinct()
+    _enter(days, log, _last_entry(spark, log) + 1)
+
+
+def refresh_invalidated(
+    path: str,
+    source: DataFrame,
+    log: str,
+    time_column: str,
+    query: Callable[[DataFrame], DataFrame],
+    stop: datetime | None = None,
+    width: str = "1d",
+    stamp: str = "start",
+) -> int:
+    """Recompute the buckets that :func:`invalidate` noted since the last time, and no others.
+
+    Buckets from ``stop`` on, those still open, wait for a later call. Folders of other days keep
+    their files. A call that fails is tried again as a whole: entries count as done only after the
+    buckets were replaced. Returns the number of folders recomputed.
+    """
+    spark = source.sparkSession
+    known, done = _entries(spark, log), f"{log.rstrip('/')}.done"
+    if known is None:
+        return 0
+    finished, last = _last_entry(spark, done), _last_entry(spark, log)
+    span = timedelta(seconds=parse_duration(width))
+    limit = F.lit(_floor(stop, max(span, _DAY)).date()) if stop else None
+    unread = known.filter((F.col("entry") > finished) & (F.col("entry") <= last)).select("bucket_day").distinct()
+    # One row per day that changed.
+    days = sorted(r["bucket_day"] for r in (unread.filter(F.col("bucket_day") < limit) if stop else unread).collect())
+    if days:
+        first, after = days[0], datetime.combine(days[-1], datetime.min.time()) + max(span, _DAY)
+        near = time_range(source, time_column, datetime.combine(first, datetime.min.time()), after)
+        begins = F.col("bucket") - F.lit(span) if stamp == "end" else F.col("bucket")
+        staged = materialize(
+            query(near.filter(_unit(time_column, width).isin(days))).withColumn("bucket_day", F.to_date(begins))
+        )
+        kept = {r["bucket_day"] for r in staged.select("bucket_day").distinct().collect()}
+        if kept - set(days):
+            raise ValueError(f"the query has buckets that are not of {width}, or not stamped with their {stamp}")
+        write_partitioned(staged, path, ["bucket_day"], mode="overwrite", keep_others=True)
+        for day in set(days) - kept:
+            empty_partition(staged, path, "bucket_day", day)
+    if stop:
+        waiting = unread.filter(F.col("bucket_day") >= limit)
+        if not waiting.isEmpty():
+            _enter(materialize(waiting), log, last + 1)
+    _enter(spark.createDataFrame([], "bucket_day date") if last == finished else unread.limit(1), done, last)
+    return len(days)
+
+
 def read_continuous(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path).drop("bucket_day")
 

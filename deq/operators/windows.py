@@ -127,7 +127,7 @@ def granularity_series(df: DataFrame, column: str, grain: str, aggregates: list[
         raise ValueError(f"unknown granularity {grain!r}")
     if grain == "all":
         return df.agg(F.min(column).alias("bucket"), *aggregates)
-    start = F.date_trunc(grain, F.col(check_ident(column))).cast(df.schema[column].dataType)
+    start = F.date_trunc(grain, F.col(check_ident(column))).cast(df.select(column).schema.fields[0].dataType)
     return df.groupBy(start.alias("bucket")).agg(*aggregates)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from deq.operators.contracts import (
     pattern_violations,
     schema_violations,
 )
+from deq.operators.sketches import rank_errors, sketched_profile, write_sketches
 from deq.operators.profile import (
     profile,
     profile_counts,
@@ -23,10 +26,14 @@ from deq.operators.profile import (
     profile_moments,
     profile_percentiles,
 )
+from deq.session import scratch_path
 from deq.plans.tables import AS_OF, DIRTY, declared_columns, declared_sql, dirty, events
 from deq.sources.runlogs import event_log_totals, expectation_totals, scan_log_totals
 from deq.sources.tables import scan
 
+#: Days that a sketched profile is asked for, and a border between two writes of it.
+FROM, SPLIT, UNTIL = datetime(2024, 1, 5), datetime(2024, 1, 12), datetime(2024, 1, 23)
+
 PROFILED = ["event_id", "user_id", "event_type", "value", "ts"]
 NUMBERS = ["event_id", "user_id", "value"]
 
@@ -192,7 +199,23 @@ def runlog_expectations(spark, folder):
     return expectation_totals(events(spark, folder).select(i.alias("run_id"), document.alias("document")))
 
 
+def q_profile_sketched(spark, folder):
+    """A profile of some days out of stored sketches, with its errors held against the exact rows."""
+    rows, path, columns = events(spark, folder), scratch_path(spark, "sketches"), ["event_id", "user_id", "value", "event_type"]
+    for early in (True, False):
+        write_sketches(rows.filter((F.col("ts") < F.lit(SPLIT)) == F.lit(early)), path, "ts", columns)
+    found = sketched_profile(spark, path, FROM, UNTIL)
+    part = rows.filter((F.col("ts") >= F.lit(FROM)) & (F.col("ts") < F.lit(UNTIL)))
+    exact = profile_distinct(part, columns).withColumnRenamed("distinct_count", "exact")
+    errors = rank_errors(found, part, columns[:3]).groupBy("column").agg(F.max("rank_error").alias("rank_error"))
+    close = F.abs(F.col("distinct_count") - F.col("exact")) <= F.greatest(F.lit(1), 0.04 * F.col("exact"))
+    return found.join(exact, "column").join(errors, "column", "left").select(
+        "column", "row_count", "null_count", "min", "max", close.alias("distinct_close"), (F.col("rank_error") < 0.01).alias("ranks_close")
+    )
+
+
 QUERIES = {
+    "q_profile_sketched": q_profile_sketched,
     "q_row_count": _check(ROWS_OK, ROWS_LOW),
     "q_not_null": _check(NOT_NULL),
     "q_unique": _check(UNIQUE),
@@ -359,6 +382,15 @@ def _sql_contract() -> str:
 
 
 ORACLES = {
+    "q_profile_sketched": " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS row_count, count(*) - count({c}) AS null_count, {number.replace('?', 'min')} AS "min",
+            {number.replace('?', 'max')} AS "max", true AS distinct_close, {close} AS ranks_close
+            FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-23'"""
+        for c, number, close in [
+            ("event_id", "CAST(?(event_id) AS DOUBLE)", "true"), ("user_id", "CAST(?(user_id) AS DOUBLE)", "true"),
+            ("value", "?(value)", "true"), ("event_type", "CAST(NULL AS DOUBLE)", "CAST(NULL AS BOOLEAN)"),
+        ]
+    ),
     "q_row_count": f"{_sql_row_count(1, 1_000_000_000)} UNION ALL {_sql_row_count(1_000_000_000, None)}",
     "q_not_null": _sql_not_null(),
     "q_unique": _sql_unique(["event_id", "event_type"]),

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import time
+from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deq.plans.tables import AS_OF, CHANGES, changes, events
@@ -12,6 +15,8 @@ from deq.streaming import jobs, lag
 
 KEY, ORDER = ["k"], ["ts", "seq"]
 
+INSTANTS = [datetime(2024, 1, 3, 5), datetime(2024, 1, 16), AS_OF]
+
 
 def _event_stream(spark, folder):
     """The events, be they one file, whose path alone Spark refuses as a stream, or a folder of files."""
@@ -55,6 +60,18 @@ def stream_cdc_upsert(spark, folder):
     )
 
 
+def stream_cdc_fold(spark, folder):
+    """States at three instants, read from bases that were folded in between and the batches after them."""
+    log, offsets = scratch_path(spark, "log"), scratch_path(spark, "offsets")
+    jobs.finish(jobs.apply_changes(_change_stream(spark, folder, 5), log, scratch_path(spark, "rejected"), offsets, ["k"]))
+    jobs.fold_changes(spark, log, KEY, ORDER, 1)
+    jobs.fold_changes(spark, log, KEY, ORDER)
+    states = [
+        jobs.current_state(spark, log, KEY, ORDER, at).select(F.lit(at).alias("at"), "k", "seq", "op", "value") for at in INSTANTS
+    ]
+    return reduce(DataFrame.unionByName, states)
+
+
 def stream_cagg(spark, folder):
     dest = scratch_path(spark, "hourly")
     sums = [F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total")]
@@ -148,6 +165,7 @@ QUERIES = {
     "stream_ingest": stream_ingest,
     "stream_cdc_filter": stream_cdc_filter,
     "stream_cdc_upsert": stream_cdc_upsert,
+    "stream_cdc_fold": stream_cdc_fold,
     "stream_cagg": stream_cagg,
     "stream_monitor": stream_monitor,
     "stream_monitor_acknowledged": stream_monitor_acknowledged,
@@ -171,6 +189,11 @@ ORACLES = {
     "stream_cdc_upsert": f"""SELECT k, seq, op, value, 'state' AS side FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts DESC, seq DESC) AS rn
           FROM {CHANGES} WHERE seq % 53 <> 0 AND ts <= TIMESTAMP '2024-01-31') WHERE rn = 1 AND op <> 'DELETE'
         UNION ALL SELECT NULL, seq, op, value, 'rejected' FROM {CHANGES} WHERE seq % 53 = 0""",
+    "stream_cdc_fold": " UNION ALL ".join(
+        f"""SELECT TIMESTAMP '{at}' AS "at", k, seq, op, value FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts DESC, seq DESC) AS rn
+          FROM {CHANGES} WHERE ts <= TIMESTAMP '{at}') WHERE rn = 1 AND op <> 'DELETE'"""
+        for at in INSTANTS
+    ),
     "stream_cagg": """SELECT event_type, date_trunc('hour', ts) AS bucket, count(*) AS n, round(sum(value), 4) AS total FROM events
         GROUP BY 1, 2 HAVING date_trunc('hour', ts) + INTERVAL '2 hours' <= (SELECT max(ts) FROM events)""",
     "stream_monitor": _monitor_sql("length(tbl)"),

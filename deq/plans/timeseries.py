@@ -16,9 +16,11 @@ from deq.functions.names import (
 )
 from deq.operators.chunks import append_chunks, chunk_catalogue, drop_chunks, read_chunk_range
 from deq.operators.materialize import (
+    invalidate,
     materialized_view,
     read_continuous,
     refresh_continuous,
+    refresh_invalidated,
     scheduled_refresh,
     view_status,
 )
@@ -161,6 +163,17 @@ def ts_cagg_refresh(spark, folder):
     return read_continuous(spark, path).select("event_type", "bucket", "n", "total")
 
 
+def ts_cagg_invalidate(spark, folder):
+    """Late rows in old buckets: only their days are recomputed, in two rounds."""
+    path, log, source = scratch_path(spark, "hourly"), scratch_path(spark, "log"), events(spark, folder)
+    late = (F.col("event_id") % 97 == 0) & (F.dayofmonth("ts") % 5 == 0)
+    refresh_continuous(path, source.filter(~late), "ts", _hourly)
+    invalidate(source.filter(late), log, "ts")
+    refresh_invalidated(path, source, log, "ts", _hourly, datetime(2024, 1, 20, 7))
+    refresh_invalidated(path, source, log, "ts", _hourly)
+    return read_continuous(spark, path).select("event_type", "bucket", "n", "total")
+
+
 def _weekly(rows):
     return time_bucket(rows, "ts", "7d", ["event_type"], [F.count(F.lit(1)).alias("n")])
 
@@ -331,6 +344,7 @@ QUERIES = {
     "ts_hourly_count": ts_hourly_count,
     "ts_cagg_refresh": ts_cagg_refresh,
     "ts_cagg_week": ts_cagg_week,
+    "ts_cagg_invalidate": ts_cagg_invalidate,
     "ts_matview": ts_matview,
     "ts_matview_status": ts_matview_status,
     "ts_granularity": ts_granularity,
@@ -405,6 +419,8 @@ ORACLES = {
     "ts_hourly_count": "SELECT date_trunc('hour', ts) AS bucket, count(*) AS n FROM events GROUP BY 1",
     "ts_cagg_refresh": """SELECT event_type, date_trunc('hour', ts) AS bucket, count(*) AS n, round(sum(value), 4) AS total
         FROM events GROUP BY ALL""",
+    "ts_cagg_invalidate": """SELECT event_type, date_trunc('hour', ts) AS bucket, count(*) AS n, round(sum(value), 4) AS total
+        FROM events GROUP BY 1, 2""",
     "ts_cagg_week": """SELECT event_type, CAST(time_bucket(INTERVAL '7 days', ts, TIMESTAMP '1970-01-01') AS TIMESTAMP) AS bucket,
         count(*) AS n FROM events GROUP BY ALL""",
     "ts_matview": "SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, max(value) AS top FROM events GROUP BY ALL",

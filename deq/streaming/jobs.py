@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from deq.operators.change_data import cdc_filter
-from deq.operators.lake import as_of
+from deq.operators.lake import as_of, latest_per_key
 
 
 def read_files(
@@ -146,9 +147,72 @@ def apply_changes(
     )
 
 
+def _log_rows(spark: SparkSession, log: str) -> DataFrame:
+    """All changes with the number of their batch; columns that later batches brought are NULL before."""
+    return spark.read.option("mergeSchema", "true").parquet(log)
+
+
+def _bases(spark: SparkSession, log: str) -> DataFrame:
+    """``upto, newest``: the bases of a log, with the last batch folded into each and the newest time there."""
+    fields = "upto bigint, newest timestamp_ntz"
+    try:
+        spark.read.parquet(f"{log}.bases")
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], fields)
+    return spark.read.schema(fields).parquet(f"{log}.bases")
+
+
+def _best_base(bases: DataFrame) -> int | None:
+    """The base with the most batches."""
+    return bases.agg(F.max("upto")).first()[0]
+
+
+def _base_and_tail(spark: SparkSession, log: str, base: int | None) -> DataFrame:
+    rows = _log_rows(spark, log)
+    if base is None:
+        return rows.drop("batch")
+    tail = rows.filter(F.col("batch") > base).drop("batch")
+    return spark.read.parquet(f"{log}.base/upto={base}").unionByName(tail, allowMissingColumns=True)
+
+
+def fold_changes(spark: SparkSession, log: str, keys: list[str], order: list[str], upto: int | None = None) -> int | None:
+    """Fold the batches of a change log up to one, that before the newest if none is named, into a new base.
+
+    A base holds the last change of each key, deletions too, and is made of the base before it and the
+    batches since. It is stored beside the log and entered in a list when it is complete, so a
+    fold that fails leaves nothing that is read, and one that is tried again replaces it. Nothing
+    is taken from the log, and older bases stay for older instants. Returns the last batch folded.
+    """
+    if upto is None:
+        newest = _log_rows(spark, log).agg(F.max("batch")).first()[0]
+        upto = newest - 1 if newest else None
+    before = _best_base(_bases(spark, log))
+    if upto is None or (before is not None and upto <= before):
+        return before
+    rows = _log_rows(spark, log).filter(F.col("batch") <= upto)
+    if before is not None:
+        rows = rows.filter(F.col("batch") > before)
+    rows = rows.drop("batch")
+    if before is not None:
+        rows = spark.read.parquet(f"{log}.base/upto={before}").unionByName(rows, allowMissingColumns=True)
+    # A row without a time belongs to no instant.
+    latest_per_key(rows.filter("ts IS NOT NULL"), keys, order).write.mode("overwrite").parquet(f"{log}.base/upto={upto}")
+    newest = rows.agg(F.max("ts").cast("timestamp_ntz").alias("newest"))
+    entry = newest.select(F.lit(upto).cast("bigint").alias("upto"), "newest")
+    entry.coalesce(1).write.mode("append").parquet(f"{log}.bases")
+    return upto
+
+
 def current_state(spark: SparkSession, log: str, keys: list[str], order: list[str], time) -> DataFrame:
-    """Table content out of a change log that :func:`apply_changes` fills."""
-    return as_of(spark.read.parquet(log).drop("batch"), keys, order, time=time)
+    """Table content at an instant, out of a change log that :func:`apply_changes` fills.
+
+    ``order`` has to begin with the time ``ts``. Read are the largest base that holds nothing newer than
+    the instant and the batches after it; without such a base (:func:`fold_changes`) the whole log.
+    """
+    fitting = _bases(spark, log).filter(F.col("newest") <= F.lit(time))
+    return as_of(_base_and_tail(spark, log, _best_base(fitting)), keys, order, time=time)
 
 
 def continuous_aggregate(

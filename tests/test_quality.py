@@ -1,6 +1,7 @@
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from deq.functions.text import engine_pattern, portable_pattern
 from deq.operators.anomaly import anomaly, anomaly_rows
@@ -14,6 +15,8 @@ from deq.operators.contracts import (
     pattern_violations,
 )
 from deq.operators.profile import profile, profile_distinct, profile_percentiles
+from deq.operators.sketches import rank_errors, sketched_profile, write_sketches
+from deq.session import scratch_path
 
 
 def one(df):
@@ -309,3 +312,49 @@ def test_a_query_without_an_answer_does_not_pass(spark):
         results = quality_check(frame, [{"type": "custom_sql", "query": query, "threshold": 0}], "t")
         assert [r["passed"] for r in results.collect()] == [False]
         assert not passed(results).first()["passed"]
+
+
+def test_fields_inside_a_column_are_checked_and_profiled(spark):
+    at = datetime(2024, 1, 1)
+    rows = [((1.0, "x", at), 1), ((1.0, None, at), 2), ((None, "y", None), 3), (None, 4)]
+    df = spark.createDataFrame(rows, "a struct<b double, c string, t timestamp_ntz>, a__b int")
+    checks = [
+        {"type": "not_null", "columns": ["a.b", "a.c", "a__b"]},
+        {"type": "unique", "columns": ["a.b", "a__b"]},
+        {"type": "freshness", "column": "a.t", "maxAge": "1h"},
+    ]
+    found = {r["check"]: r["passed"] for r in quality_check(df, checks, as_of=at + timedelta(minutes=5)).collect()}
+    assert found == {"not_null": False, "unique": False, "freshness": True}
+    stats = {r["column"]: r for r in profile(df, ["a.b", "a.c", "a__b"]).collect()}
+    assert (stats["a.b"]["distinct_count"], stats["a.b"]["null_count"], stats["a.b"]["mean"], stats["a.b"]["p50"]) == (1, 2, 1.0, 1.0)
+    assert (stats["a.c"]["distinct_count"], stats["a.c"]["min"], stats["a__b"]["p99"]) == (2, "x", 4.0)
+    assert anomaly(df, ["a.b"]).first()["sample_size"] == 2
+    assert {r["method"] for r in anomaly(df, ["a.b"], "iqr").collect()} == {"iqr"}
+
+
+def test_stored_sketches_answer_any_range_of_days(spark):
+    df = spark.range(60_000).selectExpr(
+        "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, CAST(id % 10 AS int)) AS ts",
+        "IF(id % 3 = 0, 5.0D, CAST((id * 7919) % 60000 AS double)) AS v",
+        "concat('k', id % 5000) AS k",
+        "CAST(NULL AS double) AS none",
+    )
+    path = scratch_path(spark, "sketches")
+    half = F.dayofmonth("ts") <= 5
+    write_sketches(df.filter(half).limit(100), path, "ts", ["v", "k", "none"])
+    # A second write replaces the days it holds and leaves the others.
+    write_sketches(df.filter(half), path, "ts", ["v", "k", "none"])
+    write_sketches(df.filter(~half), path, "ts", ["v", "k", "none"])
+    for start, stop in ((None, None), (date(2024, 1, 3), date(2024, 1, 9)), (date(2024, 1, 2), date(2024, 1, 3))):
+        part = df
+        if start:
+            part = df.filter((F.to_date("ts") >= F.lit(start)) & (F.to_date("ts") < F.lit(stop)))
+        found = sketched_profile(spark, path, start, stop)
+        exact = {r["column"]: r for r in profile(part, ["v", "k", "none"]).collect()}
+        for r in found.collect():
+            want = exact[r["column"]]
+            assert (r["row_count"], r["null_count"]) == (want["row_count"], want["null_count"])
+            assert abs(r["distinct_count"] - want["distinct_count"]) <= 0.04 * want["distinct_count"]
+        assert {r["column"]: (r["min"], r["p99"] is None) for r in found.collect()} == {"v": (found.filter("column = 'v'").first()["min"], False), "k": (None, True), "none": (None, True)}
+        errors = rank_errors(found, part, ["v"]).collect()
+        assert len(errors) == 5 and max(e["rank_error"] for e in errors) < 0.01

@@ -183,3 +183,28 @@ def test_events_as_a_folder_of_files(spark):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     events.repartition(3).write.parquet(f"{folder}/events.parquet")
     assert streams.stream_ingest(spark, folder).count() == events.count()
+
+
+def test_bases_answer_any_instant_and_bound_what_is_read(spark, rows):
+    df = changes(spark).filter("k IS NOT NULL")
+    log = scratch_path(spark, "log")
+    store = jobs.batch_writer(log)
+    parts = [df.filter(f"seq BETWEEN {12 * i} AND {12 * i + 11}") for i in range(5)]
+    late = spark.createDataFrame([(500, START + timedelta(minutes=30), "UPDATE", "public.users", 3, 1.5), (501, None, "UPDATE", "t", 4, 2.5)], FIELDS)
+    for i, part in enumerate(parts[:3]):
+        store(part, i)
+    assert jobs.fold_changes(spark, log, ["k"], ["ts", "seq"]) == 1
+    assert jobs.fold_changes(spark, log, ["k"], ["ts", "seq"]) == 1
+    store(parts[3].unionByName(late), 3)
+    assert jobs.fold_changes(spark, log, ["k"], ["ts", "seq"], 3) == 3
+    # A later batch brings a column.
+    store(parts[4].withColumn("more", F.lit("m")), 4)
+    everything = df.unionByName(late).withColumn("more", F.when(F.col("seq").between(48, 59), "m"))
+    for minutes in (0, 31, 7 * 13, 7 * 24, 7 * 40, 7 * 59, 10_000):
+        at = START + timedelta(minutes=minutes)
+        state = jobs.current_state(spark, log, ["k"], ["ts", "seq"], at)
+        assert rows(state, *everything.columns) == rows(as_of(everything, ["k"], ["ts", "seq"], time=at))
+    # At the end: seven keys of the newest base and the last batch, not the sixty changes of the log.
+    files = jobs._base_and_tail(spark, log, 3).select(F.input_file_name().alias("f")).distinct().collect()
+    assert {r["f"].split("/")[-2] for r in files} == {"upto=3", "batch=4"}
+    assert jobs._base_and_tail(spark, log, 3).count() == 7 + parts[4].count()

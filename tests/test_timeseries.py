@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from deq.operators import chunks
 from deq.operators.chunks import append_chunks, chunk_catalogue, drop_chunks, read_chunk_range
-from deq.operators.materialize import read_continuous, refresh_continuous, scheduled_refresh, view_status, materialized_view
+from deq.operators.materialize import invalidate, read_continuous, refresh_continuous, refresh_invalidated, scheduled_refresh, view_status, materialized_view
 from deq.operators.tiering import archive, archive_rows, cold_status, cutoff, hot_status, read_archive, retention, write_archive
 from deq.operators.windows import bucket, downsample, downsample_wide, granularity_series, time_bucket, time_range
 from deq.session import scratch_path
@@ -402,3 +402,33 @@ def test_chunk_reads_open_only_chunks_with_such_times(spark):
     assert sorted(r["id"] for r in found.collect()) == [24, 25, 26]
     assert {f.split("chunk=")[1][:10] for f in found.select(F.input_file_name()).distinct().toPandas().iloc[:, 0]} == {"2024-01-02"}
     assert read_chunk_range(spark, path, "ts", datetime(2024, 1, 1, 13), datetime(2024, 1, 1, 20)).count() == 0
+
+
+@pytest.mark.parametrize("width,stamp", [("1h", "start"), ("1h", "end"), ("7d", "start")])
+def test_invalidated_buckets_alone_are_recomputed(spark, rows, width, stamp):
+    path, log, full = (scratch_path(spark, n) for n in ("cagg", "log", "full"))
+    df = spark.range(240).selectExpr("id", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, CAST(3 * id AS int)) AS ts")
+    late = F.col("id").isin(9, 10, 200)
+    gone = F.dayofmonth("ts") == 5
+
+    def query(rows):
+        out = time_bucket(rows, "ts", width, [], [F.count(F.lit(1)).alias("n")])
+        return out.withColumn("bucket", F.col("bucket") + F.expr("INTERVAL 1 HOUR")) if stamp == "end" else out
+
+    refresh_continuous(path, df.filter(~late), "ts", query, width=width, stamp=stamp)
+    before = chunk_files(path)
+    assert refresh_invalidated(path, df, log, "ts", query, width=width, stamp=stamp) == 0
+    invalidate(df.filter(late), log, "ts", width)
+    invalidate(df.filter(gone), log, "ts", width)
+    now = df.filter(~gone)
+    stop = datetime(2024, 1, 20)
+    days = refresh_invalidated(path, now, log, "ts", query, stop, width, stamp)
+    after = chunk_files(path)
+    folder = lambda files: {f.split("/")[0] for f in files}
+    changed = folder({*after.items() - before.items()} and {f for f, t in after.items() if before.get(f) != t})
+    assert days == len(changed) == 2
+    # What waited comes with the next call; after that nothing is left.
+    assert refresh_invalidated(path, now, log, "ts", query, None, width, stamp) == 1
+    assert refresh_invalidated(path, now, log, "ts", query, None, width, stamp) == 0
+    refresh_continuous(full, now, "ts", query, width=width, stamp=stamp)
+    assert rows(read_continuous(spark, path), "bucket", "n") == rows(read_continuous(spark, full), "bucket", "n")
