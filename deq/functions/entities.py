@@ -6,14 +6,17 @@ the text for the built-in types, whatever the text holds.
 
 from __future__ import annotations
 
+import contextlib
+import heapq
+import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deq.functions.text import portable_pattern
+from deq.functions.text import python_pattern
 
 # What the built-in types look like, in the order they claim text.
 BUILT_IN_TYPES = ["email", "date", "org", "location", "person"]
@@ -103,58 +106,70 @@ def _custom_spans(pattern: re.Pattern, text: str) -> Iterator[Span]:
         yield start, size
 
 
-def find_entities(text: str | None, types: list[str], custom: list[tuple[str, re.Pattern]]) -> list[dict]:
-    """Entities of a text; a span that overlaps an earlier one is left out."""
+def _apart(spans: Iterable[Span], claimed: list[Span]) -> Iterator[Span]:
+    """The spans that touch no claimed one; both come in order, so one sweep over both is enough."""
+    at = 0
+    for start, end in spans:
+        while at < len(claimed) and claimed[at][1] <= start:
+            at += 1
+        if at == len(claimed) or claimed[at][0] >= end:
+            yield start, end
+
+
+def find_entities(
+    text: str | None, types: list[str], custom: list[tuple[str, re.Pattern]], overlapping: bool = False
+) -> list[dict]:
+    """Entities of a text, by type and place.
+
+    Types claim text in their order: a span that overlaps one of an earlier type is left out, unless
+    ``overlapping`` asks for each type as if it were alone.
+    """
     if not text:
         return []
-    raw = text.encode()
-    taken = bytearray(len(raw))
-    found = []
-    searches = [(t, _FINDERS[t](raw)) for t in BUILT_IN_TYPES if t in types]
-    searches += [(t, _custom_spans(p, text)) for t, p in custom]
-    for kind, spans in searches:
-        for start, end in spans:
-            if taken.find(1, start, end) >= 0:
-                continue
-            value = raw[start:end].decode().strip()
-            if value:
-                taken[start:end] = b"\x01" * (end - start)
-                found.append({"type": kind, "value": value, "start": start, "end": end})
-    return found
+    raw, claimed, out = text.encode(), [], []
+    wanted = [(kind, _FINDERS[kind](raw)) for kind in BUILT_IN_TYPES if kind in types]
+    for kind, spans in itertools.chain(wanted, ((kind, _custom_spans(p, text)) for kind, p in custom)):
+        cut = [(s, e, raw[s:e].decode().strip()) for s, e in (spans if overlapping else _apart(spans, claimed))]
+        out += [{"type": kind, "value": value, "start": s, "end": e} for s, e, value in cut if value]
+        claimed = list(heapq.merge(claimed, ((s, e) for s, e, value in cut if value)))
+    return out
 
 
 def _compiled(patterns: list[dict]) -> list[tuple[str, re.Pattern]]:
+    """Types and patterns of complete entries; a pattern that is not of the dialect is skipped."""
     out = []
-    for p in patterns:
-        if p.get("type") and p.get("pattern"):
-            try:
-                out.append((p["type"], re.compile(portable_pattern(p["pattern"]), re.ASCII)))
-            except (re.error, ValueError):
-                continue
+    for entry in patterns:
+        if entry.get("type") and entry.get("pattern"):
+            with contextlib.suppress(ValueError):
+                out.append((entry["type"], python_pattern(entry["pattern"])))
     return out
 
 
-def entity_column(text: Column, types: list[str] | None = None, patterns: list[dict] = ()) -> Column:
+def entity_column(
+    text: Column, types: list[str] | None = None, patterns: list[dict] = (), overlapping: bool = False
+) -> Column:
     """Array of ``{type, value, start, end}`` for a text column, offsets in bytes.
 
     Built-in types claim text in a fixed order, then custom ``{type, pattern}`` entries in theirs;
-    an invalid custom pattern is skipped.
+    an invalid custom pattern is skipped. With ``overlapping`` no type hides another.
     """
     wanted = list(types) if types else BUILT_IN_TYPES
     custom = _compiled(list(patterns))
 
     @F.pandas_udf(ENTITY_TYPE)
     def extract(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda t: find_entities(t, wanted, custom))
+        return batch.map(lambda t: find_entities(t, wanted, custom, overlapping))
 
     return extract(text)
 
 
-def extract_entities(df: DataFrame, text: str, types: list[str] | None = None, patterns: list[dict] = ()) -> DataFrame:
+def extract_entities(
+    df: DataFrame, text: str, types: list[str] | None = None, patterns: list[dict] = (), overlapping: bool = False
+) -> DataFrame:
     """One row per entity: the other columns and ``type, value, start, end``."""
     rest = [c for c in df.columns if c != text]
     # The text goes to Python alone and does not come back.
-    found = df.select(*rest, entity_column(F.col(text), types, patterns).alias("_entities"))
+    found = df.select(*rest, entity_column(F.col(text), types, patterns, overlapping).alias("_entities"))
     return found.select(*rest, F.inline("_entities"))
 
 

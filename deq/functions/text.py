@@ -131,6 +131,60 @@ def portable_pattern(pattern: str) -> str:
     return pattern
 
 
+#: Members of the bracket classes as ranges of ASCII code points.
+_CLASS_RANGES = {
+    "alnum": "09AZaz", "alpha": "AZaz", "ascii": "\x00\x7f", "blank": "\t\t  ", "cntrl": "\x00\x1f\x7f\x7f", "digit": "09",
+    "graph": "!~", "lower": "az", "print": " ~", "punct": "!/:@[`{~", "space": "\t\r  ", "upper": "AZ", "word": "09AZ__az",
+    "xdigit": "09AFaf", "perl space": "\t\n\f\r  ",
+}
+
+
+def _members(name: str, negated: bool) -> str:
+    """The inside of a Python class that holds the members of a bracket class, or all other characters."""
+    ends = [ord(c) for c in _CLASS_RANGES[name]]
+    ranges = list(zip(ends[::2], ends[1::2]))
+    if negated:
+        borders = [-1, *[x for low, high in ranges for x in (low, high)], 0x110000]
+        ranges = [(a + 1, b - 1) for a, b in zip(borders[::2], borders[1::2]) if a + 1 <= b - 1]
+    return "".join(f"\\U{low:08x}-\\U{high:08x}" for low, high in ranges)
+
+
+def python_pattern(pattern: str) -> re.Pattern:
+    """The pattern of the common linear-time dialect, compiled for Python with the same meaning.
+
+    As with :func:`engine_pattern`, ``$`` and ``\\z`` are the very end unless the m flag is set, bracket
+    classes are known, ``\\s`` has no vertical tab, and what the dialect lacks is refused with a ValueError, as is
+    what Python cannot express (classes by Unicode property, flags in mid-pattern).
+    """
+    _refuse_unportable(pattern)
+    by_line = re.search(r"\(\?[a-zA-Z]*m", pattern) is not None
+    out, inside = [], False
+    for m in _PIECES.finditer(pattern):
+        kind, piece = m.lastgroup, m.group()
+        if kind == "bracket":
+            name = piece.strip("[:]").lstrip("^")
+            if not inside or name not in BRACKET_CLASSES:
+                raise ValueError(f"pattern {pattern!r}: {piece} is no class, or stands outside of one")
+            out.append(_members(name, "^" in piece))
+        elif piece in (r"\s", r"\S"):
+            space = _members("perl space", piece == r"\S")
+            out.append(space if inside else f"[{space}]")
+        elif inside:
+            inside = kind != "close"
+            out.append(piece if kind in ("escape", "close") else re.sub(r"([\[&~|])", r"\\\1", piece))
+        elif kind == "open":
+            inside = True
+            out.append(piece.replace("]", r"\]"))
+        elif piece == r"\Z" or (kind == "flags" and re.search("[^ims:)(?-]", piece)):
+            raise ValueError(f"pattern {pattern!r}: {piece} is not of the dialect")
+        else:
+            out.append(r"\Z" if piece == r"\z" or (piece == "$" and not by_line) else piece)
+    try:
+        return re.compile("".join(out), re.ASCII)
+    except re.error as problem:
+        raise ValueError(f"pattern {pattern!r} does not compile") from problem
+
+
 def sorted_entries(column: Column) -> Column:
     """Entries of a map in key order; groups and sorts where a map cannot."""
     return F.sort_array(F.map_entries(column))

@@ -215,12 +215,9 @@ def _count_of(kind):
 
 
 def entities_by_type(spark, folder):
-    """Each built-in type alone, so that no type hides another."""
-    out = None
-    for kind in BUILT_IN_TYPES:
-        found = extract_entities(_documents(spark, folder), "text", [kind])
-        out = found if out is None else out.unionByName(found)
-    return out.groupBy("type", "value").agg(F.count(F.lit(1)).alias("n"))
+    """Each built-in type as if it were alone, in one pass over the texts."""
+    found = extract_entities(_documents(spark, folder), "text", overlapping=True)
+    return found.groupBy("type", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 QUERIES = {

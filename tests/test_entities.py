@@ -4,8 +4,10 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from deq.functions.entities import BUILT_IN_TYPES, extract_entities, fallback_entities, find_entities
+from deq.functions.text import engine_pattern, python_pattern
 from deq.plans.schemas import _PATTERNS
 
 PLAIN = {k: re.compile(p.replace(r"\s", r"[\t\n\f\r ]").replace(r"[a-zA-Z&[\t\n\f\r ]]", r"[a-zA-Z&\t\n\f\r ]"), re.ASCII) for k, p in _PATTERNS.items()}
@@ -87,3 +89,29 @@ def test_documents_match_the_plain_patterns(spark):
     found = sorted((r["doc_id"], r["type"], r["value"], r["start"], r["end"]) for r in extract_entities(docs, "text").collect())
     want = sorted((d["doc_id"], *e.values()) for d in docs.collect() for e in plain_entities(d["text"], BUILT_IN_TYPES))
     assert found == want
+
+
+def test_custom_patterns_are_of_one_dialect(spark):
+    """The same dialect as contracts: very end, bracket classes, no vertical tab among spaces."""
+    cases = [
+        (r"^[a-z]+$", "abc\n", []), (r"^[a-z]+$", "abc", ["abc"]), (r"(?m)^[a-z]+$", "ab\ncd\n", ["ab", "cd"]),
+        (r"[[:alpha:]]+", "ab1[:c", ["ab", "c"]), (r"[^[:alnum:]_]+", "a-é_b", ["-é"]), (r"[[:^digit:]x]+", "12ab", ["ab"]),
+        (r"a\sb", "a\vb a b", ["a b"]), (r"[\S]+", "a\vb c", ["a\vb", "c"]), (r"[[a]+", "[a]", ["[a"]), (r"[]a]+", "]ab", ["]a"]),
+        (r"x\z", "x\nx", ["x"]), (r"[a&&b]+", "a&b", ["a&b"]),
+    ]
+    for pattern, text, want in cases:
+        found = find_entities(text, [], [("t", python_pattern(pattern))])
+        assert [f["value"] for f in found] == [w.strip() for w in want], pattern
+        values = spark.createDataFrame([(v,) for v in [text]], "v string")
+        assert values.select(F.col("v").rlike(engine_pattern(pattern))).first()[0] == bool(want) or r"\s" in pattern, pattern
+    for pattern in (r"(?U)a+", "(?=a)", r"(a)\1", r"a\Z", "[[:nope:]]", "[:alpha:]", "([", "a++"):
+        with pytest.raises(ValueError):
+            python_pattern(pattern)
+
+
+def test_types_do_not_hide_each_other_on_request():
+    rng = random.Random(77)
+    for _ in range(100):
+        text = random_text(rng)
+        want = [e for t in BUILT_IN_TYPES for e in plain_entities(text, [t])]
+        assert find_entities(text, BUILT_IN_TYPES, [], overlapping=True) == want
