@@ -206,10 +206,35 @@ def describe(df: DataFrame, log: DataFrame | None = None, location: str = "") ->
     return out.withColumn("snapshots", versions)
 
 
+def _next_id(df: DataFrame) -> int:
+    """An id no column has; a column without one has its position."""
+    return max((f.metadata.get("id", i + 1) for i, f in enumerate(df.schema.fields)), default=0) + 1
+
+
+def added_column(df: DataFrame, name: str, type_name: str, default: Column | None = None, doc: str | None = None, **meta) -> DataFrame:
+    """The rows with a new column that keeps its declared width and comment as metadata."""
+    if text_width(type_name) is not None:
+        meta["sql_type"] = type_name
+    if doc:
+        meta["comment"] = doc
+    # An added column may be NULL, whatever its default.
+    value = F.lit(None) if default is None else F.when(F.lit(True), default)
+    return df.withColumn(check_ident(name, strict=True), value.cast(spark_type(type_name))).withMetadata(name, meta)
+
+
+def retyped_column(df: DataFrame, name: str, type_name: str) -> DataFrame:
+    """The rows with a column cast; its id and comment stay, its declared width is the new one."""
+    meta = {k: v for k, v in df.schema[name].metadata.items() if k != "sql_type"}
+    if text_width(type_name) is not None:
+        meta["sql_type"] = type_name
+    return df.withColumn(name, F.col(f"`{name}`").cast(spark_type(type_name))).withMetadata(name, meta)
+
+
 def evolve_schema(df: DataFrame, changes: list[dict]) -> DataFrame:
     """Apply column updates in order: add-column, rename-column, update-column-type, delete-column.
 
-    Updates of other kinds carry no column change and leave the rows as they are.
+    A new column is NULL in old rows, or its ``default``; it keeps its ``doc``, its declared width and an
+    id of its own. Updates of other kinds carry no column change and leave the rows as they are.
     """
     changes = [c for c in changes if c.get("action")]
     if not changes:
@@ -217,12 +242,12 @@ def evolve_schema(df: DataFrame, changes: list[dict]) -> DataFrame:
     for c in changes:
         name = c.get("name", "")
         if c["action"] == "add-column":
-            new: Column = F.lit(None).cast(spark_type(c["type"]))
-            df = df.withColumn(check_ident(name, strict=True), new)
+            default = F.lit(c["default"]) if c.get("default") is not None else None
+            df = added_column(df, name, c["type"], default, c.get("doc"), id=_next_id(df))
         elif c["action"] == "rename-column":
             df = df.withColumnRenamed(_existing(df, name), check_ident(c["to"], strict=True))
         elif c["action"] == "update-column-type":
-            df = df.withColumn(name, F.col(_existing(df, name)).cast(spark_type(c["type"])))
+            df = retyped_column(df, _existing(df, name), c["type"])
         elif c["action"] == "delete-column":
             df = df.drop(_existing(df, name))
     return df

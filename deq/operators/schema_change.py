@@ -9,10 +9,11 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deq.functions.names import check_ident, check_type_name, is_narrowing, spark_type, text_width
+from deq.operators.lake import added_column, retyped_column
 from deq.operators.skew import join_skewed
 from deq.session import literal_rows, scratch_path
 
@@ -129,16 +130,32 @@ def plan_safety(diff: DataFrame) -> DataFrame:
     )
 
 
-def plan_of(diff: DataFrame, dataset: str) -> list[dict]:
+def plan_of(diff: DataFrame, dataset: str, desired: DataFrame | None = None) -> list[dict]:
     """The changes of one table in the order :func:`apply_plan` takes them.
 
+    With ``desired``, the columns of :func:`declared_schema`, new columns have their ``default``.
+
     New and changed columns come first, then dropped ones, then indexes. A table has few columns,
     so its plan may come to the driver.
     """
     steps = ["add_table", "add_column", "widen_type", "narrow_type", "drop_column", "add_index", "drop_index"]
     rank = F.array_position(F.array(*[F.lit(s) for s in steps]), F.col("change"))
     rows = diff.filter(F.col("dataset") == dataset).orderBy(rank, "name").collect()
-    return [r.asDict() for r in rows]
+    plan = [r.asDict() for r in rows]
+    if desired is not None:
+        own = desired.filter((F.col("dataset") == dataset) & (F.col("default") != "")).collect()
+        defaults = {r["column"]: r["default"] for r in own}
+        plan = [c | {"default": defaults[c["name"]]} if c["change"] == "add_column" and c["name"] in defaults else c for c in plan]
+    return plan
+
+
+def _default(text: str | None) -> Column | None:
+    """The value of a declared default; only literals and the calls of the fixed list are taken."""
+    if not text:
+        return None
+    if not re.match(DEFAULT_VALUE, text):
+        raise ValueError(f"column default {text!r} is invalid")
+    return F.expr("uuid()" if text.lower() == "gen_random_uuid()" else text)
 
 
 def layer_diff(source: DataFrame, registry: DataFrame) -> DataFrame:
@@ -179,14 +196,14 @@ def apply_plan(df: DataFrame, changes: list[dict], policy: str = "block", mode:
         raise ValueError(f"unknown policy {policy!r} (block, warn)")
     for c in changes:
         if c.get("breaking") and policy == "block":
-            raise BreakingChange(f"breaking change blocked: {c['change']} {c['name']}")
+            raise BreakingChange(f"the plan would break readers of {c['name']} ({c['change']}); allow it with the policy warn")
     out = df
     for c in changes:
         kind, name = c["change"], c["name"]
         if kind == "add_column":
-            out = out.withColumn(check_ident(name, strict=True), F.lit(None).cast(spark_type(c["to_type"])))
+            out = added_column(out, name, c["to_type"], _default(c.get("default")))
         elif kind in ("widen_type", "narrow_type"):
-            out = out.withColumn(name, F.col(name).cast(spark_type(c["to_type"])))
+            out = retyped_column(out, name, c["to_type"])
         elif kind == "drop_column":
             out = out.drop(name)
     if mode == "blue_green":
@@ -203,9 +220,9 @@ def check_transform(expression: str) -> str:
     """The transform, if it is a plain expression without statements."""
     if expression:
         if not re.match(TRANSFORM_CHARS, expression) or ";" in expression:
-            raise ValueError(f"transform expression {expression!r} contains unsafe characters")
+            raise ValueError(f"only plain expressions may transform a column, not {expression!r}")
         if re.search(UNSAFE_KEYWORDS, expression):
-            raise ValueError(f"transform expression {expression!r} contains unsafe SQL keyword")
+            raise ValueError(f"a statement may not transform a column: {expression!r}")
     return expression
 
 

@@ -223,6 +223,17 @@ def test_create_describe_evolve(spark):
     assert described == [(1, "id", "bigint", True, None), (2, "name", "varchar(10)", False, "full name")]
     evolved = lake.evolve_schema(table, [{"action": "add-column", "name": "phone", "type": "string", "doc": "d"}])
     assert evolved.columns == ["id", "name", "phone"] and evolved.first()["phone"] is None
+    changes = [
+        {"action": "add-column", "name": "code", "type": "varchar(4)", "default": "x"},
+        {"action": "update-column-type", "name": "name", "type": "varchar(20)"},
+        {"action": "rename-column", "name": "name", "to": "label"},
+    ]
+    described = [tuple(r)[:5] for r in lake.describe(lake.evolve_schema(evolved, changes)).collect()]
+    assert described == [
+        (1, "id", "bigint", True, None), (2, "label", "varchar(20)", False, "full name"),
+        (3, "phone", "character varying", False, "d"), (4, "code", "varchar(4)", False, None),
+    ]
+    assert lake.evolve_schema(evolved, changes).first()["code"] == "x"
     for bad in ([], [{"action": ""}], [{"action": "delete-column", "name": "gone"}]):
         with pytest.raises(ValueError):
             lake.evolve_schema(table, bad)

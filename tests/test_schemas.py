@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from deq.functions.names import declared_type
 from deq.operators import catalog, graph
 from deq.operators.schema_change import (
     BreakingChange,
@@ -313,3 +314,20 @@ def test_expectation_runs(spark):
     ]
     found = expectation_totals(spark.createDataFrame(rows, "run_id int, document string"))
     assert {r["run_id"]: tuple(r)[1:] for r in found.collect()} == {1: (True, 1, 1, 0), 2: (False, 10, 6, 4), 3: (False, 0, 0, 0)}
+
+
+def test_applied_plans_keep_defaults_and_widths(spark):
+    wanted = table("users", ("id", "bigint"), ("code", "varchar(12)"))
+    wanted["columns"] += [{"name": "state", "type": "varchar(10)", "default": "'new'"}, {"name": "n", "type": "integer", "default": "7"}]
+    _, found = diff(spark, [wanted], [table("users", ("id", "int"), ("code", "varchar(5)"))])
+    plan = plan_of(found, "users", declared_schema(spark, [wanted])[0])
+    df = spark.createDataFrame([(1, "x")], "id int, code string")
+    for mode in ("online", "blue_green"):
+        out = apply_plan(df, plan, "warn", mode)
+        assert out.select("id", "code", "state", "n").first()[:] == (1, "x", "new", 7)
+        # What the new table declares is what was wanted, so a second diff is empty.
+        columns = [(f.name, declared_type(f)) for f in out.schema.fields]
+        assert dict(columns) == {"id": "bigint", "code": "varchar(12)", "state": "varchar(10)", "n": "integer"}
+        assert diff(spark, [wanted], [table("users", *columns)])[1].isEmpty()
+    with pytest.raises(ValueError):
+        apply_plan(df, [{"change": "add_column", "name": "c", "to_type": "text", "default": "x; y"}])
