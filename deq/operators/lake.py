@@ -218,7 +218,7 @@ def added_column(df: DataFrame, name: str, type_name: str, default: Column | Non
     if doc:
         meta["comment"] = doc
     # An added column may be NULL, whatever its default.
-    value = F.lit(None) if default is None else F.when(F.lit(True), default)
+    value = F.lit(None) if default is None else F.when(F.lit(name).isNotNull(), default)
     return df.withColumn(check_ident(name, strict=True), value.cast(spark_type(type_name))).withMetadata(name, meta)
 
 
