@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from deq.llm.common import forget_digests, in_arrow, narrowed, ranked, utf8
 
 #: Distinct chunks of text in each of the two generations that one Python worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 350_000
 
 #: Chunks that are encoded for the first time go to the tokenizer in texts of so many.
 TOGETHER = 500
@@ -82,16 +82,12 @@ class ChunkEncoder:
             self.older, self.known = self.known, {}
         # Lower case could spell out a special token that the text does not hold.
         chunks = [stops_apart(d if b"<|" in d else d.lower()).split() for d in texts]
-        parts = [list(map(self.known.get, words)) for words in chunks]
-        missing = {w for words, found in zip(chunks, parts) if None in found for w, ids in zip(words, found) if ids is None}
+        missing = set().union(*chunks).difference(self.known)
         again = missing & self.older.keys()
         self.known.update(zip(again, map(self.older.__getitem__, again)))
         new = list(missing - again)
         self.known.update(zip(new, self._new(new)))
-        return [
-            b"".join(map(self.known.__getitem__, words) if None in found else found)
-            for words, found in zip(chunks, parts)
-        ]
+        return [b"".join(map(self.known.__getitem__, words)) for words in chunks]
 
 
 def encoded(path: str, texts: list[bytes]) -> list[bytes]:
