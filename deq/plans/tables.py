@@ -122,14 +122,12 @@ def declared_columns(spark: SparkSession, folder: str, status: str, shift: int)
             F.element_at(parts, (pick + 1).cast("int")).alias("type"),
             (F.col("most") > 4).alias("nullable"),
         )
-        .filter(~((F.col("dataset") == "s3") & F.lit(status == "F")))
     )
 
 
 def declared_sql(status: str, shift: int) -> str:
     ladder = ", ".join(f"'{t}'" for t in TYPE_LADDER)
-    return f"""(SELECT * FROM (SELECT concat('s', CAST(l_suppkey AS VARCHAR)) AS dataset, CAST(l_partkey AS INTEGER) AS position,
+    return f"""(SELECT concat('s', CAST(l_suppkey AS VARCHAR)) AS dataset, CAST(l_partkey AS INTEGER) AS position,
   concat('c', CAST(l_partkey AS VARCHAR)) AS "column",
   ([{ladder}])[CAST((l_partkey + most * {shift}) % {len(TYPE_LADDER)} + 1 AS INTEGER)] AS type, most > 4 AS nullable
-  FROM (SELECT l_suppkey, l_partkey, max(l_linenumber) AS most FROM lineitem WHERE l_linestatus = '{status}' GROUP BY ALL))
-  WHERE NOT (dataset = 's3' AND '{status}' = 'F'))"""
+  FROM (SELECT l_suppkey, l_partkey, max(l_linenumber) AS most FROM lineitem WHERE l_linestatus = '{status}' GROUP BY ALL))"""
