@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from deq.llm.common import boxed, in_arrow, keyed, mixed, narrowed, shingles, unboxed, utf8
@@ -23,6 +23,11 @@ SLICES = 32
 PARTS = 8
 #: Rounds in which each list is compared with one member before all that is left is compared.
 STAR_ROUNDS = 2
+#: A shingle whose cell holds more than one in this many of all shingles is dealt to SALTS tasks.
+HOT_SHARE = 10_000
+SALTS = 64
+#: Groups per slice in which the tasks' counts are first summed up.
+MERGES = 256
 
 _MASK = np.uint64(CELLS - 1)
 
@@ -58,20 +63,23 @@ def classes(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
             columns = [*batch.columns[:3], pa.array(map(len, sets), pa.int64()), pa.array(digests, pa.int64())]
             none = [pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())]
             yield pa.RecordBatch.from_arrays([*columns, *none], names)
-        parts = [zlib.compress(total[i * width : (i + 1) * width].astype("<u4").tobytes(), 1) for i in range(SLICES)]
+        parts = [zlib.compress(total[i * width : (i + 1) * width].astype("<i8").tobytes(), 1) for i in range(SLICES)]
         blank = [pa.nulls(SLICES, pa.int64()) for _ in range(5)]
         yield pa.RecordBatch.from_arrays([*blank, pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], names)
 
     def merge(table: pa.Table) -> pa.Table:
         total = np.zeros(width, np.int64)
         for data in table.column("data").to_pylist():
-            total += np.frombuffer(zlib.decompress(data), "<u4")
+            total += np.frombuffer(zlib.decompress(data), "<i8")
         merged = zlib.compress(total.astype("<i8").tobytes(), 1)
         return pa.table([table.column("slice").slice(0, 1), pa.array([merged], pa.binary())], ["slice", "data"])
 
     schema = "_a long, _b long, doc_id long, n_shingles long, c long, slice int, data binary"
     both = materialize(keyed(docs).mapInArrow(emit, schema))
     counted = both.filter("slice is not null").select("slice", "data")
+    # Summed up in two levels, so that no group holds what every task has written.
+    some = counted.groupBy("slice", F.pmod(F.xxhash64("data"), F.lit(MERGES)))
+    counted = some.applyInArrow(merge, "slice int, data binary")
     counts = np.zeros(CELLS, np.int64)
     for row in counted.groupBy("slice").applyInArrow(merge, "slice int, data binary").collect():
         counts[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(zlib.decompress(row["data"]), "<i8")
@@ -79,12 +87,15 @@ def classes(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
 
 
 def prefixes(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
-    """Postings: shingle ``t``, class ``c``, set size ``n``, place ``i`` in rare-first order, ``parts``.
+    """Postings: shingle ``t``, ``salt``, class ``c``, set size and place in rare-first order, ``parts``.
 
     Two sets that share ``percent`` of their union share one of the first n - ceil(percent * n) + 1
     shingles of any common order; the order here is by frequency cell, then by hash. A class that a
-    task has seen is not written again by it.
+    task has seen is not written again by it. ``at`` holds the size above its 32nd bit and the place
+    below. ``salt`` is -1, but for a shingle that may hold more than its share a part of 0 to SALTS - 1,
+    by class.
     """
+    limit = counts.sum() / HOT_SHARE
     frequent = docs.sparkSession.sparkContext.broadcast(counts.astype(np.float32))
     shift = np.uint64(64 - PARTS.bit_length() + 1)
 
@@ -92,7 +103,7 @@ def prefixes(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> Da
         seen: set[int] = set()
         counts = frequent.value
         for batch in batches:
-            out = {name: [] for name in ("t", "c", "n", "i", "parts")}
+            out = {name: [] for name in ("t", "salt", "c", "at", "parts")}
             for s in _sets(batch, "text", size):
                 c = set_digest(s)
                 if not len(s) or c in seen:
@@ -102,19 +113,34 @@ def prefixes(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> Da
                 seen.add(c)
                 n = len(s)
                 first = n + (-n * percent) // 100 + 1
-                order = np.argsort(counts[(s & _MASK).astype(np.int64)], kind="stable")[:first]
+                often = counts[(s & _MASK).astype(np.int64)]
+                order = np.argsort(often, kind="stable")[:first]
                 spread = np.bincount((s >> shift).astype(np.int64), minlength=PARTS)
                 # Shares in 255ths, rounded up, so that the filter never underrates an overlap.
                 share = -(-spread * 255 // n)
                 parts = int.from_bytes(share.astype(np.uint8).tobytes(), "little", signed=True)
                 out["t"].append(s[order].view(np.int64))
-                out["i"].append(np.arange(first))
-                for name, value in (("c", c), ("n", n), ("parts", parts)):
+                out["salt"].append(np.where(often[order] > limit, c % SALTS, -1))
+                out["at"].append((n << 32) + np.arange(first))
+                for name, value in (("c", c), ("parts", parts)):
                     out[name].append(np.full(first, value, np.int64))
             columns = [np.concatenate(x) if x else np.empty(0, np.int64) for x in out.values()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], list(out))
 
-    return narrowed(docs).select("text").mapInArrow(emit, "t long, c long, n long, i long, parts long")
+    return narrowed(docs).select("text").mapInArrow(emit, "t long, salt long, c long, at long, parts long")
+
+
+def shared(postings: DataFrame) -> DataFrame:
+    """The postings ``t, c, n, i, parts`` of shingles that several classes have, each once.
+
+    One shuffle: a shingle's postings meet in one task, and those that one class alone has end there.
+    A shingle that may be hot is spread by class and kept unseen; a list of one class gives no pair.
+    """
+    once = postings.repartition("t", "salt").groupBy("t", "salt", "c").agg(F.min("at").alias("at"), F.min("parts").alias("parts"))
+    own = Window.partitionBy("t", "salt")
+    seen = once.withColumns({"a": F.min("c").over(own), "b": F.max("c").over(own)}).filter("a != b or salt >= 0")
+    size, place = F.shiftright("at", 32), F.col("at").bitwiseAND(F.lit(0xFFFFFFFF))
+    return seen.select("t", "c", size.alias("n"), place.alias("i"), "parts")
 
 
 def possible(x: str, y: str, percent: int) -> Column:
@@ -190,12 +216,7 @@ def similar_classes(docs: DataFrame, rows: DataFrame, counts: np.ndarray, size:
     still hold several components, and of these all pairs across components are compared. Pairs inside a component cannot change the result and are never
     made, so a group of copies costs its rows, not its pairs. Each pair is verified once.
     """
-    # Stored, as both the count and the lists read them; a repeated scan would cut every text twice.
-    postings = materialize(prefixes(docs, counts, size, percent))
-    several = postings.groupBy("t").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a != b").select("t")
-    # Stored, so that its size is known: only a small one is broadcast, and then the postings stay.
-    several = materialize(several)
-    lists = materialize(postings.join(several, "t", "left_semi").dropDuplicates(["t", "c"]))
+    lists = materialize(shared(prefixes(docs, counts, size, percent)))
     sets, done, links = None, None, None
     for stage in range(STAR_ROUNDS + 1):
         current = lists.withColumn("m", F.col("c"))

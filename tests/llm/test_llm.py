@@ -79,6 +79,12 @@ def test_jaccard_matches_brute_force(docs, empty):
     assert jaccard.near_duplicates(empty, 4, 85).count() == 0
 
 
+def test_spread_shingles_give_the_same_links(docs, monkeypatch):
+    want = sorted(map(str, jaccard.near_duplicates(docs, 4, 85).collect()))
+    monkeypatch.setattr(jaccard, "HOT_SHARE", 10**9)
+    assert sorted(map(str, jaccard.near_duplicates(docs, 4, 85).collect())) == want
+
+
 def test_one_of_each_keeps_one(docs):
     kept = jaccard.one_of_each(docs, 4, 85).collect()
     assert kept[0].__fields__ == docs.columns
