@@ -173,37 +173,45 @@ def _members(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("u", "v")).alias("c")).distinct()
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sets share ``percent`` of their union, with exact counts."""
-    # Of the sets only those that are compared move.
-    sets = sets.join(_members(pairs), "c", "left_semi")
-    left = sets.select(F.col("c").alias("u"), F.col("s").alias("su"))
-    right = sets.select(F.col("c").alias("v"), F.col("s").alias("sv"))
-    both = pairs.join(left, "u").join(right, "v")
-    common = F.size(F.array_intersect("su", "sv"))
-    rows = both.select("u", "v", common.alias("k"), (F.size("su") + F.size("sv")).alias("total"))
-    return rows.filter(100 * F.col("k") >= percent * (F.col("total") - F.col("k"))).select("u", "v")
+def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (u, v) whose sets share ``percent`` of their union, with exact counts.
 
+    Compressed texts travel, which are smaller than their sets of digests; the sets are made again
+    where a pair meets, that of ``v``, by which the pairs are sorted, once for all pairs in a row.
+    """
+
+    def check(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        u, v, x, y = (batch.column(i) for i in range(4))
+        keep, last, right = np.zeros(batch.num_rows, bool), None, None
+        for row, key in enumerate(v.to_pylist()):
+            if key != last:
+                last, right = key, shingles(unpack(y[row].as_py()), size)
+            left = shingles(unpack(x[row].as_py()), size)
+            common = len(np.intersect1d(left, right, assume_unique=True))
+            keep[row] = 100 * common >= percent * (len(left) + len(right) - common)
+        yield pa.RecordBatch.from_arrays([u.filter(pa.array(keep)), v.filter(pa.array(keep))], ["u", "v"])
+
+    # Of the texts only those that are compared move.
+    texts = texts.join(_members(pairs), "c", "left_semi")
+    left = texts.select(F.col("c").alias("u"), F.col("data").alias("x"))
+    right = texts.select(F.col("c").alias("v"), F.col("data").alias("y"))
+    both = pairs.join(left, "u").join(right, "v").select("u", "v", "x", "y")
+    return in_arrow(both, check, "u long, v long")
 
-def _class_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """``c`` and the shingle set ``s`` of the wanted classes, each from one of its rows."""
+
+def _class_texts(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``c`` and the compressed lower-cased text of the wanted classes, each from one of its rows."""
 
     def squeeze(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
         data = pa.array([press.compress(d.lower()) for d in utf8(batch.column("text"))], pa.binary())
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], data], ["_a", "_b", "data"])
 
-    def expand(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for at in range(0, batch.num_rows, 500):
-            part = batch.slice(at, 500)
-            found = [shingles(unpack(d), size).view(np.int64) for d in part.column("data").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("c"), pa.array(found, pa.list_(pa.int64()))], ["c", "s"])
-
     chosen = rows.join(wanted, "c", "left_semi").groupBy("c").agg(F.min_by("_b", "_a").alias("_b"), F.min("_a").alias("_a"))
     # Stored, so that its size is known when it meets the texts.
     chosen = materialize(chosen)
     texts = in_arrow(keyed(docs), squeeze, "_a long, _b long, data binary").join(chosen, ["_a", "_b"])
-    return in_arrow(texts.select("c", "data").dropDuplicates(["c"]), expand, "c long, s array<bigint>")
+    return texts.select("c", "data").dropDuplicates(["c"])
 
 
 def similar_classes(docs: DataFrame, rows: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
@@ -217,7 +225,7 @@ def similar_classes(docs: DataFrame, rows: DataFrame, counts: np.ndarray, size:
     made, so a group of copies costs its rows, not its pairs. Each pair is verified once.
     """
     lists = materialize(shared(prefixes(docs, counts, size, percent)))
-    sets, done, links = None, None, None
+    texts, done, links = None, None, None
     for stage in range(STAR_ROUNDS + 1):
         current = lists.withColumn("m", F.col("c"))
         if links is not None:
@@ -240,15 +248,15 @@ def similar_classes(docs: DataFrame, rows: DataFrame, counts: np.ndarray, size:
         pairs = materialize(pairs)
         done = pairs if done is None else done.unionByName(pairs)
         wanted = _members(pairs)
-        if sets is not None:
-            wanted = wanted.join(sets.select("c"), "c", "left_anti")
+        if texts is not None:
+            wanted = wanted.join(texts.select("c"), "c", "left_anti")
         wanted = materialize(wanted)
         if not wanted.isEmpty():
-            own = materialize(_class_sets(docs, rows, wanted, size))
-            sets = own if sets is None else sets.unionByName(own)
-        if sets is None:
+            own = materialize(_class_texts(docs, rows, wanted))
+            texts = own if texts is None else texts.unionByName(own)
+        if texts is None:
             continue
-        new = verified(pairs, sets, percent)
+        new = verified(pairs, texts, size, percent)
         links = materialize(new if links is None else links.unionByName(new))
     if links is None:
         return rows.select("c", F.col("c").alias("m")).limit(0)
