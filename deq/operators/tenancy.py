@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from deq.functions.names import check_ident
 from deq.operators.skew import join_skewed
+from deq.session import materialize
 from deq.sources.layouts import write_partitioned
 
 # Isolation tiers, lowest first.
@@ -86,7 +88,8 @@ def promote(df: DataFrame, tenants: DataFrame, column: str, dest: str) -> DataFr
     """Copy the rows of the listed tenants to one folder each, in one write.
 
     Folders of other tenants stay; a named tenant's own folder is replaced. Returns ``tenant, rows``
-    as migrated; raises when a copy does not hold the rows of its source.
+    as migrated; raises when a copy does not hold the rows of its source. A tenant without rows at
+    the source was moved before and keeps its copy, so a run may be tried again after the removal.
     """
     spark = df.sparkSession
     moving = _only(df, tenants, column, "left_semi")
@@ -94,11 +97,27 @@ def promote(df: DataFrame, tenants: DataFrame, column: str, dest: str) -> DataFr
     named = tenants.select(F.col("tenant").cast("string").alias("tenant"))
     copied = tenant_counts(read_promoted(spark, dest, df.schema), "tenant").join(named, "tenant", "left_semi")
     # Counted per tenant before the list is applied: one row per tenant meets the list.
-    source = tenant_counts(df, column).join(tenants.select("tenant"), "tenant", "left_semi")
-    verify_counts(source, copied)
+    source = materialize(tenant_counts(df, column).join(tenants.select("tenant"), "tenant", "left_semi"))
+    verify_counts(source, copied.join(source.select(F.col("tenant").cast("string").alias("tenant")), "tenant", "left_semi"))
     return copied
 
 
+def promote_tables(
+    tables: dict[str, DataFrame], tenants: DataFrame, column: str, dest: str, remove: bool = False
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Promote the tenants' rows of several tables, each below ``<dest>/<name>``.
+
+    Returns ``tenant, tables, rows``, summed over the tables, and the tables; with ``remove`` those
+    lack the moved rows, which is decided only after every copy has been verified.
+    """
+    if not tables:
+        raise ValueError("tables are required")
+    moved = [promote(df, tenants, column, f"{dest}/{check_ident(name)}") for name, df in tables.items()]
+    total = reduce(DataFrame.unionByName, moved).groupBy("tenant")
+    left = {name: without_tenants(df, tenants, column) if remove else df for name, df in tables.items()}
+    return total.agg(F.count(F.lit(1)).alias("tables"), F.sum("rows").alias("rows")), left
+
+
 def read_promoted(spark: SparkSession, dest: str, schema: StructType) -> DataFrame:
     """All promoted rows; a filter on ``tenant`` opens that tenant's folder only.
 
@@ -123,9 +142,28 @@ def without_tenants(df: DataFrame, tenants: DataFrame, column: str) -> DataFrame
     return _only(df, tenants, column, "left_anti")
 
 
-def demote(shared: DataFrame, dedicated: DataFrame) -> DataFrame:
-    """Put dedicated rows back beside the shared ones."""
-    return shared.unionByName(dedicated.select(*shared.columns))
+def _content(df: DataFrame, column: str, rows: str, digest: str) -> DataFrame:
+    """Per tenant the number of rows and a digest of all of them, whatever their order."""
+    each = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).cast("decimal(20,0)")
+    return df.groupBy(F.col(column).alias("tenant")).agg(F.count(F.lit(1)).alias(rows), F.sum(each).alias(digest))
+
+
+def demote(shared: DataFrame, dedicated: DataFrame, column: str) -> DataFrame:
+    """Put dedicated rows back beside the shared ones.
+
+    A tenant whose dedicated rows are shared already, as after an earlier run, is not added again;
+    one that has other shared rows, or rows without a tenant, raise before anything is added.
+    """
+    dedicated = dedicated.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in shared.schema.fields])
+    back = materialize(_content(dedicated, column, "rows", "digest"))
+    there = _content(_only(shared, back, column, "left_semi"), column, "shared_rows", "shared_digest")
+    state = materialize(back.join(there, "tenant", "left"))
+    same = "rows = shared_rows and digest <=> shared_digest"
+    wrong = state.filter(f"tenant is null or (shared_rows is not null and not ({same}))").first()
+    if wrong is not None:
+        raise RuntimeError(f"tenant {wrong['tenant']} has {wrong['rows']} dedicated rows and other shared ones: {wrong['shared_rows']}")
+    done = state.filter("shared_rows is not null")
+    return shared.unionByName(without_tenants(dedicated, done, column))
 
 
 def deprovision(

@@ -195,7 +195,7 @@ def tenant_demote(spark, folder):
     rows, big = tenant_orders(spark, folder), _big_tenants(spark, folder)
     path = scratch_path(spark, "tenants")
     tenancy.promote(rows, big, "tenant", path)
-    back = tenancy.demote(tenancy.without_tenants(rows, big, "tenant"), tenancy.read_promoted(spark, path, rows.schema))
+    back = tenancy.demote(tenancy.without_tenants(rows, big, "tenant"), tenancy.read_promoted(spark, path, rows.schema), "tenant")
     return back.select("tenant", "o_orderkey", "o_totalprice", "o_orderdate")
 
 

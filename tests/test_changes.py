@@ -251,7 +251,28 @@ def test_promote_then_demote_is_the_identity(spark, rows):
     assert rows(moved) == [("a", 50), ("b", 20)]
     left = tenancy.without_tenants(df, big, "tenant_id")
     assert rows(left) == [("c", 1), (None, 2)]
-    assert rows(tenancy.demote(left, tenancy.read_promoted(spark, path, df.schema))) == rows(df)
+    dedicated = tenancy.read_promoted(spark, path, df.schema)
+    assert rows(tenancy.demote(left, dedicated, "tenant_id")) == rows(df)
+    # Rows that are shared already are not added again, other rows are refused.
+    assert rows(tenancy.demote(df, dedicated, "tenant_id")) == rows(df)
+    some = left.unionByName(spark.createDataFrame([("a", 99)], "tenant_id string, v int"))
+    with pytest.raises(RuntimeError):
+        tenancy.demote(some, dedicated, "tenant_id")
+    with pytest.raises(RuntimeError):
+        tenancy.demote(left, df.filter("tenant_id is null"), "tenant_id")
+
+
+def test_promoting_several_tables_and_again_after_the_removal(spark, rows):
+    df, path = shared(spark), scratch_path(spark, "tenants")
+    other = spark.createDataFrame([("a", 1.5), ("c", 2.5)], "tenant_id string, x double")
+    chosen = spark.createDataFrame([("a",), ("b",)], "tenant string")
+    moved, left = tenancy.promote_tables({"t": df, "u": other}, chosen, "tenant_id", path, remove=True)
+    assert rows(moved) == [("a", 2, 51), ("b", 1, 20)]
+    assert rows(left["u"]) == [("c", 2.5)] and left["t"].count() == 2
+    again, kept = tenancy.promote_tables(left, chosen, "tenant_id", path)
+    assert rows(again) == [("a", 2, 51), ("b", 1, 20)] and kept == left
+    with pytest.raises(ValueError):
+        tenancy.promote_tables({}, chosen, "tenant_id", path)
 
 
 def test_promoting_nobody(spark):
