@@ -18,7 +18,7 @@ def tokenizer_path(name: str) -> str:
 
 
 def op1_gumbel_segmentations(spark: SparkSession, folder: str) -> DataFrame:
-    return sampling.sampled_segmentations(documents(spark, folder), tokenizer_path("piece_bpe_32k.model"), k=2)
+    return sampling.sampled_segmentations(documents(spark, folder), tokenizer_path("piece_bpe_32k.model"), k=2, with_ids=True)
 
 
 def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
