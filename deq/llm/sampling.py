@@ -58,7 +58,8 @@ class _Words(dict):
         self.roots, self.ends = array("q"), array("q", [0])
 
     def __missing__(self, word: str) -> int:
-        for unit in self.unit.findall(SPACE + word.replace(" ", SPACE)):
+        whole = SPACE + word.replace(" ", SPACE)
+        for unit in (whole,) if word.isalpha() and word.isascii() else self.unit.findall(whole):
             node = self.units.get(unit)
             if node is None:
                 node = self.units[unit] = self.nodes
@@ -475,7 +476,8 @@ def sampled_segmentations(
             kinds = [pa.int64(), pa.int32(), pa.int64(), *[pa.float64()] * 3, pa.int64(), pa.bool_()]
             columns = [pa.array(c, t) for c, t in zip(zip(*out), kinds)]
             if with_ids:
-                columns.append(pa.array(kept, pa.list_(pa.int32())))
+                ends = np.cumsum([0, *map(len, kept)], dtype=np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(kept))))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
             at = end
