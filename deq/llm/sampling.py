@@ -135,7 +135,7 @@ class Lattice:
             self.meaning.append(char.encode("utf-8", "replace"))
         return self.spelled[char]
 
-    def _hashes(self, sums: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    def _hashes(self, sums: np.ndarray, at: np.ndarray, length: int | np.ndarray) -> np.ndarray:
         return mixed((sums[at + length] - sums[at]) * _powers(len(sums))[1][at])
 
     def _sums(self, codes: np.ndarray) -> np.ndarray:
@@ -145,7 +145,8 @@ class Lattice:
     def _vocabulary(self) -> None:
         """Pieces by a rolling digest, with a bit for each value of its low part that occurs."""
         names = list(self.ids)
-        digests = np.array([self._hashes(self._sums(codes_of(p)), np.zeros(1, np.int64), len(p))[0] for p in names], np.uint64)
+        sizes = np.array([len(p) for p in names])
+        digests = self._hashes(self._sums(codes_of("".join(names))), np.cumsum(sizes) - sizes, sizes)
         order = np.argsort(digests)
         self.known, self.known_id = digests[order], np.array([self.ids[p] for p in names], np.int32)[order]
         self.occurs = np.zeros(1 << 20, bool)
