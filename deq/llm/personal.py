@@ -247,9 +247,12 @@ def _written(spans):
 def personal_table(docs: DataFrame) -> DataFrame:
     """doc_id, counts of base spans by kind, base_sha256, spans (base and discovered, as text)."""
     found = personal_spans(docs)
-    counts = [
-        F.size(F.filter("base", lambda x, i=i: x["k"] == i)).cast("long").alias(f"n_{kind}") for i, kind in enumerate(KINDS)
-    ]
+
+    def count(i: int):
+        # The function takes one argument: a second one, even with a default, would be the place in the array.
+        return F.size(F.filter("base", lambda x: x["k"] == i)).cast("long")
+
+    counts = [count(i).alias(f"n_{kind}") for i, kind in enumerate(KINDS)]
     return found.select(
         "doc_id",
         *counts,

@@ -197,6 +197,22 @@ def test_base_spans_match_the_patterns():
         assert personal.base_spans(t) == plain_spans(t)
 
 
+def test_counts_and_digests_of_kinds_match_the_patterns(spark):
+    rng = random.Random(8)
+    parts = ["a@b.co", "10.2.3.4", "256.1.1.1", "4539 1488 0343 6467", "4539148803436467", "+1 (988) 555-2485", "é", " ", ", ", "word", "@", "1"]
+    rows = [(i, "".join(rng.choice(parts) + rng.choice([" ", "", "\n"]) for _ in range(rng.randint(0, 9)))) for i in range(200)]
+    rows += [(None, "x 10.2.3.4"), (None, None), (300, None), (301, ""), (302, "a@b.co c@d.org"), (302, "a@b.co c@d.org"), (302, "10.2.3.4")]
+    want = []
+    for i, text in rows:
+        spans = plain_spans(text or "")
+        written = ",".join(f"{personal.KINDS[k]}:{s}:{e}" for k, s, e in spans)
+        counts = [sum(k == n for k, _, _ in spans) for n in range(4)]
+        want.append((i, *counts, hashlib.sha256(written.encode()).hexdigest()))
+    table = personal.personal_table(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = table.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
 def test_contexts_find_unseen_identifiers(spark, docs, empty):
     def number(i):
         stem = f"4539{i:011d}"
