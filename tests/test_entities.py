@@ -2,11 +2,13 @@
 
 import random
 import re
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from deq.functions.entities import BUILT_IN_TYPES, extract_entities, fallback_entities, find_entities
+from deq.functions.entities import BUILT_IN_TYPES, _packed, extract_entities, fallback_entities, find_entities
 from deq.functions.text import engine_pattern, python_pattern
 from deq.plans.schemas import _PATTERNS
 
@@ -115,3 +117,23 @@ def test_types_do_not_hide_each_other_on_request():
         text = random_text(rng)
         want = [e for t in BUILT_IN_TYPES for e in plain_entities(text, [t])]
         assert find_entities(text, BUILT_IN_TYPES, [], overlapping=True) == want
+
+
+def test_each_text_goes_to_python_once(spark):
+    """The filter that goes with inline() must not run the function a second time, in further workers."""
+    df = spark.createDataFrame([(1, "Jane Doe, a@b.co"), (2, None), (3, ""), (3, "")], "id long, text string")
+    for found in (extract_entities(df, "text"), fallback_entities(df, "text")):
+        assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+        assert [r["id"] for r in found.collect()] == [1] * found.count()
+
+
+def test_a_batch_is_packed_slice_by_slice():
+    texts = ["Jane Doe and a@b.co met in Berlin on 2024-01-02. " * 20, None, "", "é Zoë Doe", "no entity"] * 400
+    tracemalloc.start()
+    packed = _packed(pa.array(texts), BUILT_IN_TYPES, [], False)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert packed.to_pylist() == [find_entities(t, BUILT_IN_TYPES, []) for t in texts]
+    # 32,000 entities in all; as Python objects at one time they would take over 10 MB.
+    assert most < 2_500_000
+    assert _packed(pa.array([], pa.string()), BUILT_IN_TYPES, [], False).to_pylist() == []
