@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from deq.llm.common import boxed, in_arrow, keyed, mixed, unboxed
@@ -37,38 +37,48 @@ def long_lines(text: str | None, min_chars: int) -> Iterator[tuple[int, str]]:
             yield n, bare
 
 
-def half_keys(line: str) -> set[int]:
+#: What a line's neighbourhood has to hold: a changed place in the second or first half, a place left
+#: out there, or the line as it is. The first four follow the order of ``half_keys``.
+CHANGED_END, CHANGED_FRONT, LEFT_OUT_END, LEFT_OUT_FRONT, WHOLE = 1, 2, 4, 8, 16
+
+
+def half_keys(line: str) -> list[int]:
     """Digests one of which two lines within one edit share.
 
     One edit leaves one half of the shorter line whole, at the front or at the end. A line is cut in
-    halves for its own length, and as if it had one character more than the shorter line.
+    halves for its own length (the first two keys), and as if it had one character less, like a line
+    that lacks one of its characters (the other two).
     """
-    out = set()
+    out = []
     for size in (len(line), len(line) - 1):
         half = size // 2
-        out.add(digest(f"{size} front {line[:half]}"))
-        out.add(digest(f"{size} end {line[len(line) - (size - half):]}"))
+        out.append(digest(f"{size} front {line[:half]}"))
+        out.append(digest(f"{size} end {line[len(line) - (size - half):]}"))
     return out
 
 
-def variant_keys(line: str) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of a line's deletion neighbourhood, and whether each also names the place and the length.
+def variant_keys(line: str, want: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the part of a line's deletion neighbourhood that ``want`` names, and their roles.
 
     Lines of one length differ in at most one place if they share a variant with the same place
-    left out. A line with one character more has the shorter line among its variants. A rolling
-    digest gives all variants in one go.
+    left out (role 2, whose keys name the place and the length). A line with one character more
+    (role 1) has the shorter line (role 0) among its variants. Where the lines share a half, the
+    place is in the other one, or in a run of equal characters that reaches it. A rolling digest
+    gives all variants in one go.
     """
     codes = mixed(np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1))
     n = len(codes)
     up, down = _powers(n + 1)
     sums = np.r_[np.zeros(1, np.uint64), np.cumsum(codes * up[:-1], dtype=np.uint64)]
     without = sums[:-1] + (sums[-1] - sums[1:]) * down[1]
-    size = np.full(1, n, np.uint64)
-    plain = np.unique(mixed(without + (size - np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)))
-    placed = mixed(mixed(without + np.arange(n, dtype=np.uint64)) ^ size)
-    whole = mixed(sums[-1:] + size * np.uint64(0x9E3779B97F4A7C15))
-    keys = np.r_[whole, plain, placed].view(np.int64)
-    return keys, np.r_[np.zeros(1, np.int64), np.ones(len(plain), np.int64), np.full(n, 2)]
+    size, place = np.full(1, n, np.uint64), np.arange(n)
+    left_out = without[((place >= (n - 1) // 2) & bool(want & LEFT_OUT_END)) | ((place <= (n - 1) // 2) & bool(want & LEFT_OUT_FRONT))]
+    changed = place[((place >= n // 2) & bool(want & CHANGED_END)) | ((place < n // 2) & bool(want & CHANGED_FRONT))]
+    whole = mixed(sums[-1:] + size * np.uint64(0x9E3779B97F4A7C15)) if want & WHOLE else np.empty(0, np.uint64)
+    plain = np.unique(mixed(left_out + (size - np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)))
+    placed = mixed(mixed(without[changed] + changed.astype(np.uint64)) ^ size)
+    role = np.repeat(np.arange(3, dtype=np.int32), [len(whole), len(plain), len(placed)])
+    return np.r_[whole, plain, placed].view(np.int64), role
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
@@ -88,7 +98,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
 
 
 def _halves(docs: DataFrame, min_chars: int) -> DataFrame:
-    """Half keys of the lines; a line that a task has seen is not written again by it."""
+    """Half keys of the lines and their places in ``half_keys``; a line that a task has seen is not written again by it."""
 
     def emit(batches):
         seen: set[int] = set()
@@ -102,12 +112,30 @@ def _halves(docs: DataFrame, min_chars: int) -> DataFrame:
                     if len(seen) >= SEEN:
                         seen.clear()
                     seen.add(h)
-                    own = half_keys(line)
-                    keys += own
-                    owners += [h] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(owners, pa.int64())], ["key", "h"])
+                    keys += half_keys(line)
+                    owners += [h] * 4
+            nth = pa.array(np.tile(np.arange(4, dtype=np.int32), len(keys) // 4))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), nth, pa.array(owners, pa.int64())], ["key", "nth", "h"])
+
+    return docs.select(docs["text"]).mapInArrow(emit, "key long, nth int, h long")
 
-    return docs.select(docs["text"]).mapInArrow(emit, "key long, h long")
+
+def _candidates(docs: DataFrame, min_chars: int) -> DataFrame:
+    """``h`` of the lines that share a half with a line they may be near, and what they ``want`` of their neighbourhood.
+
+    Keys meet in one shuffle. A line that only shares halves cut for other lengths wants nothing.
+    """
+    group, own = Window.partitionBy("key"), F.col("nth") < 2
+    halves = _halves(docs, min_chars).select(
+        "h", "nth",
+        (F.min(F.when(own, F.col("h"))).over(group) != F.max(F.when(own, F.col("h"))).over(group)).alias("equals"),
+        F.min("nth").over(group).alias("least"),
+        F.max("nth").over(group).alias("most"),
+    )
+    part = F.element_at(F.array(*map(F.lit, (CHANGED_END, CHANGED_FRONT, LEFT_OUT_END, LEFT_OUT_FRONT))), F.col("nth") + 1)
+    near = F.when((own & F.col("equals")) | (~own & (F.col("least") < 2)), part).otherwise(0)
+    want = near + F.when(own & (F.col("most") >= 2), WHOLE).otherwise(0)
+    return halves.select("h", want.alias("want")).filter("want > 0").groupBy("h").agg(F.bit_or("want").alias("want"))
 
 
 def _wanted_lines(docs: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
@@ -134,9 +162,9 @@ def _wanted_lines(docs: DataFrame, wanted: DataFrame, min_chars: int) -> DataFra
 
 def _variants(lines: DataFrame) -> DataFrame:
     def emit(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for h, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            keys, role = variant_keys(line)
-            columns = [pa.array(keys), pa.array(role.astype(np.int32)), pa.array(np.full(len(keys), h, np.int64))]
+        for h, line, want in zip(*(batch.column(c).to_pylist() for c in ("h", "line", "want"))):
+            keys, role = variant_keys(line, want)
+            columns = [pa.array(keys), pa.array(role), pa.array(np.full(len(keys), h, np.int64))]
             yield pa.RecordBatch.from_arrays(columns, ["key", "role", "h"])
 
     return in_arrow(lines, emit, "key long, role int, h long")
@@ -145,21 +173,21 @@ def _variants(lines: DataFrame) -> DataFrame:
 def near_copies(docs: DataFrame, firsts: DataFrame, min_chars: int) -> DataFrame:
     """``h`` of lines within one edit, not equal, of a line that first occurs earlier.
 
-    Only lines that share a half with another line get a neighbourhood, which leaves no pair out. In
-    each group of equal variants lines are compared with the earliest alone: those of one length and
+    Only lines that share a half with another line get a neighbourhood, and of it what that half leaves
+    open, which leaves no pair out. In each group of equal variants lines are compared with the earliest alone: those of one length and
     place all differ from each other in that place; a line one character shorter is within one edit
     of every member. The edit distance of each such pair is then verified.
     """
-    halves = _halves(docs, min_chars)
-    shared = halves.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a != b").select("key")
-    candidates = halves.join(shared, "key", "left_semi").select("h").distinct()
-    wanted = materialize(firsts.join(candidates, "h", "left_semi"))
+    wanted = materialize(firsts.join(_candidates(docs, min_chars), "h"))
     lines = materialize(_wanted_lines(docs, wanted, min_chars))
     # Few lines can have many variants: each task gets a small share of them.
-    keys = _variants(lines.repartition("h"))
-    several = keys.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a != b").select("key")
-    order = F.struct("_a", "_b", "n", "h")
-    groups = materialize(keys.join(several, "key", "left_semi").join(wanted, "h").select("key", "role", order.alias("o")))
+    keys = _variants(lines.join(wanted.select("h", "want"), "h").repartition("h"))
+    group, order = Window.partitionBy("key"), F.struct("_a", "_b", "n", "h")
+    extent = [f("h").over(group).alias(f"{n}_h") for n, f in (("least", F.min), ("most", F.max))]
+    extent += [f("role").over(group).alias(f"{n}_role") for n, f in (("least", F.min), ("most", F.max))]
+    # Lines of one length need another one; a longer line needs a shorter one, and the other way round.
+    several = keys.select("key", "role", "h", *extent).filter("least_h != most_h AND (role = 2 OR (least_role = 0 AND most_role > 0))")
+    groups = materialize(several.join(wanted, "h").select("key", "role", order.alias("o")))
 
     same = groups.filter("role = 2")
     best = same.groupBy("key").agg(F.min("o").alias("w"))

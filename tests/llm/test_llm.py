@@ -140,6 +140,30 @@ def test_lines_match_brute_force(docs, empty, spark):
     assert lines.without_repeated_lines(docs, drop_emptied=True).filter("doc_id = 41").count() == 0
 
 
+def test_neighbourhoods_hold_only_what_a_shared_half_leaves_open(spark):
+    """Every pair within one edit meets in a wanted variant; lines that share no half in a fitting length want nothing."""
+    rng = random.Random(6)
+    made = set()
+    for _ in range(120):
+        s = list(rng.choice(["abababababababababababab", "aaaaaaaaaaaaaaaaaaaaaaa", "abcdefghijklmnopqrstuvwxyz", "é漢abcabcabcabcabcabcabc"]))
+        for _ in range(rng.randint(0, 2)):
+            at = rng.randrange(len(s))
+            s[at : at + rng.randint(0, 1)] = rng.choices("abz", k=rng.randint(0, 1))
+        made.add("".join(s))
+    texts = sorted(made) + ["lone line without any neighbour", "one front half of this and aaaaaaaaaaaaa", "one front half of this and bbbbbbbbbbbbbbbbbb"]
+    found = lines._candidates(spark.createDataFrame([(t,) for t in texts], "text string"), 20)
+    want = {r.h: r.want for r in found.collect()}
+    assert not any(lines.digest(t) in want for t in texts[-3:])
+    keys = {t: set(zip(*(x.tolist() for x in lines.variant_keys(t, want.get(lines.digest(t), 0))))) for t in texts}
+    for x, y in itertools.combinations(made, 2):
+        same = {k for k, r in keys[x] if r == 2} & {k for k, r in keys[y] if r == 2}
+        short, longer = sorted((x, y), key=len)
+        put_in = {k for k, r in keys[short] if r == 0} & {k for k, r in keys[longer] if r == 1}
+        assert bool(same) == (len(x) == len(y) and within_one(x, y)) and bool(put_in) == (len(x) != len(y) and within_one(x, y))
+    full = {t: 2 * len(t) + 1 for t in texts}
+    assert sum(map(len, keys.values())) < 0.8 * sum(full.values())
+
+
 def test_short_lines_go_when_they_are_repeated(spark):
     long = "this very line is long enough to count"
     rows = [(1, f"Short one.\n{long}\n- b\n\n- b"), (2, f" Short one. \n{long}"), (3, "Short one\n\n \n- c\nown"), (4, "- c")]
