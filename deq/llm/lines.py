@@ -21,6 +21,8 @@ MIN_CHARS = 20
 BREAKS = " \t\n\x0b\x0c\r"
 #: Lines that a task remembers as already written.
 SEEN = 200_000
+#: Remainders by which lines are told apart before a shuffle.
+SLOTS = 1 << 25
 
 _KEYS = "_a long, _b long, "
 
@@ -138,26 +140,41 @@ def _candidates(docs: DataFrame, min_chars: int) -> DataFrame:
     return halves.select("h", want.alias("want")).filter("want > 0").groupBy("h").agg(F.bit_or("want").alias("want"))
 
 
+def _marked(wanted: DataFrame) -> np.ndarray:
+    """One bit for each remainder of the wanted digests modulo ``SLOTS``, as bytes; its size is fixed."""
+    slot = F.pmod("h", F.lit(SLOTS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 32).cast("int"))
+    words = wanted.groupBy(F.floor(slot / 32).cast("int").alias("at")).agg(F.bit_or(bit).alias("bits"))
+    found = words.toArrow()
+    marks = np.zeros(SLOTS // 32, "<u4")
+    marks[found["at"].to_numpy()] = found["bits"].to_numpy().astype("<u4")
+    return marks.view(np.uint8)
+
+
 def _wanted_lines(docs: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
-    """``h`` and the line itself, from one occurrence (_a, _b, n) of each wanted line."""
+    """``wanted`` with the ``line`` of each digest ``h``.
 
-    def squeeze(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=6)
-        data = pa.array([press.compress((t or "").encode()) for t in batch.column(3).to_pylist()], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), data], ["_a", "_b", "data"])
+    The texts are read again; a line whose remainder no wanted digest has stays out of the shuffle.
+    """
+    marks = docs.sparkSession.sparkContext.broadcast(_marked(wanted))
 
-    def pick(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found = {}
-        for data, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            lines = unpack(data).decode().split("\n")
-            for n in places:
-                line = lines[n].strip(BREAKS)
-                found[digest(line)] = line
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(found.values(), pa.string())], ["h", "line"])
+    def emit(batches):
+        bits, seen = marks.value, set()
+        for batch in batches:
+            found = {}
+            for text in batch.column("text").to_pylist():
+                for _, line in long_lines(text, min_chars):
+                    h = digest(line)
+                    slot = h % SLOTS
+                    if bits[slot >> 3] >> (slot & 7) & 1 and h not in seen:
+                        if len(seen) >= SEEN:
+                            seen.clear()
+                        seen.add(h)
+                        found[h] = line
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(found.values(), pa.string())], ["h", "line"])
 
-    places = wanted.groupBy("_a", "_b").agg(F.collect_list("n").alias("places"))
-    texts = in_arrow(keyed(docs), squeeze, _KEYS + "data binary")
-    return in_arrow(texts.join(places, ["_a", "_b"]).select("data", "places"), pick, "h long, line string").dropDuplicates(["h"])
+    lines = docs.select(docs["text"].cast("string").alias("text")).mapInArrow(emit, "h long, line string")
+    return lines.join(wanted, "h").dropDuplicates(["h"])
 
 
 def _variants(lines: DataFrame) -> DataFrame:
@@ -179,9 +196,9 @@ def near_copies(docs: DataFrame, firsts: DataFrame, min_chars: int) -> DataFrame
     of every member. The edit distance of each such pair is then verified.
     """
     wanted = materialize(firsts.join(_candidates(docs, min_chars), "h"))
-    lines = materialize(_wanted_lines(docs, wanted, min_chars))
+    lines = materialize(_wanted_lines(docs, wanted.select("h", "want"), min_chars))
     # Few lines can have many variants: each task gets a small share of them.
-    keys = _variants(lines.join(wanted.select("h", "want"), "h").repartition("h"))
+    keys = _variants(lines.repartition("h"))
     group, order = Window.partitionBy("key"), F.struct("_a", "_b", "n", "h")
     extent = [f("h").over(group).alias(f"{n}_h") for n, f in (("least", F.min), ("most", F.max))]
     extent += [f("role").over(group).alias(f"{n}_role") for n, f in (("least", F.min), ("most", F.max))]
