@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from deq.session import materialize, prepare
 
-#: Distinct words whose digest one Python worker remembers; beyond that it starts anew.
-REMEMBERED = 1_000_000
+#: Distinct words whose digest one Python worker remembers; beyond that it starts anew. An executor keeps idle
+#: workers beside those at work, and each keeps what it remembers, so this is small: rare words cost little to digest again.
+REMEMBERED = 100_000
 
 
 #: Documents in a batch that goes to Python; long ones make even small batches large.

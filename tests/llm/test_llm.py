@@ -6,13 +6,15 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 
-from deq.llm import fingerprints, jaccard, lines, packing, personal, quality, queries, sampling, sharding, substrings, toxicity
+from deq.llm import common, fingerprints, jaccard, lines, packing, personal, quality, queries, sampling, sharding, substrings, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, h long, c long, u long, _a long, n long"
 
@@ -79,6 +81,18 @@ def test_jaccard_matches_brute_force(docs, empty):
     assert jaccard.near_duplicates(empty, 4, 85).count() == 0
 
 
+def test_remembered_word_digests_take_little_memory():
+    common.forget_digests()
+    tracemalloc.start()
+    got = [common.word_digests(b" ".join(b"word%d" % i for i in range(at, at + 10_000))) for at in range(0, 500_000, 10_000)]
+    got = np.concatenate(got)
+    used = tracemalloc.get_traced_memory()[0] - got.nbytes
+    tracemalloc.stop()
+    common.forget_digests()
+    assert used < 30_000_000
+    assert all(got[i] == xxhash.xxh3_64_intdigest(b"word%d" % i) for i in range(0, 500_000, 1009))
+
+
 def test_spread_shingles_give_the_same_links(docs, monkeypatch):
     want = sorted(map(str, jaccard.near_duplicates(docs, 4, 85).collect()))
     monkeypatch.setattr(jaccard, "HOT_SHARE", 10**9)
